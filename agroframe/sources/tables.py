@@ -1,0 +1,34 @@
+"""Base-table access.
+
+Tables are read lazily through ``spark.read.parquet`` so that Catalyst prunes
+columns and pushes filters into each scan; nothing is cached here.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+               "events", "documents", "embeddings", "pages", "benchmark", "labels",
+               "conversations")
+
+
+class Tables:
+    """Lazy handle on one directory of ``<name>.parquet`` tables."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def path(self, name: str) -> str:
+        return os.path.join(self.root, f"{name}.parquet")
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in BASE_TABLES:
+            return self.spark.read.parquet(self.path(name))
+        raise AttributeError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.__getattr__(name)
