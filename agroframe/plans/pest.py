@@ -297,9 +297,9 @@ def series_list(spark, sf):
     return panel(spark, sf).select("crop", "location", "pest").distinct()
 
 
-@query("choices", "SELECT crop, location, pest, dense_rank() OVER (ORDER BY crop) AS crop_pos, "
-       "dense_rank() OVER (PARTITION BY crop ORDER BY location) AS location_pos, "
-       "dense_rank() OVER (PARTITION BY crop, location ORDER BY pest) AS pest_pos "
+@query("choices", "SELECT crop, location, pest, cast(dense_rank() OVER (ORDER BY crop) AS int) AS crop_pos, "
+       "cast(dense_rank() OVER (PARTITION BY crop ORDER BY location) AS int) AS location_pos, "
+       "cast(dense_rank() OVER (PARTITION BY crop, location ORDER BY pest) AS int) AS pest_pos "
        "FROM (SELECT DISTINCT crop, location, pest FROM panel) s", FX, PANEL)
 def choices(spark, sf):
     """Cascading sorted choice lists (crop -> location -> pest)."""
@@ -319,7 +319,7 @@ def _active(spark, sf):
     return P.active_weeks(panel(spark, sf))
 
 
-@query("active_weeks", "SELECT location, pest, array_to_string(weeks, ',') AS weeks, len(weeks) AS n_weeks "
+@query("active_weeks", "SELECT location, pest, array_to_string(weeks, ',') AS weeks, cast(len(weeks) AS int) AS n_weeks "
        "FROM aw", FX, PANEL + [AW_CTE])
 def active_weeks(spark, sf):
     return _active(spark, sf).select("location", "pest", F.array_join("weeks", ",").alias("weeks"),
@@ -350,7 +350,7 @@ OBS_CTE = ("obs AS (SELECT location, pest, week_id, avg(pest_value) AS value FRO
            "WHERE pest_value IS NOT NULL GROUP BY location, pest, week_id)")
 
 
-@query("observed_series", "SELECT location, pest, count(*) AS n_weeks, "
+@query("observed_series", "SELECT location, pest, cast(count(*) AS int) AS n_weeks, "
        "string_agg(cast(week_id AS varchar), ',' ORDER BY week_id) AS weeks, round(round(sum(value), 9), 6) AS value_sum "
        "FROM obs GROUP BY location, pest", FX, [S.clean_cte(), OBS_CTE])
 def observed_series(spark, sf):
@@ -384,7 +384,7 @@ def recent_history(spark, sf):
        "coalesce(e.endemic, false) AS endemic, coalesce(u.unit, 'units') AS unit, "
        "coalesce(array_to_string(a.weeks, ','), '1,2,3,4,5,6,7,8,9,10,11,12,13,14,15,16,17,18,19,20,21,22,23,"
        "24,25,26,27,28,29,30,31,32,33,34,35,36,37,38,39,40,41,42,43,44,45,46,47,48,49,50,51,52') AS weeks, "
-       "coalesce(o.n_hist, 0) AS n_history "
+       "cast(coalesce(o.n_hist, 0) AS int) AS n_history "
        "FROM (SELECT DISTINCT crop, location, pest FROM panel) v "
        "LEFT JOIN cuts c ON v.location = c.location AND v.pest = c.pest "
        "LEFT JOIN endem e ON v.location = e.location AND v.pest = e.pest "
