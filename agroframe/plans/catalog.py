@@ -1,6 +1,6 @@
 """All registered queries: importing this module fills the registry."""
 
-from agroframe.plans import pest, sensor  # noqa: F401
+from agroframe.plans import catalogue, pest, sensor  # noqa: F401
 from agroframe.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
