@@ -22,7 +22,7 @@ ORACLES: dict[str, str] = {}
 DIGITS = 6
 
 
-def query(name: str, oracle: str | None = None, fixtures=(), ctes=()):
+def query(name: str, oracle: str | None = None, fixtures=(), ctes=(), recursive: bool = False):
     """Register *fn* as query *name*.
 
     *oracle* is the final SELECT; it may use the *fixtures* views and the
@@ -33,7 +33,9 @@ def query(name: str, oracle: str | None = None, fixtures=(), ctes=()):
         QUERIES[name] = fn
         if oracle is not None:
             parts = duckdb_ctes(fixtures) + list(ctes)
-            ORACLES[name] = ("WITH " + ",\n".join(parts) + "\n" if parts else "") + oracle
+            head = "WITH RECURSIVE " if recursive else "WITH "
+            sql = (head + ",\n".join(parts) + "\n" if parts else "") + oracle
+            ORACLES[name] = exact_rounding(sql)
         return fn
 
     return deco
@@ -59,3 +61,36 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def rnd(expr: str, digits: int = DIGITS) -> str:
     """Oracle-side rounding of a double expression."""
     return f"round(round(cast({expr} AS double), 9), {digits})"
+
+
+def exact_rounding(sql: str) -> str:
+    """Rewrite ``round(round(E, 9), 6)`` to decimal rounding in DuckDB.
+
+    Spark rounds a double through its decimal text (HALF_UP); DuckDB rounds
+    in floating point.  Doing the second step on DECIMAL(38, 9) makes the
+    two agree on the ties the 9-digit step creates.
+    """
+    key = "round(round("
+    out, i = [], 0
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        k, depth = j + len("round("), 0
+        for m in range(k, len(sql)):  # find the end of the inner round(...)
+            if sql[m] == "(":
+                depth += 1
+            elif sql[m] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+        inner = sql[k:m + 1]
+        tail = sql[m + 1:m + 5]
+        if tail != ", 6)":
+            out.append(sql[i:j + 1])
+            i = j + 1
+            continue
+        out.append(sql[i:j])
+        out.append(f"cast(round(cast({inner} AS DECIMAL(38, 9)), 6) AS double)")
+        i = m + 5
