@@ -77,8 +77,10 @@ def regression_report(df: DataFrame, y: str, preds, block: str | None = None) ->
     g = long.groupBy("block", "model").agg(
         F.count("*").alias("n"), F.avg(F.abs(F.col("_y") - F.col("_p"))).alias("mae"),
         F.sum((F.col("_y") - F.col("_p")) ** 2).alias("_sse"), F.var_pop("_y").alias("_v"))
-    return g.select("block", "model", "n", "mae",
-                    F.when(F.col("_v") > 0, 1 - F.col("_sse") / (F.col("_v") * F.col("n"))).alias("r2"))
+    # sklearn convention for a constant target: 1 if perfect, else 0
+    r2 = (F.when(F.col("_v") > 0, 1 - F.col("_sse") / (F.col("_v") * F.col("n")))
+          .when(F.col("_sse") == 0, 1.0).otherwise(0.0))
+    return g.select("block", "model", "n", "mae", r2.alias("r2"))
 
 
 def median_abs_error(df: DataFrame, y: str, preds, transform=F.expm1) -> DataFrame:
