@@ -111,7 +111,8 @@ def band_of(value, q1="q1", q2="q2"):
             .when(F.coalesce(v <= F.col(q2), F.lit(False)), 1).otherwise(2))
 
 
-BAND_NAMES = F.array(F.lit("Low"), F.lit("Medium"), F.lit("High"))
+def band_names():
+    return F.array(F.lit("Low"), F.lit("Medium"), F.lit("High"))
 
 
 def risk_band(df: DataFrame, cutoffs: DataFrame, y_log: str = "y_log") -> DataFrame:
@@ -124,7 +125,7 @@ def risk_band(df: DataFrame, cutoffs: DataFrame, y_log: str = "y_log") -> DataFr
     j = df.join(cutoffs, on=SERIES2, how="left")
     cnt = F.round(F.expm1(F.col(y_log)), 9)
     return j.withColumns({"count": F.greatest(F.lit(0.0), cnt),
-                          "band": BAND_NAMES[band_of(cnt)]})
+                          "band": band_names()[band_of(cnt)]})
 
 
 def time_fraction_split(panel: DataFrame, keys=("crop", "location", "pest"), frac: float = 0.75,

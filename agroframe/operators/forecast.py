@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.operators.baseline import BAND_NAMES, band_of
+from agroframe.operators.baseline import band_names, band_of
 from agroframe.operators.panel import WEATHER
 
 TEMP_VARS = ("maxt_c", "mint_c")
@@ -60,7 +60,7 @@ def banded_forecast(pred: DataFrame, cutoffs: DataFrame, y_log: str = "y_log") -
     """M4 tail: expm1, clamp at 0 for display, band on the unclamped count."""
     j = pred.join(cutoffs, ["location", "pest"], "left")
     cnt = F.round(F.expm1(F.col(y_log)), 9)
-    return j.withColumns({"count": F.greatest(F.lit(0.0), cnt), "band": BAND_NAMES[band_of(cnt)]})
+    return j.withColumns({"count": F.greatest(F.lit(0.0), cnt), "band": band_names()[band_of(cnt)]})
 
 
 def season_weeks(active: DataFrame) -> DataFrame:

@@ -183,12 +183,13 @@ def active_weeks(panel: DataFrame) -> DataFrame:
             .agg(F.array_sort(F.collect_set("standard_week")).alias("weeks")))
 
 
-ALL_WEEKS = F.sequence(F.lit(1), F.lit(52))
+def all_weeks():
+    return F.sequence(F.lit(1), F.lit(52))
 
 
 def default_week(active: DataFrame) -> DataFrame:
     """Middle active week; weeks 1..52 when a series has none."""
-    weeks = F.when(F.size(F.coalesce("weeks", F.array())) > 0, F.col("weeks")).otherwise(ALL_WEEKS)
+    weeks = F.when(F.size(F.coalesce("weeks", F.array())) > 0, F.col("weeks")).otherwise(all_weeks())
     return active.withColumn("default_week", F.element_at(weeks, (F.size(weeks) / 2).cast("int") + 1))
 
 
@@ -251,5 +252,5 @@ def forecast_context(series, cutoffs, endemic, units, active, history) -> DataFr
             .join(history.select(*k, F.size("history").alias("n_history")), k, "left")
             .withColumns({"endemic": F.coalesce("endemic", F.lit(False)),
                           "unit": F.coalesce("unit", F.lit("units")),
-                          "weeks": F.coalesce("weeks", ALL_WEEKS),
+                          "weeks": F.coalesce("weeks", all_weeks()),
                           "n_history": F.coalesce("n_history", F.lit(0))}))
