@@ -5,7 +5,9 @@ distributed pass over cached, binned features).  Categorical levels are
 indexed inside the fitted ``PipelineModel``, so scoring new rows reuses the
 exact training columns (unknown levels map to an extra "keep" slot).
 Missing features are mean-imputed with an extra missing-indicator column:
-Spark trees do not accept NaN.
+Spark trees do not accept NaN.  Split candidates use 256 bins (the usual
+histogram resolution of boosted-tree libraries; Spark's default of 32 cannot
+place a split on a rule threshold such as potassium = 40).
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ POOLED_GBT = dict(max_iter=500, depth=5, rate=0.04, subsample=0.9, colsample=0.8
 
 
 def health_pipeline(numeric_cols, cat_col: str = "growth_stage", label: str = "health_label",
-                    max_iter: int = 200, depth: int = 4, rate: float = 0.1, seed: int = 42) -> Pipeline:
+                    max_iter: int = 200, depth: int = 4, rate: float = 0.1, seed: int = 42,
+                    max_bins: int = 256) -> Pipeline:
     """M1 + P13: drop-first one-hot of the growth stage and a GBT classifier.
 
     ``alphabetDesc`` ordering puts the alphabetically first level last, and
@@ -41,7 +44,7 @@ def health_pipeline(numeric_cols, cat_col: str = "growth_stage", label: str = "h
     asm = VectorAssembler(inputCols=[f"{c}_imp" for c in numeric_cols] + [f"{c}_na" for c in numeric_cols]
                           + [f"{cat_col}_vec"], outputCol="features")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=depth,
-                        stepSize=rate, seed=seed)
+                        stepSize=rate, seed=seed, maxBins=max_bins)
     return Pipeline(stages=[idx, ohe, imp, flags, asm, gbt])
 
 
@@ -52,7 +55,7 @@ def with_missing_flags(df: DataFrame, cols) -> DataFrame:
 
 def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label: str = "y",
                       max_iter: int = 500, depth: int = 5, rate: float = 0.04, subsample: float = 0.9,
-                      colsample: float = 0.8, seed: int = 42) -> Pipeline:
+                      colsample: float = 0.8, seed: int = 42, max_bins: int = 256) -> Pipeline:
     """M2 / M3: pooled severity regressor on log1p counts.
 
     Full one-hot of the series keys (like ``get_dummies``), mean imputation
@@ -72,7 +75,7 @@ def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     stages.append(GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=depth,
                                stepSize=rate, subsamplingRate=subsample,
-                               featureSubsetStrategy=str(colsample), seed=seed))
+                               featureSubsetStrategy=str(colsample), seed=seed, maxBins=max_bins))
     return Pipeline(stages=stages)
 
 
