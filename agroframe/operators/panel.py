@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agroframe.session import materialize
 from agroframe.functions.columns import (PEST_BAD_TOKENS, WEATHER_BAD_TOKENS, clean_number,
                                          week_date, week_id, week_of_year, year_of_week)
 
@@ -62,20 +63,41 @@ def log_target(df: DataFrame, col: str = "pest_value", out: str = "y") -> DataFr
     return df.withColumn(out, F.log1p(col))
 
 
-def weekly_weather(clean: DataFrame, keys=("location",)) -> DataFrame:
+def weekly_grain(clean: DataFrame) -> DataFrame:
+    """One pass over the raw rows: sums and counts per (crop, location, pest, week).
+
+    Every weekly table below rolls up from this grain, so a plan that needs
+    weekly weather, weekly targets and series counts scans and shuffles the
+    raw panel once (the identical subtrees share one exchange) and only
+    partial aggregates of the grain cross the network.
+    """
+    aggs = [F.count("pest_value").alias("n_obs"), F.sum("pest_value").alias("s_pest"),
+            F.count_if(F.col("pest_value") > 0).alias("n_present")]
+    for c in WEATHER:
+        aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
+    return clean.groupBy("crop", "location", "pest", "week_id").agg(*aggs)
+
+
+def _mean(s: str, n: str):
+    return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
+
+
+def weekly_weather(clean: DataFrame, keys=("location",), grain: DataFrame | None = None) -> DataFrame:
     """A4: mean weather per (location, week), all pests pooled, NULLs skipped."""
-    return (clean.groupBy(*keys, "week_id")
-            .agg(*[F.avg(c).alias(c) for c in WEATHER]))
+    g = weekly_grain(clean) if grain is None else grain
+    return g.groupBy(*keys, "week_id").agg(*[_mean(f"s_{c}", f"n_{c}").alias(c) for c in WEATHER])
 
 
-def weekly_target(clean: DataFrame, by_crop: bool = False) -> DataFrame:
+def weekly_target(clean: DataFrame, by_crop: bool = False, grain: DataFrame | None = None) -> DataFrame:
     """A5: mean reading per (location, pest, week) over monitored rows.
 
     The reference leaves crop out of this grouping (one pooled target per
     location and pest); ``by_crop=True`` keeps crops apart.
     """
+    g = weekly_grain(clean) if grain is None else grain
     keys = (["crop"] if by_crop else []) + ["location", "pest", "week_id"]
-    return (monitored(clean).groupBy(*keys).agg(F.avg("pest_value").alias("pest_value")))
+    return (g.filter(F.col("n_obs") > 0).groupBy(*keys)
+            .agg((F.sum("s_pest") / F.sum("n_obs")).alias("pest_value")))
 
 
 def dense_weeks(wx: DataFrame, keys=("location",)) -> DataFrame:
@@ -112,13 +134,14 @@ def weather_features(wx: DataFrame, cols=WEATHER, keys=("location",)) -> DataFra
     return wx.select(*keys, "week_id", *[e.alias(n) for n, e in out.items()])
 
 
-def series_counts(clean: DataFrame) -> DataFrame:
-    return monitored(clean).groupBy(*SERIES).agg(F.count("*").alias("n_obs"))
+def series_counts(clean: DataFrame, grain: DataFrame | None = None) -> DataFrame:
+    g = weekly_grain(clean) if grain is None else grain
+    return g.groupBy(*SERIES).agg(F.sum("n_obs").alias("n_obs")).filter(F.col("n_obs") > 0)
 
 
-def viable_series(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
+def viable_series(clean: DataFrame, min_obs: int = MIN_OBS, grain: DataFrame | None = None) -> DataFrame:
     """(crop, location, pest) with at least *min_obs* readings."""
-    return series_counts(clean).filter(F.col("n_obs") >= min_obs)
+    return series_counts(clean, grain).filter(F.col("n_obs") >= min_obs)
 
 
 def viable_panel(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
@@ -127,15 +150,20 @@ def viable_panel(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
 
 
 def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_roll4",
-                  by_crop: bool = False) -> DataFrame:
+                  by_crop: bool = False, materialize_grain: bool = True) -> DataFrame:
     """J1 (flagship): pooled model panel, one row per viable series and week.
 
     viable series -> pooled weekly target -> weather features of the week at
-    that location; rows need a target and a non-null *gate* feature.
+    that location; rows need a target and a non-null *gate* feature.  The
+    weekly grain is checkpointed (``materialize_grain``) because weather,
+    target and series counts all roll up from it.
     """
-    feats = weather_features(weekly_weather(clean))
-    tgt = weekly_target(clean, by_crop)
-    viable = viable_series(clean, min_obs).select(*SERIES)
+    grain = weekly_grain(clean)
+    if materialize_grain:  # three branches read it: scan the raw panel once
+        grain = materialize(grain)
+    feats = weather_features(weekly_weather(clean, grain=grain))
+    tgt = weekly_target(clean, by_crop, grain=grain)
+    viable = viable_series(clean, min_obs, grain=grain).select(*SERIES)
     on = ["crop", "location", "pest"] if by_crop else ["location", "pest"]
     panel = (viable.join(tgt, on=on, how="inner")
              .join(feats, on=["location", "week_id"], how="inner")
@@ -148,9 +176,10 @@ def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_
 
 def series_stats(clean: DataFrame) -> DataFrame:
     """Per-series observation, presence and absence counts."""
-    m = add_presence(monitored(clean))
-    return (m.groupBy(*SERIES)
-            .agg(F.count("*").alias("n_obs"), F.sum("present").alias("n_present"))
+    g = weekly_grain(clean)
+    return (g.groupBy(*SERIES)
+            .agg(F.sum("n_obs").alias("n_obs"), F.sum("n_present").alias("n_present"))
+            .filter(F.col("n_obs") > 0)
             .withColumns({"n_absent": F.col("n_obs") - F.col("n_present"),
                           "pct_present": F.bround(F.col("n_present") / F.col("n_obs") * 100, 1)}))
 

@@ -9,7 +9,8 @@ those cases the rank is computed as:
    bounds, so a hot key is split over many partitions;
 2. a position inside each partition (``monotonically_increasing_id`` is
    consecutive within a partition of sorted rows); the tagged rows are
-   *reliably* checkpointed so every later read sees the same ids;
+   written once to the shared checkpoint folder so every later read sees
+   the same ids (and a lost executor cannot renumber them);
 3. a tiny table of per-(partition, key) counts gives each partition's
    offset inside its key; joined back, offset + local position = rank.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroframe.session import ensure_checkpoint_dir
+from agroframe.session import materialize
 
 
 def rank_within(df: DataFrame, keys, order, out: str = "rank", size: str | None = None) -> DataFrame:
@@ -34,11 +35,9 @@ def rank_within(df: DataFrame, keys, order, out: str = "rank", size: str | None
     """
     keys = list(keys)
     order = list(order)
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*keys, *order)
-              .withColumn("_rk_pid", F.spark_partition_id())
-              .withColumn("_rk_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(df.orderBy(*keys, *order)
+                         .withColumn("_rk_pid", F.spark_partition_id())
+                         .withColumn("_rk_mid", F.monotonically_increasing_id()), "ranked")
     per_part = tagged.groupBy(*keys, "_rk_pid").agg(F.min("_rk_mid").alias("_rk_first"),
                                                    F.count("*").alias("_rk_cnt"))
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

@@ -10,6 +10,7 @@ from agroframe.operators import baseline as B
 from agroframe.operators import panel as P
 from agroframe.plans import pest_sql as S
 from agroframe.plans.registry import finish, fx, query
+from agroframe.session import materialize
 
 FX = ("fx_panel",)
 PANEL = S.panel_ctes()
@@ -26,7 +27,9 @@ def panel(spark, sf, level: str = "nation", min_obs: int = S.MIN_OBS_Q) -> DataF
 
 
 def split_panel(spark, sf) -> DataFrame:
-    return B.year_split(panel(spark, sf), S.SPLIT_YEAR_Q)
+    """The panel with its train/test flag, checkpointed: baselines, endemic
+    labels, cut-offs and metrics all read it several times."""
+    return materialize(B.year_split(panel(spark, sf), S.SPLIT_YEAR_Q))
 
 
 def train_rows(spark, sf) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="agroframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str = "stage"):
+    """Write *df* once as a Parquet table in the shared checkpoint folder and read it back.
+
+    Used where one compact intermediate (e.g. the weekly grain of the raw
+    panel) feeds several branches of a plan: every branch then reads the
+    table instead of re-scanning the raw input, and the lineage is cut so a
+    lost executor recomputes nothing upstream of it.  Unlike an RDD
+    checkpoint this is a single job, and the read-back scan keeps column
+    pruning and size statistics (so small sides can still be broadcast).
+    """
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
