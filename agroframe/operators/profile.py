@@ -54,3 +54,8 @@ def value_counts(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
     g = df.groupBy(col).agg(F.count("*").alias("count"))
     total = F.sum("count").over(Window.partitionBy(F.lit(1)))
     return g.withColumn("proportion", F.bround(F.round(F.col("count") / total, 9), digits))
+
+
+def head_rows(df: DataFrame, order, n: int = 5) -> DataFrame:
+    """The first *n* rows under an explicit order (files have no row order)."""
+    return df.orderBy(*order).limit(n)

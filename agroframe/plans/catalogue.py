@@ -140,14 +140,12 @@ def source_key_q(spark, sf):
     return fx(spark, sf, "fx_images").select("image_id", source_key("file_name").alias("source"))
 
 
-@query("box_lines", "SELECT image_id, line_no, line FROM fx_box_lines", IMGS)
+@query("box_lines", f"SELECT image_id, line_no, t AS token, CASE WHEN regexp_full_match(t, '{INT_RE}') "
+       f"THEN cast(t AS int) END AS class_id FROM tok", IMGS, [TOK_CTE])
 def box_lines(spark, sf):
-    """Label files as text (lines joined per image) split back into numbered lines."""
-    lines = fx(spark, sf, "fx_box_lines")
-    texts = (lines.groupBy("image_id")  # bounded: one label file's lines
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
-                                           lambda s: s["line"]), "\n").alias("text")))
-    return C.label_lines_from_text(texts, "image_id")
+    """Every non-blank label line with its first token parsed to a class id (NULL when bad)."""
+    t = C.label_tokens(fx(spark, sf, "fx_box_lines"))
+    return t.select("image_id", "line_no", F.col("_tok").alias("token"), "class_id")
 
 
 @query("class_balance", f"SELECT cast(t AS int) AS class_id, count(DISTINCT image_id) AS n_images FROM tok "
@@ -231,3 +229,27 @@ def label_sample(spark, sf):
     """Seeded sample of at most 6000 label files (the sampling operator)."""
     ids = fx(spark, sf, "fx_box_lines").select("image_id").distinct()
     return SP.sample_n(ids, "image_id", 6000, seed=42)
+
+
+@query("leak_samples",
+       "SELECT * FROM (SELECT 'source' AS key_kind, NULL AS class_name, source, splits FROM ("
+       + _leak_sql("source") + ") a ORDER BY source LIMIT 10) x UNION ALL "
+       "SELECT * FROM (SELECT 'class_source', class_name, source, splits FROM ("
+       + _leak_sql("class_name, source") + ") b ORDER BY class_name, source LIMIT 8) y", IMGS, MANIFEST_CTES)
+def leak_samples(spark, sf):
+    """The first 10 leaking sources and the first 8 leaking (class, source) keys."""
+    m = manifest(spark, sf)
+    a = (C.leaks(m, ["source"]).orderBy("source").limit(10)
+         .select(F.lit("source").alias("key_kind"), F.lit(None).cast("string").alias("class_name"),
+                 "source", "splits"))
+    b = (C.leaks(m, ["class_name", "source"]).orderBy("class_name", "source").limit(8)
+         .select(F.lit("class_source").alias("key_kind"), "class_name", "source", "splits"))
+    return a.unionByName(b)
+
+
+@query("train_subsample", "SELECT image_id FROM cs WHERE split = 'train' "
+       "ORDER BY md5(concat_ws('|', '42', cast(image_id AS varchar))), image_id LIMIT 1500", IMGS, SPLIT_CTES)
+def train_subsample(spark, sf):
+    """Seeded quick subsample of 1500 training images (the sampling operator)."""
+    return SP.sample_n(clean_split_df(spark, sf).filter(F.col("split") == "train").select("image_id"),
+                       "image_id", 1500, seed=42)

@@ -49,3 +49,30 @@ def severity_forecast(spark, sf):
     pred = MD.predict_severity(model, rows)
     out = FC.banded_forecast(pred, B.band_cutoffs(p))
     return finish(out.select("crop", "location", "pest", "standard_week", "scenario_id", "y_log", "count", "band"))
+
+
+@query("flagship_model")
+def flagship_model(spark, sf):
+    """M2 + A28-A30 for the flagship series (the viable series with most weeks);
+    the band row reports band accuracy in the r2 column:
+    first 75 % of weeks train a one-series GBT; flat mean, week-of-year
+    climatology and the model are scored on the remaining weeks."""
+    p = split_panel(spark, sf)
+    top = (p.groupBy("crop", "location", "pest").agg(F.count("*").alias("n"))
+           .orderBy(F.desc("n"), "crop", "location", "pest").limit(1).drop("n"))
+    s = B.time_fraction_split(p.drop("is_train").join(top, ["crop", "location", "pest"]), frac=0.75)
+    tr, te = s.filter("is_train"), s.filter("not is_train")
+    model = MD.fit_severity(tr, cats=(), **MD.FLAGSHIP_GBT)
+    pred = MD.predict_severity(model, te)
+    seas = (tr.groupBy("standard_week").agg(F.avg("y").alias("clim")))
+    flat = tr.agg(F.avg("y").alias("flat"))
+    scored = (pred.join(seas, "standard_week", "left").crossJoin(F.broadcast(flat))
+              .withColumn("seasonal", F.coalesce("clim", "flat")))
+    rep = M.regression_report(scored, "y", ["flat", "seasonal", "y_log"])
+    cut = B.band_cutoffs_all(tr)
+    banded = scored.join(cut, ["location", "pest"], "left").select(
+        B.band_of(F.round(F.expm1("y"), 9)).alias("t"), B.band_of(F.round(F.expm1("y_log"), 9)).alias("p"))
+    acc = M.accuracy(banded, "t", "p").select(F.lit("band").alias("block"), F.lit("y_log").alias("model"), "n",
+                                              F.lit(None).cast("double").alias("mae"),
+                                              F.col("accuracy").alias("r2"))
+    return finish(rep.unionByName(acc))

@@ -183,3 +183,9 @@ def classification_report(spark, sf):
        FX, CM_CTES[:3])
 def confusion_matrix(spark, sf):
     return M.confusion_matrix(predicted(spark, sf), "health_label", "prediction", [0, 1])
+
+
+@query("profile_head", "SELECT * FROM fx_sensor ORDER BY row_id LIMIT 5", FX)
+def profile_head(spark, sf):
+    """First five rows by row id (a preview report)."""
+    return PR.head_rows(sensor(spark, sf), ["row_id"], 5)

@@ -133,3 +133,19 @@ def test_model_save_load(spark, tmpdir_path):
     a = [r.prediction for r in m.transform(df).collect()]
     b = [r.prediction for r in back.transform(df).collect()]
     assert a == b
+
+
+def test_ood_model_save_load(spark, tmpdir_path):
+    from agroframe.operators import ood as O
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(i, rng.normal(size=4).astype(np.float32).tolist(), i % 3) for i in range(60)],
+                               "vec_id long, embedding array<float>, label int")
+    m = O.fit_ood(df)
+    m.threshold, m.median = 12.5, 4.0
+    m.save(spark, f"{tmpdir_path}/ood")
+    back = O.OodModel.load(spark, f"{tmpdir_path}/ood")
+    assert back.labels == m.labels and back.threshold == 12.5
+    np.testing.assert_allclose(back.w, m.w)
+    a = O.score_ood(df, m).orderBy("vec_id").toPandas().ood_score
+    b = O.score_ood(df, back).orderBy("vec_id").toPandas().ood_score
+    np.testing.assert_allclose(a, b)
