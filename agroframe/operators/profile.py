@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,14 @@ def profile_describe(df: DataFrame, cols=None, digits: int = 2) -> DataFrame:
 def value_counts(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
     """A2: count and proportion per value (proportion rounded half-to-even).
 
-    The total comes from a window over the already-grouped result (one row
-    per distinct value), not over the raw rows.
+    The total is a one-row global count (partial-aggregated, broadcast), so
+    a column with many distinct values never lands in a single task.
     """
     g = df.groupBy(col).agg(F.count("*").alias("count"))
-    total = F.sum("count").over(Window.partitionBy(F.lit(1)))
-    return g.withColumn("proportion", F.bround(F.round(F.col("count") / total, 9), digits))
+    total = df.agg(F.count("*").alias("_total"))
+    return (g.crossJoin(F.broadcast(total))
+            .withColumn("proportion", F.bround(F.round(F.col("count") / F.col("_total"), 9), digits))
+            .drop("_total"))
 
 
 def head_rows(df: DataFrame, order, n: int = 5) -> DataFrame:

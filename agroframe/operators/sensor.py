@@ -101,8 +101,11 @@ def health_report(df: DataFrame, rules=None, id_col: str = "row_id") -> tuple[Da
             .withColumn("ok", F.coalesce(F.col("value").between(F.col("lo"), F.col("hi")), F.lit(False)))
             .withColumn("status", F.when(F.col("ok"), "✓ in range").otherwise("✗ out of range"))
             .select(id_col, "variable", "label", "value", "healthy_range", "ok", "status"))
-    verdict = (rows.groupBy(id_col).agg(F.count_if(~F.col("ok")).alias("out_of_range"))
-               .withColumn("status", F.when(F.col("out_of_range") == 0, "Healthy").otherwise("At risk")))
+    # the verdict comes from the wide flags: no regrouping of the long rows
+    flags = range_flags(df.select(id_col, *names), rules)
+    out = sum_of([(~F.col(f"{v}_ok")).cast("long") for v in names])
+    verdict = flags.select(id_col, out.alias("out_of_range")).withColumn(
+        "status", F.when(F.col("out_of_range") == 0, "Healthy").otherwise("At risk"))
     return rows, verdict
 
 
