@@ -15,7 +15,6 @@ from agroframe.operators import models as MD
 from agroframe.operators import panel as P
 from agroframe.operators import splits as SP
 from agroframe.plans import evaluation as EV
-from agroframe.plans import pest_sql as S
 from agroframe.plans import sensor as SN
 from agroframe.plans.pest import split_panel
 from agroframe.plans.registry import finish, query

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroframe.functions.columns import squash_spaces
 from agroframe.operators import baseline as B
 from agroframe.operators import panel as P
 from agroframe.plans import pest_sql as S

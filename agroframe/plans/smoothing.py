@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from agroframe.operators import panel as P
 from agroframe.operators import smoothing as K

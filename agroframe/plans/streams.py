@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
 
 from agroframe.operators import panel as P
 from agroframe.operators.sensor import LABELS, THRESHOLDS
