@@ -18,15 +18,15 @@ def test_dirty_numbers_become_null_never_nan(spark):
 
 
 def test_rolling_mean_needs_all_four_weeks(spark):
-    # weeks 0..5 at one location, week 2 missing entirely, week 4 present but NULL
+    # weeks 0..10 at one location, week 2 missing entirely, week 4 present but NULL
     rows = [("A", 0, 1.0), ("A", 1, 2.0), ("A", 3, 4.0), ("A", 4, None), ("A", 5, 6.0), ("A", 6, 7.0),
             ("A", 7, 8.0), ("A", 8, 9.0), ("A", 9, 10.0), ("A", 10, 11.0)]
     wx = spark.createDataFrame(rows, "location string, week_id long, maxt_c double")
     f = {r.week_id: r for r in P.weather_features(wx, cols=["maxt_c"]).collect()}
     assert f[4].maxt_c_lag1 == 4.0 and f[3].maxt_c_lag1 is None       # week 2 missing -> lag of week 3 is NULL
     assert f[5].maxt_c_roll4 is None                                   # NULL inside the 4-week window
-    assert f[10].maxt_c_roll4 == (6.0 + 7.0 + 8.0 + 9.0) / 4
-    assert f[10].maxt_c_trend == 9.0 - 6.0
+    assert f[10].maxt_c_roll4 == (7.0 + 8.0 + 9.0 + 10.0) / 4           # weeks 6..9
+    assert f[10].maxt_c_trend == 10.0 - 7.0                            # week 9 minus week 6
     # same answer on the densified calendar
     dense = P.weather_features(P.dense_weeks(wx), cols=["maxt_c"])
     d = {r.week_id: r for r in dense.collect()}
