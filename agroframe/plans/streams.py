@@ -11,6 +11,7 @@ from agroframe.operators import panel as P
 from agroframe.operators.sensor import LABELS, THRESHOLDS
 from agroframe.plans.pest import clean
 from agroframe.plans.registry import finish, query
+from agroframe.plans.smoothing import KF_CTES
 from agroframe.sources.fixtures import with_clause
 from agroframe.streaming.live import live_check, run_available_now, scratch_path
 from agroframe.streaming.online import online_filter
@@ -40,7 +41,9 @@ def live_check_q(spark, sf):
                                                  "healthy_range", "ok", "status"))
 
 
-@query("online_filter")
+@query("online_filter", "SELECT f.location, f.pest, f.week_id, round(round(s.value, 9), 6) AS value, "
+       "round(round(f.x0, 9), 6) AS level_f, round(round(f.x1, 9), 6) AS slope_f FROM kf f JOIN s "
+       "ON s.location = f.location AND s.pest = f.pest AND s.rn = f.rn", ("fx_panel",), KF_CTES, recursive=True)
 def online_filter_q(spark, sf):
     """ST2: weekly series written as a table, replayed as a stream through the
     stateful forward filter (equals W8 on an in-order stream)."""

@@ -83,6 +83,10 @@ def test_severity_model_beats_flat_mean(spark):
     rep = {r.model: r for r in M.regression_report(pred.withColumn("flat", F.lit(
         p.filter("is_train").agg(F.avg("y")).first()[0])), "y", ["y_log", "flat"]).collect()}
     assert rep["y_log"].mae <= rep["flat"].mae * 1.05
+    # A request for an unseen location / pest is scored with the training columns (unknown -> extra slot)
+    unseen = p.limit(3).withColumn("location", F.lit("NEW_PLACE")).withColumn("pest", F.lit("NEW_PEST"))
+    got = MD.predict_severity(model, unseen).select("y_log").collect()
+    assert len(got) == 3 and all(r.y_log is not None for r in got)
 
 
 def test_ood_flags_by_strictness(spark):
