@@ -21,6 +21,28 @@ _DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB input, ~1000 executors).
+# The library never forces them on an existing session; pass them at submit
+# time or through ``get_session(extra=CLUSTER_CONF)`` when it creates one.
+CLUSTER_CONF = {
+    # start shuffles wide and let AQE coalesce to ~256 MB partitions, so no
+    # reducer holds more than a few hundred MB whatever the scale factor
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # scan splits of 512 MB: about 200k input tasks for 100 TB of Parquet
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # skewed join partitions (e.g. rows joined to a hot group) are split at runtime
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    # broadcast only what AQE measured small; bounded tables carry explicit hints
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Arrow batches for the pandas functions (covariance partials, scoring)
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "agroframe", extra: dict | None = None) -> SparkSession:
     """Return (or create) a SparkSession with AQE on and the UI off."""
