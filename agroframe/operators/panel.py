@@ -75,7 +75,9 @@ def weekly_grain(clean: DataFrame) -> DataFrame:
             F.count_if(F.col("pest_value") > 0).alias("n_present")]
     for c in WEATHER:
         aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
-    return clean.groupBy("crop", "location", "pest", "week_id").agg(*aggs)
+    # rows without a location or week belong to no weekly group (pandas drops NULL keys)
+    keyed = clean.filter(F.col("location").isNotNull() & F.col("week_id").isNotNull())
+    return keyed.groupBy("crop", "location", "pest", "week_id").agg(*aggs)
 
 
 def _mean(s: str, n: str):
@@ -96,7 +98,10 @@ def weekly_target(clean: DataFrame, by_crop: bool = False, grain: DataFrame | No
     """
     g = weekly_grain(clean) if grain is None else grain
     keys = (["crop"] if by_crop else []) + ["location", "pest", "week_id"]
-    return (g.filter(F.col("n_obs") > 0).groupBy(*keys)
+    keep = F.col("n_obs") > 0
+    for k in keys:
+        keep = keep & F.col(k).isNotNull()
+    return (g.filter(keep).groupBy(*keys)
             .agg((F.sum("s_pest") / F.sum("n_obs")).alias("pest_value")))
 
 
@@ -136,7 +141,8 @@ def weather_features(wx: DataFrame, cols=WEATHER, keys=("location",)) -> DataFra
 
 def series_counts(clean: DataFrame, grain: DataFrame | None = None) -> DataFrame:
     g = weekly_grain(clean) if grain is None else grain
-    return g.groupBy(*SERIES).agg(F.sum("n_obs").alias("n_obs")).filter(F.col("n_obs") > 0)
+    return (g.filter(F.col("crop").isNotNull() & F.col("pest").isNotNull())
+            .groupBy(*SERIES).agg(F.sum("n_obs").alias("n_obs")).filter(F.col("n_obs") > 0))
 
 
 def viable_series(clean: DataFrame, min_obs: int = MIN_OBS, grain: DataFrame | None = None) -> DataFrame:
@@ -176,7 +182,7 @@ def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_
 
 def series_stats(clean: DataFrame) -> DataFrame:
     """Per-series observation, presence and absence counts."""
-    g = weekly_grain(clean)
+    g = weekly_grain(clean).filter(F.col("crop").isNotNull() & F.col("pest").isNotNull())
     return (g.groupBy(*SERIES)
             .agg(F.sum("n_obs").alias("n_obs"), F.sum("n_present").alias("n_present"))
             .filter(F.col("n_obs") > 0)

@@ -103,3 +103,19 @@ def test_folder_keys(spark):
     parent = [r[0] for r in df.select(C.folder_key("path", 2, "parent")).collect()]
     drop = [r[0] for r in df.select(C.folder_key("path", 2, "drop")).collect()]
     assert parent == ["a/b", "a", ""] and drop == ["a/b", None, None]
+
+
+def test_null_keys_do_not_form_series(spark):
+    rows = [("R", "L", "p", 2000, 1, "5"), (None, "L", "p", 2000, 1, "7"), ("R", None, "p", 2000, 1, "9"),
+            ("R", "L", None, 2000, 1, "11"), ("R", "L", "p", None, 2, "13")]
+    raw = spark.createDataFrame(rows, "crop string, location string, pest string, year int, standard_week int, "
+                                      "pest_value string")
+    for c in P.WEATHER:
+        raw = raw.withColumn(c, F.lit("1"))
+    clean = P.clean_panel(raw)
+    counts = {tuple(r[:3]): r.n_obs for r in P.series_counts(clean).collect()}
+    assert counts == {("R", "L", "p"): 1}
+    tgt = {(r.location, r.pest, r.week_id): r.pest_value for r in P.weekly_target(clean).collect()}
+    assert tgt == {("L", "p", 2000 * 52): 6.0}        # crop is pooled (trap 9), NULL pest / location dropped
+    wx = P.weekly_weather(clean).collect()
+    assert [(r.location, r.week_id) for r in wx] == [("L", 2000 * 52)]
