@@ -81,3 +81,18 @@ def season_profile(spine: DataFrame, predictions: DataFrame, cutoffs: DataFrame,
     j = (spine.join(predictions, list(keys), "left")
          .join(cutoffs, ["location", "pest"], "left"))
     return j.withColumn("predicted", F.when(F.col("is_active"), F.col("count")))
+
+
+def forecast_batch(model, requests: DataFrame, by_week: DataFrame, glob: DataFrame, scen: DataFrame,
+                   cutoffs: DataFrame) -> DataFrame:
+    """M4: every (series, week) request under every scenario in one job.
+
+    requests (crop, location, pest, standard_week) -> climatology row of the
+    week at the location, else the global row (J5) -> scenario offsets (P24)
+    -> the fitted pipeline -> expm1, clamp, band (P25).
+    """
+    from agroframe.operators.baseline import climatology_lookup
+    from agroframe.operators.models import predict_severity
+
+    rows = apply_scenarios(climatology_lookup(requests, by_week, glob), scen)
+    return banded_forecast(predict_severity(model, rows), cutoffs)

@@ -44,9 +44,7 @@ def severity_forecast(spark, sf):
     series = p.select("crop", "location", "pest").distinct()
     weeks = P.active_weeks(p).select("location", "pest", F.explode("weeks").alias("standard_week"))
     req = series.join(weeks, ["location", "pest"])
-    rows = FC.apply_scenarios(B.climatology_lookup(req, by_week, glob), FC.scenarios(spark, EV.SCENARIOS))
-    pred = MD.predict_severity(model, rows)
-    out = FC.banded_forecast(pred, B.band_cutoffs(p))
+    out = FC.forecast_batch(model, req, by_week, glob, FC.scenarios(spark, EV.SCENARIOS), B.band_cutoffs(p))
     return finish(out.select("crop", "location", "pest", "standard_week", "scenario_id", "y_log", "count", "band"))
 
 

@@ -88,3 +88,19 @@ def kalman_smooth(spark, sf):
     """RTS-smoothed level with the +-2 sigma predictive band, in counts."""
     return finish(K.kalman_smooth(weekly_obs(spark, sf)).select("location", "pest", "week_id", "level",
                                                                 "est", "lo", "hi"))
+
+
+@query("history_chart", "SELECT location, pest, round(round(week_id / 52.0, 9), 6) AS year_frac, "
+       "round(round(value, 9), 6) AS observed, round(round(exp(level) - 1, 9), 6) AS est, "
+       "round(round(exp(level - 2 * sd) - 1, 9), 6) AS lo, round(round(exp(level + 2 * sd) - 1, 9), 6) AS hi "
+       "FROM (SELECT *, row_number() OVER (PARTITION BY location, pest ORDER BY week_id DESC) AS rn, "
+       "count(*) OVER (PARTITION BY location, pest) AS n FROM band) b WHERE n >= 10 AND rn <= 120",
+       ("fx_panel",), KS_CTES, recursive=True)
+def history_chart(spark, sf):
+    """W7 + W9: smoothed history of every series with >= 10 readings, last 120
+    readings, on a fractional calendar-year axis (the history chart's data)."""
+    from pyspark.sql import functions as F
+    sm = K.kalman_smooth(weekly_obs(spark, sf))
+    recent = P.recent_history(sm.select("location", "pest", "week_id", "value"))
+    out = sm.join(recent.select("location", "pest", "week_id", "year_frac"), ["location", "pest", "week_id"])
+    return finish(out.select("location", "pest", "year_frac", F.col("value").alias("observed"), "est", "lo", "hi"))

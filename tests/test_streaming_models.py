@@ -96,3 +96,20 @@ def test_ood_flags_by_strictness(spark):
     thr = O.ood_threshold(scored).first().threshold
     n = {s: O.flag_ood(scored, thr, s).filter("is_ood").count() for s in O.STRICTNESS}
     assert n["Lenient"] <= n["Balanced"] <= n["Strict"]
+
+
+def test_forecast_batch_covers_every_request_and_scenario(spark):
+    from agroframe.operators import baseline as B
+    from agroframe.operators import forecast as FC
+    p = PP.split_panel(spark, SF_CHECK)
+    model = MD.fit_severity(p.filter("is_train"), max_iter=5, depth=3)
+    by_week, glob = B.feature_climatology(p)
+    req = (p.select("crop", "location", "pest").distinct().limit(4)
+           .crossJoin(spark.range(1, 54).select(F.col("id").cast("int").alias("standard_week"))))
+    scen = FC.scenarios(spark, [(0, 0.0, 1.0, 0.0), (1, 3.0, 2.0, -10.0)])
+    out = FC.forecast_batch(model, req, by_week, glob, scen, B.band_cutoffs(p)).cache()
+    assert out.count() == 4 * 53 * 2
+    assert out.filter(F.col("count") < 0).count() == 0
+    assert {r.band for r in out.select("band").distinct().collect()} <= {"Low", "Medium", "High"}
+    # rows without a (location, week) climatology fall back to the global row
+    assert out.filter("from_global").count() > 0
