@@ -9,6 +9,7 @@ from agroframe.functions.columns import pretty_label, source_key
 from agroframe.operators import catalogue as C
 from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
+from agroframe.session import materialize
 
 FILES = ("fx_files",)
 IMGS = ("fx_images", "fx_box_lines", "fx_classes")
@@ -63,7 +64,10 @@ def manifest(spark, sf) -> DataFrame:
 
 
 def clean_split_df(spark, sf) -> DataFrame:
-    return SP.group_split(manifest(spark, sf), "class_name", "source", row_order="image_id", frac=0.15, seed=42)
+    """Group split of the manifest; the manifest is written once to the
+    checkpoint folder because the split reads it twice (groups, join back)."""
+    m = materialize(manifest(spark, sf), "manifest")
+    return SP.group_split(m, "class_name", "source", row_order="image_id", frac=0.15, seed=42)
 
 
 # ---------------------------------------------------------------- file listings

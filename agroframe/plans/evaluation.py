@@ -38,9 +38,9 @@ EVAL_CTES = SPLIT + [
 ]
 
 
-def evaluated(spark, sf) -> DataFrame:
+def evaluated(spark, sf, p: DataFrame | None = None) -> DataFrame:
     """Test rows with both baseline predictions and the endemic block."""
-    p = split_panel(spark, sf)
+    p = split_panel(spark, sf) if p is None else p
     tr = p.filter("is_train")
     e = B.with_endemic(B.with_seasonal_baseline(p, tr).crossJoin(F.broadcast(B.flat_baseline(tr).select("flat"))),
                        B.endemic_series(tr, S.ENDEMIC_Q))
@@ -51,7 +51,7 @@ def evaluated(spark, sf) -> DataFrame:
 def banded(spark, sf) -> DataFrame:
     p = split_panel(spark, sf)
     cut = B.band_cutoffs_all(p.filter("is_train"))
-    t = evaluated(spark, sf).join(cut, ["location", "pest"], "left")
+    t = evaluated(spark, sf, p).join(cut, ["location", "pest"], "left")
     return t.withColumns({"true_band": B.band_of(F.round(F.expm1("y"), 9)),
                           "seas_band": B.band_of(F.round(F.expm1("seas"), 9)),
                           "flat_band": B.band_of(F.round(F.expm1("flat"), 9))})
