@@ -106,26 +106,38 @@ def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
     return files.mapInPandas(entries, ENTRY_SCHEMA)
 
 
-def label_lines(spark: SparkSession, glob: str) -> DataFrame:
+def label_lines(spark: SparkSession, glob: str, whole_files: bool = True) -> DataFrame:
     """One row per non-empty line of every label text file.
 
     (path, split, stem, line_no, line); ``split`` is the folder above
-    ``labels``.  Files are read whole (``wholetext``): a label file is small.
+    ``labels``.  ``whole_files=True`` reads each (small, per-image) label file
+    as one row.  ``whole_files=False`` reads lines splittably, so a huge text
+    file is spread over many tasks; line numbers then come from the order
+    (split start in the file, position in the split), ranked per file with
+    the skew-safe ``rank_within``.
     """
-    t = spark.read.option("wholetext", True).text(glob).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    lines = t.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+    if whole_files:
+        t = spark.read.text(glob, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+        lines = (t.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+                 .withColumn("line_no", (F.col("pos") + 1).cast("int")))
+    else:
+        raw = spark.read.text(glob).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("line"))
+        lines = rank_within(raw, ["path"], ["_start", "_pos"], out="line_no").withColumn(
+            "line_no", F.col("line_no").cast("int"))
     parts = F.split("path", "/")
     return (lines.filter(F.trim("line") != "")
             .select("path",
                     F.element_at(parts, -3).alias("split"),
                     F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("stem"),
-                    (F.col("pos") + 1).cast("int").alias("line_no"), "line"))
+                    "line_no", "line"))
 
 
 def read_yaml_text(spark: SparkSession, path: str) -> DataFrame:
     """The text of one small YAML file (e.g. a class list) as a one-row table."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "text")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
 
 
 # ---------------------------------------------------------------- images

@@ -149,3 +149,21 @@ def test_ood_model_save_load(spark, tmpdir_path):
     a = O.score_ood(df, m).orderBy("vec_id").toPandas().ood_score
     b = O.score_ood(df, back).orderBy("vec_id").toPandas().ood_score
     np.testing.assert_allclose(a, b)
+
+
+def test_label_lines_splittable_matches_whole_files(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/train/labels", exist_ok=True)
+    rng = np.random.default_rng(2)
+    for k in range(3):
+        with open(f"{tmpdir_path}/train/labels/img{k}.txt", "w") as f:
+            for i in range(2000 if k == 0 else 5):     # one big file next to small ones
+                f.write(f"{int(rng.integers(0, 30))} 0.5 0.5 0.1 0.1\n" if i % 97 else "\n")
+    glob = f"{tmpdir_path}/*/labels/*.txt"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")   # force the big file into many splits
+    try:
+        a = FS.label_lines(spark, glob, whole_files=True).select("stem", "line_no", "line").collect()
+        b = FS.label_lines(spark, glob, whole_files=False).select("stem", "line_no", "line").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert len(a) == 2000 - 21 + 5 + 5 - 2
