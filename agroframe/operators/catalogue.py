@@ -94,10 +94,10 @@ def build_manifest(images: DataFrame, majority: DataFrame, classes: DataFrame,
 
     Images without a label (or without a valid box) drop out of the inner
     join; unknown class ids keep their id as name and an empty crop.  The
-    class list is a bounded dimension (one row per class).
+    class list is a small dimension: AQE broadcasts it after measuring it.
     """
     j = (images.join(majority, image, "inner")
-         .join(F.broadcast(classes.select("class_id", F.col("class_name").alias("_name"))), "class_id", "left"))
+         .join(classes.select("class_id", F.col("class_name").alias("_name")), "class_id", "left"))
     return j.select(
         "split", image,
         F.concat_ws("/", "split", F.lit("images"), "file_name").alias("path"),

@@ -26,6 +26,7 @@ STRICTNESS = {"Lenient": 1.3, "Balanced": 1.1, "Strict": 0.9}
 RIDGE = 1e-3
 THRESHOLD_PCT = 97.5
 MAX_DIM = 4096  # guard for everything we hold as a d x d matrix on the driver
+MAX_CLASSES = 100_000  # guard for the C x d means held on the driver and broadcast
 
 
 def class_means(emb: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
@@ -35,8 +36,8 @@ def class_means(emb: DataFrame, label: str = "label", vec: str = "embedding") ->
 
 
 def centered(emb: DataFrame, means: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
-    """Every row minus its class mean (means: one row per class, broadcast)."""
-    return (emb.join(F.broadcast(means), label, "inner")
+    """Every row minus its class mean (one row per class; AQE broadcasts it)."""
+    return (emb.join(means, label, "inner")
             .withColumn("centered", F.zip_with(F.col(vec).cast("array<double>"), F.col("mean"),
                                                lambda x, m: x - m))
             .drop("mean"))
@@ -102,7 +103,10 @@ class OodModel:
 def fit_ood(train: DataFrame, label: str = "label", vec: str = "embedding", ridge: float = RIDGE) -> OodModel:
     """M6 (fit): means and pooled covariance on Spark; the d x d inverse on the driver."""
     means_df = class_means(train, label, vec)
-    means_rows = sorted(means_df.collect(), key=lambda r: r[label])  # C rows (model size)
+    n_classes = means_df.count()
+    if n_classes > MAX_CLASSES:
+        raise ValueError(f"{n_classes} classes exceed {MAX_CLASSES}")
+    means_rows = sorted(means_df.collect(), key=lambda r: r[label])  # C rows (model size, checked)
     labels = [r[label] for r in means_rows]
     means = np.array([r["mean"] for r in means_rows], dtype=np.float64)
     d = means.shape[1]
@@ -176,11 +180,11 @@ def topk_classes(emb: DataFrame, means: DataFrame, key: str, k: int = 3, vec: st
                  label: str = "label") -> DataFrame:
     """T5: softmax over classes of -squared Euclidean distance, then the top k per row.
 
-    The class-mean table has one row per class and is broadcast; each row's
-    C scores are ranked by a window over that row only (C rows).
+    The class-mean table has one row per class (the label domain); each
+    row's C scores are ranked by a window over that row only (C rows).
     """
     m = means.select(F.col(label).alias("class"), "mean")
-    pairs = (emb.select(key, F.col(vec).cast("array<double>").alias("_x")).crossJoin(F.broadcast(m))
+    pairs = (emb.select(key, F.col(vec).cast("array<double>").alias("_x")).crossJoin(m)
              .withColumn("score", -F.aggregate(F.zip_with("_x", "mean", lambda a, b: (a - b) * (a - b)),
                                                F.lit(0.0), lambda acc, v: acc + v)))
     w = Window.partitionBy(key)
