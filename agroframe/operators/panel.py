@@ -66,10 +66,11 @@ def log_target(df: DataFrame, col: str = "pest_value", out: str = "y") -> DataFr
 def weekly_grain(clean: DataFrame) -> DataFrame:
     """One pass over the raw rows: sums and counts per (crop, location, pest, week).
 
-    Every weekly table below rolls up from this grain, so a plan that needs
-    weekly weather, weekly targets and series counts scans and shuffles the
-    raw panel once (the identical subtrees share one exchange) and only
-    partial aggregates of the grain cross the network.
+    Every weekly table below rolls up from this grain, and only partial
+    aggregates of the grain cross the network.  Catalyst prunes each
+    consumer's columns differently, so the consumers would *not* share one
+    exchange; a plan that needs several of them (``feature_panel``) writes
+    the grain once with ``materialize`` and reads it back per consumer.
     """
     aggs = [F.count("pest_value").alias("n_obs"), F.sum("pest_value").alias("s_pest"),
             F.count_if(F.col("pest_value") > 0).alias("n_present")]

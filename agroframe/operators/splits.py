@@ -34,10 +34,10 @@ def group_split(df: DataFrame, cls: str, group: str, row_order: str, frac: float
     md5 order the first n_test groups are test, the next n_val valid, the rest
     train.  Train keeps every row of a group, valid/test keep one
     representative (the first row by *row_order*).  Groups are formed with a
-    map-side ``min_by`` so a hot group of copies never sits in one task.
+    map-side ``min`` so a hot group of copies never sits in one task.
     """
     groups = (df.groupBy(cls, group)
-              .agg(F.min_by(row_order, F.col(row_order)).alias("_rep"))
+              .agg(F.min(row_order).alias("_rep"))
               .withColumn("_h", md5_order(seed, cls, group)))
     ranked = rank_within(groups, [cls], ["_h", group], out="_r", size="_n")
     k = F.when(F.col("_n") >= 3, F.greatest(F.lit(1), F.bround(F.col("_n") * frac, 0).cast("long"))) \
