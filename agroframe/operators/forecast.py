@@ -21,8 +21,17 @@ HUMID_VARS = ("rh1_pct", "rh2_pct")
 TEMP_RANGE, RAIN_RANGE, HUMID_RANGE = (-5.0, 5.0), (0.0, 3.0), (-20.0, 20.0)
 
 
+MAX_SCENARIOS = 1000  # the scenario table is cross-joined (broadcast): keep it a parameter table
+
+
 def scenarios(spark, rows) -> DataFrame:
-    """Scenario table (scenario_id, temp_off, rain_mult, humid_off), inputs range-checked."""
+    """Scenario table (scenario_id, temp_off, rain_mult, humid_off), inputs range-checked.
+
+    Forecast rows grow as (requests x scenarios), so the table size is capped.
+    """
+    rows = list(rows)
+    if len(rows) > MAX_SCENARIOS:
+        raise ValueError(f"{len(rows)} scenarios exceed {MAX_SCENARIOS}")
     for _, t, r, h in rows:
         if not (TEMP_RANGE[0] <= t <= TEMP_RANGE[1] and RAIN_RANGE[0] <= r <= RAIN_RANGE[1]
                 and HUMID_RANGE[0] <= h <= HUMID_RANGE[1]):
