@@ -6,6 +6,14 @@ projections reach the Parquet scan, aggregations combine map-side, and
 small dimension tables are broadcast only behind an explicit size check.
 """
 
-from agroframe.session import get_session, ensure_checkpoint_dir
+import sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions shipped to Python workers (grouped pandas functions, Arrow UDFs)
+# travel by value, so workers need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from agroframe.session import ensure_checkpoint_dir, get_session  # noqa: E402
 
 __all__ = ["get_session", "ensure_checkpoint_dir"]
