@@ -119,3 +119,18 @@ def test_null_keys_do_not_form_series(spark):
     assert tgt == {("L", "p", 2000 * 52): 6.0}        # crop is pooled (trap 9), NULL pest / location dropped
     wx = P.weekly_weather(clean).collect()
     assert [(r.location, r.week_id) for r in wx] == [("L", 2000 * 52)]
+
+
+def test_cluster_conf_is_accepted_at_runtime(spark):
+    from agroframe.session import CLUSTER_CONF
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
