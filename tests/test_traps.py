@@ -134,3 +134,15 @@ def test_cluster_conf_is_accepted_at_runtime(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_scenario_inputs_are_validated(spark):
+    import pytest
+    from agroframe.operators.forecast import MAX_SCENARIOS, scenarios
+    with pytest.raises(ValueError):
+        scenarios(spark, [(0, 6.0, 1.0, 0.0)])             # temperature offset outside -5..5
+    with pytest.raises(ValueError):
+        scenarios(spark, [(0, 0.0, 3.5, 0.0)])             # rain multiplier outside 0..3
+    with pytest.raises(ValueError):
+        scenarios(spark, [(i, 0.0, 1.0, 0.0) for i in range(MAX_SCENARIOS + 1)])
+    assert scenarios(spark, [(0, -5.0, 0.0, 20.0)]).count() == 1
