@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agroframe.llm import dac, packing
+from agroframe.llm import dac, html, packing
 from agroframe.llm.common import table
 from agroframe.llm.tokens import byte_bpe, word_bpe
 from agroframe.session import ensure_checkpoint_dir
@@ -31,3 +31,8 @@ def op4_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), byte_bpe()))
+
+
+@_query
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
