@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_CACHE_ENTRIES = 300_000  # words a Python worker keeps in a generation; results never depend on it
+WORD_CACHE_ENTRIES = 600_000  # words a Python worker keeps in a generation; results never depend on it
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

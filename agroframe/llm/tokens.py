@@ -86,15 +86,24 @@ class WordEncoder:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
         if len(self.cache) > WORD_CACHE_ENTRIES:
             self.older, self.cache = self.cache, {}
-        split = [None if self.odd_space(t) else self.units(t) for t in texts]
-        missing = set().union(*filter(None, split)).difference(self.cache)
-        known = missing.intersection(self.older) if self.older else ()
-        self.cache.update((u, self.older[u]) for u in known)
-        if missing := list(missing.difference(known)):
-            self._learn(missing)
-        get = self.cache.__getitem__
-        return [self._one_by_one([t])[0] if units is None else b"".join(map(get, units))
-                for t, units in zip(texts, split)]
+        held, new = [], {}
+        for t in texts:
+            units = None if self.odd_space(t) else self.units(t)
+            got = units and list(map(self.cache.get, units))
+            holes = [k for k, v in enumerate(got) if v is None] if got else ()
+            new.update((units[k], None) for k in holes)
+            held.append((t, units, got, holes))
+        for u in new.keys() & self.older.keys():
+            self.cache[u] = self.older[u]
+            del new[u]
+        if new:
+            self._learn(list(new))
+        out = []
+        for t, units, got, holes in held:
+            for k in holes:
+                got[k] = self.cache[units[k]]
+            out.append(self._one_by_one([t])[0] if units is None else b"".join(got))
+        return out
 
 
 def encoder(file: TokenizerFile) -> WordEncoder:
@@ -105,7 +114,7 @@ def encoder(file: TokenizerFile) -> WordEncoder:
     return cache[file.path]
 
 
-def encode_in_chunks(file: TokenizerFile, texts: list[str | None], chars: int = 400_000) -> Iterator[bytes]:
+def encode_in_chunks(file: TokenizerFile, texts: list[str | None], chars: int = 1_000_000) -> Iterator[bytes]:
     """Encode a batch chunk by chunk, so that working memory is bounded by *chars* or one text."""
     enc, chunk, held = encoder(file), [], 0
     for t in texts:
