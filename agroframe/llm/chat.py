@@ -24,7 +24,6 @@ from agroframe.session import materialize
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED_ROLE = "assistant"
-MAX_DOUBLINGS = 40  # 2^40 replies in a row; only a cycle runs into it
 
 
 def reply_paths(nodes: DataFrame) -> DataFrame:
@@ -38,18 +37,24 @@ def reply_paths(nodes: DataFrame) -> DataFrame:
     known = nodes.select("tree", F.col("node").alias("parent"))
     links = materialize(nodes.join(known, ["tree", "parent"], "left_semi").select("tree", "node", "parent"), "links")
     leaves = nodes.join(links.select("tree", F.col("parent").alias("node")).distinct(), ["tree", "node"], "left_anti")
-    found = leaves.select("tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("up"), "node")
+    sizes = nodes.groupBy("tree").agg(F.count("*").alias("size"))
+    found = materialize(leaves.join(sizes, "tree").select(
+        "tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("up"), "node", "size"), "paths")
     jump, step = links.select("tree", "node", F.col("parent").alias("far")), 1
-    for _ in range(MAX_DOUBLINGS):
-        if jump.isEmpty():
+    while True:
+        # a path has fewer steps than its tree has nodes; only a cycle would go on
+        higher = materialize(found.join(jump, ["tree", "node"]).where(F.col("up") + step < F.col("size"))
+                             .select("tree", "leaf", (F.col("up") + step).alias("up"), F.col("far").alias("node"), "size"),
+                             "paths")
+        if higher.isEmpty():
             break
-        higher = found.join(jump, ["tree", "node"]).select("tree", "leaf", (F.col("up") + step).alias("up"),
-                                                           F.col("far").alias("node"))
-        found = materialize(found.unionByName(higher), "paths")
-        next_jump = jump.select("tree", "node", F.col("far").alias("mid")).join(
-            jump.select("tree", F.col("node").alias("mid"), "far"), ["tree", "mid"]).select("tree", "node", "far")
-        jump = materialize(next_jump, "jumps")
+        found = found.unionByName(higher)
+        jump = materialize(
+            jump.select("tree", "node", F.col("far").alias("mid"))
+            .join(jump.select("tree", F.col("node").alias("mid"), "far"), ["tree", "mid"]).select("tree", "node", "far"),
+            "jumps")
         step *= 2
+    found = found.drop("size")
     rooted = found.join(links.select("tree", "node"), ["tree", "node"], "left_anti").select("tree", "leaf")
     return found.join(rooted, ["tree", "leaf"], "left_semi")
 

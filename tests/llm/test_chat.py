@@ -65,7 +65,7 @@ def test_tree_paths_and_branches(spark):
                    (2, 99): {i: 99 - i for i in range(100)}}
     scores = df.selectExpr("tree", "node", "if(node = 3, 10.0D, 1.0D) score")
     ranked = chat.rank_branches(paths, scores, best=2).select("tree", "leaf", "branch", "score").distinct().collect()
-    assert sorted(map(tuple, ranked)) == [(1, 3, 1, 11.0), (1, 5, 2, 4.0), (2, 99, 1, 100.0), (4, 1, 1, 1.0)]
+    assert sorted(map(tuple, ranked)) == [(1, 3, 1, 11.0), (1, 5, 2, 4.0), (2, 99, 1, 109.0), (4, 1, 1, 1.0)]
     texts = df.selectExpr("tree", "node", "'user' role", "concat('n', node) text")
     best = chat.format_paths(chat.rank_branches(paths, scores), texts).where("tree = 1").collect()
     assert [chat.read_turns(r.formatted) for r in best] == [[("user", "n1"), ("user", "n3")]]
