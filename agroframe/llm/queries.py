@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agroframe.llm import ann, chat, dac, html, packing
+from agroframe.llm import ann, chat, dac, html, neardup, packing
 from agroframe.llm.common import table
 from agroframe.llm.tokens import byte_bpe, word_bpe
 from agroframe.session import ensure_checkpoint_dir
@@ -43,6 +43,11 @@ def op4_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.open_store(spark, path))
 
 
+@_query
+def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 @_query
 def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), byte_bpe()))
