@@ -175,6 +175,24 @@ def fit(rows: DataFrame) -> Model:
                  np.frombuffer(got.v, "<f4").reshape(-1, FACTORS))
 
 
+def scorer(model: Model):
+    """Function from a text to its score, for use inside a task."""
+    row_of = {int(t): k for k, t in enumerate(model.ids)}
+    known: dict[str, int] = {}
+
+    def of(text: str | None) -> float:
+        words = terms(text)
+        if len(known) > WORD_CACHE_ENTRIES:
+            known.clear()
+        for w in words.difference(known):
+            known[w] = row_of.get(term_id(w), -1)
+        rows = {known[w] for w in words}
+        rows.discard(-1)
+        return predict(model, np.array(sorted(rows), dtype=np.int64))
+
+    return of
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every row.
 
@@ -182,22 +200,24 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     held out; repeated rows are scored each by itself; other columns are ignored.
     """
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_of = {int(t): k for k, t in enumerate(model.ids)}
-        known: dict[str, int] = {}
+        of = scorer(model)
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                words = terms(text)
-                if len(known) > WORD_CACHE_ENTRIES:
-                    known.clear()
-                for w in words.difference(known):
-                    known[w] = row_of.get(term_id(w), -1)
-                rows = {known[w] for w in words}
-                rows.discard(-1)
-                out.append(predict(model, np.array(sorted(rows), dtype=np.int64)))
+            out = [of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(scored, "doc_id long, score double")
     return out.select("doc_id", held_out().alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of *docs* whose text scores below *threshold*, all columns as they are; no shuffle."""
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array([of(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
