@@ -2,8 +2,8 @@
 
 The reference answers one request at a time; here every (series, week,
 scenario) request is a row, so a whole season for every series and every
-scenario is one Spark job.  Scenario tables are user parameters (a few
-rows) and are broadcast; climatology rows are a (location x week) dimension.
+scenario is one Spark job.  Scenario tables are DataFrames given by the
+user, of any length; climatology rows are a (location x week) dimension.
 """
 
 from __future__ import annotations
@@ -21,17 +21,9 @@ HUMID_VARS = ("rh1_pct", "rh2_pct")
 TEMP_RANGE, RAIN_RANGE, HUMID_RANGE = (-5.0, 5.0), (0.0, 3.0), (-20.0, 20.0)
 
 
-MAX_SCENARIOS = 1000  # the scenario table is cross-joined (broadcast): keep it a parameter table
-
-
 def scenarios(spark, rows) -> DataFrame:
-    """Scenario table (scenario_id, temp_off, rain_mult, humid_off), inputs range-checked.
-
-    Forecast rows grow as (requests x scenarios), so the table size is capped.
-    """
+    """Scenario table (scenario_id, temp_off, rain_mult, humid_off), inputs range-checked."""
     rows = list(rows)
-    if len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"{len(rows)} scenarios exceed {MAX_SCENARIOS}")
     for _, t, r, h in rows:
         if not (TEMP_RANGE[0] <= t <= TEMP_RANGE[1] and RAIN_RANGE[0] <= r <= RAIN_RANGE[1]
                 and HUMID_RANGE[0] <= h <= HUMID_RANGE[1]):
@@ -47,7 +39,7 @@ def apply_scenarios(features: DataFrame, scen: DataFrame) -> DataFrame:
     becomes 0, as max(0, NaN) does); humidity + offset clipped to 0..100 and
     kept missing when missing.
     """
-    j = features.crossJoin(F.broadcast(scen))
+    j = features.crossJoin(scen)  # every request under every scenario; the measured sizes decide the join
     cols = {}
     for c in WEATHER:
         for kind in ("lag1", "roll4"):

@@ -1,8 +1,8 @@
 """Gap-aware local-linear-trend Kalman filter and RTS smoother, per series.
 
-State (level, slope) in log1p space; a gap of t weeks between readings
-predicts level += t * slope with process noise (q_level * t, q_slope * t).
-The recursion is inherently sequential inside a series, so it runs as a
+State (level, slope) in log1p space; a gap of g weeks between readings
+predicts level += g * slope with process noise (q_level * g, q_slope * g).
+The elimination is inherently sequential inside a series, so it runs as a
 grouped pandas function: Spark shuffles by series key and runs all series
 in parallel.  Input is the *weekly* series (one mean per week), so a group
 is bounded by the calendar span of the series, never by raw row counts.
@@ -19,43 +19,57 @@ from pyspark.sql import functions as F
 Q_LEVEL, Q_SLOPE, R_OBS = 0.02, 0.002, 0.35
 
 
-def _filter_smooth(weeks: np.ndarray, z: np.ndarray, ql: float, qs: float, r: float):
-    n = len(z)
-    xf = np.empty((n, 2))
-    pf = np.empty((n, 3))  # covariance cells (a, b, d) = (P00, P01, P11)
-    x0, x1, a, b, d = z[0], 0.0, 1.0, 0.0, 1.0
-    r2 = r * r
+def _inverse(a: float, b: float, d: float) -> tuple[float, float, float]:
+    """Inverse of the symmetric matrix [[a, b], [b, d]]."""
+    det = a * d - b * b
+    return d / det, -b / det, a / det
+
+
+def local_trend(weeks: np.ndarray, z: np.ndarray, ql: float, qs: float, r: float, smooth: bool = True):
+    """Filtered means, smoothed means and smoothed (level variance) of one series.
+
+    The path of states is one Gaussian whose precision matrix is block
+    tridiagonal: the prior and the readings sit on the diagonal, and a step over a
+    gap of g weeks adds M'WM, W and -M'W with M = [[1, g], [0, 1]] and
+    W = diag(1 / (ql g), 1 / (qs g)).  Eliminating the blocks from the first to the last
+    gives the filter (the precision of a state given the past); substituting
+    back gives the smoother.
+    """
+    n, w = len(z), 1.0 / (r * r)
+    gaps = np.maximum(1.0, np.diff(weeks))
+    wl, ws = 1.0 / (ql * gaps), 1.0 / (qs * gaps)
+    filtered = np.empty((n, 2))
+    folded = []  # per step: inverse of (precision so far + M'WM), and its right-hand side
+    pa, pb, pd_, ga, gb = 1.0 + w, 0.0, 1.0, z[0] + w * z[0], 0.0
     for i in range(n):
-        if i:
-            t = max(1.0, weeks[i] - weeks[i - 1])
-            x0 += t * x1
-            a, b, d = a + 2 * t * b + t * t * d + ql * t, b + t * d, d + qs * t
-        s = a + r2
-        k0, k1 = a / s, b / s
-        innov = z[i] - x0
-        x0, x1 = x0 + k0 * innov, x1 + k1 * innov
-        a, b, d = (1 - k0) * a, (1 - k0) * b, d - k1 * b
-        xf[i] = (x0, x1)
-        pf[i] = (a, b, d)
-    xs, ps = xf.copy(), pf.copy()
+        va, vb, vd = _inverse(pa, pb, pd_)
+        filtered[i] = va * ga + vb * gb, vb * ga + vd * gb
+        if i == n - 1:
+            break
+        g, u, v = gaps[i], wl[i], ws[i]
+        ia, ib, id_ = _inverse(pa + u, pb + u * g, pd_ + u * g * g + v)
+        folded.append((ia, ib, id_, ga, gb))
+        # rows of W M: (u, u g) and (0, v)
+        la, lb = u * (ia + g * ib), u * (ib + g * id_)
+        pa, pb, pd_ = u - (la * u + lb * u * g) + w, -lb * v, v - v * id_ * v
+        ga, gb = la * ga + lb * gb + w * z[i + 1], v * (ib * ga + id_ * gb)
+    if not smooth:
+        return filtered, None, None
+    means, variance = filtered.copy(), np.empty(n)
+    variance[-1], (sa, sb, sd) = va, (va, vb, vd)
     for i in range(n - 2, -1, -1):
-        t = max(1.0, weeks[i + 1] - weeks[i])
-        a, b, d = pf[i]
-        pa, pb, pd_ = a + 2 * t * b + t * t * d + ql * t, b + t * d, d + qs * t
-        det = pa * pd_ - pb * pb
-        c00 = ((a + t * b) * pd_ - b * pb) / det
-        c01 = (b * pa - (a + t * b) * pb) / det
-        c10 = ((b + t * d) * pd_ - d * pb) / det
-        c11 = (d * pa - (b + t * d) * pb) / det
-        dx0 = xs[i + 1, 0] - (xf[i, 0] + t * xf[i, 1])
-        dx1 = xs[i + 1, 1] - xf[i, 1]
-        xs[i, 0] = xf[i, 0] + c00 * dx0 + c01 * dx1
-        xs[i, 1] = xf[i, 1] + c10 * dx0 + c11 * dx1
-        m00, m01, m11 = ps[i + 1, 0] - pa, ps[i + 1, 1] - pb, ps[i + 1, 2] - pd_
-        ps[i, 0] = a + c00 * c00 * m00 + 2 * c00 * c01 * m01 + c01 * c01 * m11
-        ps[i, 1] = b + c00 * c10 * m00 + (c00 * c11 + c01 * c10) * m01 + c01 * c11 * m11
-        ps[i, 2] = d + c10 * c10 * m00 + 2 * c10 * c11 * m01 + c11 * c11 * m11
-    return xf, xs, ps
+        ia, ib, id_, ga, gb = folded[i]
+        g, u, v = gaps[i], wl[i], ws[i]
+        nxt = means[i + 1]
+        ha, hb = ga + u * nxt[0], gb + u * g * nxt[0] + v * nxt[1]
+        means[i] = ia * ha + ib * hb, ib * ha + id_ * hb
+        # K = inverse * M'W carries the next state's covariance back
+        k00, k01, k10, k11 = u * (ia + g * ib), v * ib, u * (ib + g * id_), v * id_
+        sa, sb, sd = (ia + k00 * k00 * sa + 2 * k00 * k01 * sb + k01 * k01 * sd,
+                      ib + k00 * k10 * sa + (k00 * k11 + k01 * k10) * sb + k01 * k11 * sd,
+                      id_ + k10 * k10 * sa + 2 * k10 * k11 * sb + k11 * k11 * sd)
+        variance[i] = sa
+    return filtered, means, variance
 
 
 def kalman_smooth(weekly: DataFrame, keys=("location", "pest"), value: str = "value",
@@ -63,7 +77,7 @@ def kalman_smooth(weekly: DataFrame, keys=("location", "pest"), value: str = "va
     """W8 + W9: filtered level/slope, smoothed level and a +-2 sigma band per week.
 
     Output (counts): ``est = expm1(level)``, ``lo/hi = expm1(level -+ 2 std)``
-    with ``std = sqrt(max(P_smoothed[0,0], 0) + var_pop(z - level))``.
+    with ``std = sqrt(max(smoothed level variance, 0) + var_pop(z - level))``.
     """
     keys = list(keys)
     key_fields = [f for f in weekly.schema.fields if f.name in keys]
@@ -76,9 +90,9 @@ def kalman_smooth(weekly: DataFrame, keys=("location", "pest"), value: str = "va
         weeks = pdf["week_id"].to_numpy(dtype=float)
         vals = pdf[value].to_numpy(dtype=float)
         z = np.log1p(vals)
-        xf, xs, ps = _filter_smooth(weeks, z, q_level, q_slope, r_obs)
+        xf, xs, var = local_trend(weeks, z, q_level, q_slope, r_obs)
         level = xs[:, 0]
-        std = np.sqrt(np.clip(ps[:, 0], 0, None) + float(np.var(z - level)))
+        std = np.sqrt(var.clip(0) + float(np.var(z - level)))
         out = pd.DataFrame({k: pdf[k].to_numpy() for k in keys})
         out["week_id"] = pdf["week_id"].to_numpy(dtype="int64")
         out["value"] = vals

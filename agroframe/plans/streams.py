@@ -14,7 +14,7 @@ from agroframe.plans.registry import finish, query
 from agroframe.plans.smoothing import KF_CTES
 from agroframe.sources.fixtures import with_clause
 from agroframe.streaming.live import live_check, run_available_now, scratch_path
-from agroframe.streaming.online import online_filter
+from agroframe.streaming.online import latest, online_filter
 
 
 def _rules_sql() -> str:
@@ -45,11 +45,11 @@ def live_check_q(spark, sf):
        "round(round(f.x0, 9), 6) AS level_f, round(round(f.x1, 9), 6) AS slope_f FROM kf f JOIN s "
        "ON s.location = f.location AND s.pest = f.pest AND s.rn = f.rn", ("fx_panel",), KF_CTES, recursive=True)
 def online_filter_q(spark, sf):
-    """ST2: weekly series written as a table, replayed as a stream through the
-    stateful forward filter (equals W8 on an in-order stream)."""
+    """ST2: weekly series written as a table of several files, replayed file by file as a
+    stream through the stateful forward filter (equals W8 in any order of arrival)."""
     weekly = P.weekly_target(clean(spark, sf)).withColumnRenamed("pest_value", "value")
     src = scratch_path(spark, "weekly-obs")
-    weekly.write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    weekly.repartition(5).write.parquet(src)  # weeks of a series lie in several micro-batches
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = run_available_now(online_filter(stream), "online-filter")
-    return finish(spark.read.parquet(out))
+    return finish(latest(spark.read.parquet(out)))

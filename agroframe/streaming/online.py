@@ -1,10 +1,13 @@
-"""ST2: online (forward-only) Kalman filter per series with arbitrary state.
+"""ST2: online (forward-only) filter per series with arbitrary state.
 
-State per (location, pest): level, slope, covariance (a, b, d) and the last
-week seen.  Each micro-batch continues the recursion from the stored state;
-weeks at or before the last seen week are out of order and dropped.  On an
-in-order stream the output equals the batch filter (``kalman_smooth``'s
-``level_f`` / ``slope_f``).
+The state of a (location, pest) is its readings so far, at most one per week, so it
+is bounded by the calendar.  A micro-batch may hold weeks of any order: new
+readings are sorted in, and every week from the earliest new one on is
+estimated anew and emitted with the next ``revision``.  Nothing is dropped: a
+reading that arrives late changes the estimates after it, and a second
+reading of a week replaces the first.  ``latest`` keeps the last revision of
+each week, which equals the batch filter (``kalman_smooth``'s ``level_f`` / ``slope_f``)
+however the input was cut into micro-batches.
 """
 
 from __future__ import annotations
@@ -14,48 +17,49 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from agroframe.operators.smoothing import Q_LEVEL, Q_SLOPE, R_OBS
+from agroframe.operators.smoothing import Q_LEVEL, Q_SLOPE, R_OBS, local_trend
 
-STATE_SCHEMA = "x0 double, x1 double, a double, b double, d double, last_week long"
-OUT_SCHEMA = "location string, pest string, week_id long, value double, level_f double, slope_f double"
-
-
-def _step(state, week, z, ql, qs, r2):
-    if state is None:  # first reading: start at (z, 0) with unit covariance, then update
-        x0, x1, a, b, d = z, 0.0, 1.0, 0.0, 1.0
-    else:
-        x0, x1, a, b, d, last = state
-        t = max(1.0, week - last)
-        x0 += t * x1
-        a, b, d = a + 2 * t * b + t * t * d + ql * t, b + t * d, d + qs * t
-    s = a + r2
-    k0, k1 = a / s, b / s
-    innov = z - x0
-    x0, x1 = x0 + k0 * innov, x1 + k1 * innov
-    a, b, d = (1 - k0) * a, (1 - k0) * b, d - k1 * b
-    return (x0, x1, a, b, d, week)
+STATE_SCHEMA = "weeks array<long>, readings array<double>, revision long"
+OUT_SCHEMA = ("location string, pest string, week_id long, value double, level_f double, slope_f double, "
+              "revision long")
 
 
 def online_filter(weekly: DataFrame, value: str = "value", q_level: float = Q_LEVEL,
                   q_slope: float = Q_SLOPE, r_obs: float = R_OBS) -> DataFrame:
-    """Apply the filter to a (streaming or batch) DataFrame of weekly readings."""
-    r2 = r_obs * r_obs
+    """Apply the filter to a (streaming or batch) DataFrame of weekly readings.
 
+    Rows without week or value are no readings.  Emits one row per week that a
+    micro-batch adds or changes; see the module for revisions.
+    """
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        st = tuple(state.get) if state.exists else None
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("week_id")
-        rows = []
-        for w, v in zip(pdf["week_id"].to_numpy(dtype=float), pdf[value].to_numpy(dtype=float)):
-            if st is not None and w <= st[5]:
-                continue  # out of order or repeated week
-            st = _step(st, w, float(np.log1p(v)), q_level, q_slope, r2)
-            rows.append((key[0], key[1], int(w), float(v), st[0], st[1]))
-        if st is not None:
-            state.update((st[0], st[1], st[2], st[3], st[4], int(st[5])))
-        yield pd.DataFrame(rows, columns=["location", "pest", "week_id", "value", "level_f", "slope_f"])
-
-    return (weekly.select("location", "pest", "week_id", value)
+        weeks, readings, revision = state.get if state.exists else ([], [], 0)
+        held = dict(zip(weeks, readings))
+        new = {}
+        for pdf in batches:
+            new.update(zip(pdf["week_id"].tolist(), pdf[value].tolist()))
+        new = {w: v for w, v in new.items() if held.get(w) != v}
+        if not new:
+            return
+        held.update(new)
+        order = sorted(held)
+        vals = [held[w] for w in order]
+        states, _, _ = local_trend(np.array(order, dtype=float), np.log1p(np.array(vals, dtype=float)),
+                                   q_level, q_slope, r_obs, smooth=False)
+        state.update((order, vals, revision + 1))
+        at = order.index(min(new))
+        out = pd.DataFrame({"location": key[0], "pest": key[1], "week_id": order[at:], "value": vals[at:]})
+        yield out.assign(level_f=states[at:, 0], slope_f=states[at:, 1], revision=revision + 1)
+
+    return (weekly.select("location", "pest", "week_id", value).where(f"week_id is not null and {value} is not null")
             .groupBy("location", "pest")
             .applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+
+
+def latest(estimates: DataFrame) -> DataFrame:
+    """The last revision of every week of the (batch-read) output of ``online_filter``."""
+    cells = ["value", "level_f", "slope_f"]
+    last = estimates.groupBy("location", "pest", "week_id").agg(F.max_by(F.struct(*cells), "revision").alias("_last"))
+    return last.select("location", "pest", "week_id", *[F.col(f"_last.{c}").alias(c) for c in cells])

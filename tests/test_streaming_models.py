@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as E
+import pytest
+
 from agroframe.operators import metrics as M
 from agroframe.operators import models as MD
 from agroframe.operators import ood as O
@@ -15,7 +17,7 @@ from agroframe.plans import pest as PP
 from agroframe.plans import sensor as PS
 from agroframe.plans.registry import fx
 from agroframe.streaming.live import live_check, run_available_now, scratch_path
-from agroframe.streaming.online import online_filter
+from agroframe.streaming.online import latest, online_filter
 
 
 def test_entry_smoke(spark):
@@ -35,28 +37,41 @@ def test_live_check_stream_equals_batch(spark):
         sorted(map(tuple, batch.select(cols).collect()), key=str)
 
 
-def test_online_filter_equals_batch_filter(spark):
+def _weekly_files(spark, path, files):
+    """The weekly readings, each series spread over *files* in no order of weeks."""
     weekly = P.weekly_target(PP.clean(spark, SF_SMALL)).withColumnRenamed("pest_value", "value")
-    src = scratch_path(spark, "weekly")
-    weekly.write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    got = spark.read.parquet(run_available_now(online_filter(stream), "online-test")).toPandas()
-    want = kalman_smooth(spark.read.parquet(src)).toPandas()
-    m = got.merge(want, on=["location", "pest", "week_id"], suffixes=("", "_b"))
-    assert len(m) == len(want) == len(got)
-    np.testing.assert_allclose(m.level_f, m.level_f_b, rtol=1e-9, atol=1e-12)
-    np.testing.assert_allclose(m.slope_f, m.slope_f_b, rtol=1e-9, atol=1e-12)
-
-
-def test_online_filter_drops_out_of_order_weeks(spark):
-    src = scratch_path(spark, "late")
+    weekly.repartition(files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_online_filter_equals_batch_filter_in_any_order(spark, tmpdir_path, files):
+    src = f"{tmpdir_path}/weekly"
+    weekly = _weekly_files(spark, src, files)
+    stream = spark.readStream.schema(weekly.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    raw = spark.read.parquet(run_available_now(online_filter(stream), "online-test"))
+    assert raw.agg(F.max("revision")).first()[0] == files
+    got = {(r.location, r.pest, r.week_id): r for r in latest(raw).collect()}
+    want = kalman_smooth(weekly).collect()
+    assert len(got) == len(want) == weekly.count() > 1000  # no reading is lost
+    for r in want:
+        g = got[r.location, r.pest, r.week_id]
+        assert abs(g.level_f - r.level_f) < 1e-9 and abs(g.slope_f - r.slope_f) < 1e-9 and g.value == r.value
+
+
+def test_online_filter_late_and_repeated_weeks(spark, tmpdir_path):
     schema = "location string, pest string, week_id long, value double"
-    spark.createDataFrame([("L", "p", 10, 1.0), ("L", "p", 12, 2.0)], schema).coalesce(1).write.parquet(f"{src}/b1")
-    spark.createDataFrame([("L", "p", 11, 5.0), ("L", "p", 13, 3.0)], schema).coalesce(1).write.parquet(f"{src}/b2")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(src))
-    got = spark.read.parquet(run_available_now(online_filter(stream), "late-test")).collect()
-    assert sorted(r.week_id for r in got) == [10, 12, 13]   # week 11 arrived after week 12
+    src = f"{tmpdir_path}/late"
+    parts = [[("L", "p", 10, 5.0), ("L", "p", 12, 7.0)], [("L", "p", 8, 1.0), ("L", "p", None, 1.0), ("L", "p", 9, None)],
+             [("L", "p", 12, 7.0)], [("L", "p", 10, 6.0)]]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    raw = spark.read.parquet(run_available_now(online_filter(stream), "late-test"))
+    got = sorted((r.week_id, r.value, round(r.level_f, 12)) for r in latest(raw).collect())
+    final = spark.createDataFrame([("L", "p", 8, 1.0), ("L", "p", 10, 6.0), ("L", "p", 12, 7.0)], schema)
+    assert got == sorted((r.week_id, r.value, round(r.level_f, 12)) for r in kalman_smooth(final).collect())
+    assert raw.count() == 2 + 3 + 2  # a reading that repeats itself changes nothing
 
 
 def test_health_model_recovers_rule(spark):

@@ -138,11 +138,11 @@ def test_cluster_conf_is_accepted_at_runtime(spark):
 
 def test_scenario_inputs_are_validated(spark):
     import pytest
-    from agroframe.operators.forecast import MAX_SCENARIOS, scenarios
+    from agroframe.operators.forecast import apply_scenarios, scenarios
     with pytest.raises(ValueError):
         scenarios(spark, [(0, 6.0, 1.0, 0.0)])             # temperature offset outside -5..5
     with pytest.raises(ValueError):
         scenarios(spark, [(0, 0.0, 3.5, 0.0)])             # rain multiplier outside 0..3
-    with pytest.raises(ValueError):
-        scenarios(spark, [(i, 0.0, 1.0, 0.0) for i in range(MAX_SCENARIOS + 1)])
+    many = scenarios(spark, [(i, 0.0, 1.0, 0.0) for i in range(3000)])  # any number of scenarios
+    assert apply_scenarios(spark.createDataFrame([(1.0,)] * 2, "maxt_c_lag1 double"), many).count() == 6000
     assert scenarios(spark, [(0, -5.0, 0.0, 20.0)]).count() == 1
