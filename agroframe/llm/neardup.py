@@ -11,8 +11,9 @@ so short texts fill their registers too.
    collision-corrected Jaccard estimate is too low are dropped; the others are
    verified on the full texts, and verified links give components.
 4. In buckets that still hold several components, the remaining pairs across
-   components are estimated block against block inside tasks, and only those
-   that may reach the threshold are sent on and verified.
+   components are estimated block against block inside tasks; those that may
+   reach the threshold are verified there, most alike first, until their
+   components are joined.  A task sends on no more links than it joins components.
 5. Components of all verified links, spread to the classes' documents.
 
 So no bucket is expanded into all its pairs, and no pair that shares a
@@ -188,57 +189,88 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float, n_bands: int, width: int,
-            m: int) -> DataFrame:
-    """Untested promising pairs of different components in the buckets of *members* (bucket, band, id, hub, size).
+def _full_sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(id, digest, hashes) of the documents named in *ids* (doc_id)."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([xxhash.xxh3_128_digest(g) for g in got], pa.binary()), pa.array(got, pa.binary())],
+                names=["id", "digest", "hashes"])
+
+    some = docs.select("doc_id", "text").join(few_or_shuffled(ids), "doc_id", "left_semi")
+    return some.mapInArrow(sets, "id long, digest binary, hashes binary").dropDuplicates(["id", "digest"])
+
+
+def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int,
+            n_bands: int, width: int, m: int) -> DataFrame:
+    """Verified links between components in the buckets of *members* (bucket, band, id, hub, size).
 
     Pairs with the hub are tested already, so only buckets of three or more and
     their other members count.  A large bucket is cut into blocks and every block
     meets every other one in a task of its own; a pair that shares several
-    buckets is sent on from its first band only.
+    buckets is looked at in its first band only.
     """
+    threshold = percent / 100
     floor = floor_of(threshold, m)
     rest = (members.where("size > 2 and id <> hub").join(labels.withColumnRenamed("component", "c"), "id", "left")
             .withColumn("component", F.coalesce("c", "id")).drop("c", "hub"))
     mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo < hi").select("bucket")
+    rest = materialize(rest.join(mixed, "bucket"), "mixed")
+    ids = materialize(rest.select(F.col("id").alias("doc_id")).distinct(), "mixed-ids")
+    held = classes.select("id", "digest", "n", "regs").join(_full_sets(ids, docs, k), ["id", "digest"]).drop("digest")
+    held = materialize(held, "mixed-sets")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = rest.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    rest = rest.join(classes.select("id", "n", "regs"), "id")
-    met = rest.withColumn("met", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-        .withColumn("x", F.least("own", "met")).withColumn("y", F.greatest("own", "met"))
+    met = (rest.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+           .withColumn("met", F.explode(F.sequence(F.lit(0), blocks - 1)))
+           .withColumn("x", F.least("own", "met")).withColumn("y", F.greatest("own", "met")).join(held, "id"))
 
     def meet(table: pa.Table) -> pa.Table:
-        got_a, got_b = [], []
+        got = []
         if table.num_rows > 1:
             x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
             band = table.column("band")[0].as_py()
             ids, comp, n, own = (table.column(c).to_numpy() for c in ("id", "component", "n", "own"))
             regs = _matrix(table.column("regs").combine_chunks())
+            sets = [np.frombuffer(h, dtype=np.uint64) for h in table.column("hashes").to_pylist()]
             left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-            values, counts = np.unique(comp, return_counts=True)
-            main = values[counts.argmax()]
+            values, code, counts = np.unique(comp, return_inverse=True, return_counts=True)
+            main, parent = counts.argmax(), list(range(len(values)))
+
+            def top(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
             # rows outside the largest component against everyone: the other pairs are joined already
-            sides = [(left[comp[left] != main], right)]
+            sides = [(left[code[left] != main], right)]
             if x != y:
-                sides.append((right[comp[right] != main], left[comp[left] == main]))
+                sides.append((right[code[right] != main], left[code[left] == main]))
             for some, others in sides:
                 for at in range(0, len(some), 64):
                     part = some[at:at + 64]
                     equal = regs[part][:, None, :] == regs[others][None, :, :]
                     in_band = equal[:, :, :n_bands * width].reshape(len(part), len(others), n_bands, width).all(axis=3)
-                    i, j = np.nonzero((comp[part][:, None] != comp[others][None, :]) & (in_band.argmax(axis=2) == band)
+                    i, j = np.nonzero((code[part][:, None] != code[others][None, :]) & (in_band.argmax(axis=2) == band)
                                       & in_band[:, :, band])
                     a, b = part[i], others[j]
-                    na, nb = n[a], n[b]
-                    ok = (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9)
-                    ok &= (estimate(equal.sum(axis=2)[i, j], na, nb, m) >= floor) | (np.maximum(na, nb) <= ALWAYS_VERIFY)
-                    got_a.append(np.minimum(ids[a[ok]], ids[b[ok]]))
-                    got_b.append(np.maximum(ids[a[ok]], ids[b[ok]]))
-        empty = np.empty(0, dtype=np.int64)
-        return pa.table({"a": np.concatenate([empty, *got_a]), "b": np.concatenate([empty, *got_b])})
-
-    return met.select("bucket", "x", "y", "band", "id", "component", "n", "own", "regs") \
+                    alike = estimate(equal.sum(axis=2)[i, j], n[a], n[b], m)
+                    ok = (alike >= floor) | (np.maximum(n[a], n[b]) <= ALWAYS_VERIFY)
+                    ok &= np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-9
+                    order = np.flatnonzero(ok)[np.argsort(-alike[ok], kind="stable")]
+                    for p, q in zip(a[order].tolist(), b[order].tolist()):
+                        cp, cq = top(code[p]), top(code[q])
+                        if cp == cq:
+                            continue
+                        inter = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
+                        if 100 * inter >= percent * (len(sets[p]) + len(sets[q]) - inter):
+                            parent[cp] = cq
+                            got.append((ids[p], ids[q]))
+        pairs = np.array(got, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(axis=1, initial=2**63 - 1), "b": pairs.max(axis=1, initial=-2**63)})
+
+    return met.select("bucket", "x", "y", "band", "id", "component", "n", "own", "regs", "hashes") \
         .groupBy("bucket", "x", "y").applyInArrow(meet, "a long, b long").distinct()
 
 
@@ -266,10 +298,9 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, m: int = REGISTERS) -
     stars = materialize(_promising(stars, classes, threshold, m), "pairs")
     links = materialize(verified(stars, docs, k, percent), "links")
     labels = materialize(connected_components(links), "labels")
-    more = materialize(_across(members, classes, labels, threshold, n_bands, width, m), "pairs")
+    more = materialize(_across(members, classes, labels, docs, k, percent, n_bands, width, m), "links")
     if not more.isEmpty():
-        links = links.unionByName(verified(more, docs, k, percent))
-        labels = materialize(connected_components(links), "labels")
+        labels = materialize(connected_components(links.unionByName(more)), "labels")
     by_class = classes.select("digest", "id").join(labels, "id", "left") \
         .select("digest", F.coalesce("component", "id").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(by_class, "digest", "left")
