@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agroframe.session import materialize
 from agroframe.operators.panel import BASE_FEATS, ENDEMIC_THR, SPLIT_YEAR, add_presence
 
 SERIES2 = ["location", "pest"]
@@ -59,11 +60,17 @@ def with_endemic(df: DataFrame, endemic: DataFrame) -> DataFrame:
             .withColumn("endemic", F.coalesce("_e", F.lit(False))).drop("_e"))
 
 
+def climatology_table(panel: DataFrame, feats=BASE_FEATS) -> DataFrame:
+    """A12 in one pass: mean of every feature per (location, week), and over everything (``is_global``)."""
+    keys = ["location", "standard_week"]
+    return (panel.groupingSets([keys, []], *keys)
+            .agg(*[F.avg(c).alias(c) for c in feats], (F.grouping_id() > 0).alias("is_global")))
+
+
 def feature_climatology(panel: DataFrame, feats=BASE_FEATS) -> tuple[DataFrame, DataFrame]:
-    """Mean of every feature per (location, week) plus one global row."""
-    by_week = panel.groupBy("location", "standard_week").agg(*[F.avg(c).alias(c) for c in feats])
-    glob = panel.agg(*[F.avg(c).alias(c) for c in feats])
-    return by_week, glob
+    """Mean of every feature per (location, week) plus one global row, computed once."""
+    both = materialize(climatology_table(panel, feats), "climatology")
+    return both.filter("not is_global").drop("is_global"), both.filter("is_global").select(*feats)
 
 
 def climatology_lookup(requests: DataFrame, by_week: DataFrame, glob: DataFrame,

@@ -8,10 +8,11 @@ ranks the (class, source) *groups*, not the images.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroframe.functions.columns import clean_int, crop_of, file_kind, folder_key, source_key
+from agroframe.operators.ranking import rank_within
 
 # Names the format check looks for.
 FORMAT_MARKERS = ("classes.txt", "data.yaml", "labels.csv", "train", "valid", "test")
@@ -56,15 +57,16 @@ def parse_class_list(yaml_text: DataFrame, col: str = "text") -> DataFrame:
     inline = F.regexp_extract(F.col(col), r"names:\s*\[([^\]]*)\]", 1)
     listed = F.regexp_extract_all(F.col(col), F.lit(r"(?m)^\s*-\s*(.+)$"), 1)
     items = F.when(F.col(col).rlike(r"names:\s*\["), F.split(inline, ",")).otherwise(listed)
+    bare = F.regexp_replace("raw", r"^\s+|\s+$", "")
     return (yaml_text.select(F.posexplode(items).alias("class_id", "raw"))
             .select(F.col("class_id").cast("int"),
-                    F.regexp_replace(F.trim("raw"), r"""^['"]+|['"]+$""", "").alias("class_name")))
+                    F.regexp_replace(bare, r"""^['"]+|['"]+$""", "").alias("class_name")))
 
 
 def label_tokens(lines: DataFrame, line: str = "line") -> DataFrame:
     """First token of every non-blank label line, parsed as an int (NULL when bad)."""
-    tok = F.split(F.trim(F.col(line)), r"\s+").getItem(0)
-    return (lines.filter(F.trim(F.col(line)) != "")
+    tok = F.regexp_extract(F.col(line), r"\S+", 0)
+    return (lines.filter(F.col(line).rlike(r"\S"))
             .withColumns({"_tok": tok, "class_id": clean_int(tok)}))
 
 
@@ -118,9 +120,9 @@ def leaks(manifest: DataFrame, keys, split: str = "split") -> DataFrame:
 
 
 def class_index(manifest: DataFrame, cls: str = "class_name") -> DataFrame:
-    """Class -> dense index in sorted order (the class list is small)."""
-    return (manifest.select(cls).distinct()
-            .withColumn("class_index", (F.row_number().over(Window.orderBy(cls)) - 1).cast("int")))
+    """Class -> dense index in sorted order; unknown ids are classes too, so the ranks are distributed."""
+    return (rank_within(manifest.select(cls).distinct(), [], [cls], out="class_index")
+            .withColumn("class_index", (F.col("class_index") - 1).cast("int")))
 
 
 def class_weights(manifest: DataFrame, cls: str = "class_name", split: str = "split") -> DataFrame:
@@ -138,9 +140,3 @@ def rare_classes(manifest: DataFrame, n: int = 8, cls: str = "class_name") -> Da
     """The *n* training classes with the fewest images (a top-k report)."""
     return (manifest.filter(F.col("split") == "train").groupBy(cls).agg(F.count("*").alias("n_images"))
             .orderBy("n_images", cls).limit(n))
-
-
-def label_lines_from_text(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """One row per line of each label text, numbered from 1."""
-    return (texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("_pos", "line"))
-            .select(key, (F.col("_pos") + 1).cast("int").alias("line_no"), "line"))

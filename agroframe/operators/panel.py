@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroframe.session import materialize
 from agroframe.functions.columns import (PEST_BAD_TOKENS, WEATHER_BAD_TOKENS, clean_number,
                                          week_date, week_id, week_of_year, year_of_week)
 
@@ -63,47 +62,31 @@ def log_target(df: DataFrame, col: str = "pest_value", out: str = "y") -> DataFr
     return df.withColumn(out, F.log1p(col))
 
 
-def weekly_grain(clean: DataFrame) -> DataFrame:
-    """One pass over the raw rows: sums and counts per (crop, location, pest, week).
-
-    Every weekly table below rolls up from this grain, and only partial
-    aggregates of the grain cross the network.  Catalyst prunes each
-    consumer's columns differently, so the consumers would *not* share one
-    exchange; a plan that needs several of them (``feature_panel``) writes
-    the grain once with ``materialize`` and reads it back per consumer.
-    """
-    aggs = [F.count("pest_value").alias("n_obs"), F.sum("pest_value").alias("s_pest"),
-            F.count_if(F.col("pest_value") > 0).alias("n_present")]
-    for c in WEATHER:
-        aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
-    # rows without a location or week belong to no weekly group (pandas drops NULL keys)
-    keyed = clean.filter(F.col("location").isNotNull() & F.col("week_id").isNotNull())
-    return keyed.groupBy("crop", "location", "pest", "week_id").agg(*aggs)
-
+def _keyed(clean: DataFrame, *more: str) -> DataFrame:
+    """Rows of a weekly group; rows without a key belong to none (pandas drops NULL keys)."""
+    keep = F.col("location").isNotNull()
+    for k in more:
+        keep = keep & F.col(k).isNotNull()
+    return clean.filter(keep)
 
-def _mean(s: str, n: str):
-    return F.when(F.sum(n) > 0, F.sum(s) / F.sum(n))
 
+def weekly_weather(clean: DataFrame, keys=("location",)) -> DataFrame:
+    """A4: mean weather per (location, week), all pests pooled, NULLs skipped.
 
-def weekly_weather(clean: DataFrame, keys=("location",), grain: DataFrame | None = None) -> DataFrame:
-    """A4: mean weather per (location, week), all pests pooled, NULLs skipped."""
-    g = weekly_grain(clean) if grain is None else grain
-    return g.groupBy(*keys, "week_id").agg(*[_mean(f"s_{c}", f"n_{c}").alias(c) for c in WEATHER])
+    One aggregation of the raw rows with map-side partial sums, over a scan of
+    the key and weather columns only.
+    """
+    return _keyed(clean, "week_id").groupBy(*keys, "week_id").agg(*[F.avg(c).alias(c) for c in WEATHER])
 
 
-def weekly_target(clean: DataFrame, by_crop: bool = False, grain: DataFrame | None = None) -> DataFrame:
+def weekly_target(clean: DataFrame, by_crop: bool = False) -> DataFrame:
     """A5: mean reading per (location, pest, week) over monitored rows.
 
     The reference leaves crop out of this grouping (one pooled target per
     location and pest); ``by_crop=True`` keeps crops apart.
     """
-    g = weekly_grain(clean) if grain is None else grain
     keys = (["crop"] if by_crop else []) + ["location", "pest", "week_id"]
-    keep = F.col("n_obs") > 0
-    for k in keys:
-        keep = keep & F.col(k).isNotNull()
-    return (g.filter(keep).groupBy(*keys)
-            .agg((F.sum("s_pest") / F.sum("n_obs")).alias("pest_value")))
+    return monitored(_keyed(clean, *keys)).groupBy(*keys).agg(F.avg("pest_value").alias("pest_value"))
 
 
 def dense_weeks(wx: DataFrame, keys=("location",)) -> DataFrame:
@@ -140,15 +123,13 @@ def weather_features(wx: DataFrame, cols=WEATHER, keys=("location",)) -> DataFra
     return wx.select(*keys, "week_id", *[e.alias(n) for n, e in out.items()])
 
 
-def series_counts(clean: DataFrame, grain: DataFrame | None = None) -> DataFrame:
-    g = weekly_grain(clean) if grain is None else grain
-    return (g.filter(F.col("crop").isNotNull() & F.col("pest").isNotNull())
-            .groupBy(*SERIES).agg(F.sum("n_obs").alias("n_obs")).filter(F.col("n_obs") > 0))
+def series_counts(clean: DataFrame) -> DataFrame:
+    return monitored(_keyed(clean, "week_id", "crop", "pest")).groupBy(*SERIES).agg(F.count("*").alias("n_obs"))
 
 
-def viable_series(clean: DataFrame, min_obs: int = MIN_OBS, grain: DataFrame | None = None) -> DataFrame:
+def viable_series(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
     """(crop, location, pest) with at least *min_obs* readings."""
-    return series_counts(clean, grain).filter(F.col("n_obs") >= min_obs)
+    return series_counts(clean).filter(F.col("n_obs") >= min_obs)
 
 
 def viable_panel(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
@@ -157,20 +138,17 @@ def viable_panel(clean: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
 
 
 def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_roll4",
-                  by_crop: bool = False, materialize_grain: bool = True) -> DataFrame:
+                  by_crop: bool = False) -> DataFrame:
     """J1 (flagship): pooled model panel, one row per viable series and week.
 
     viable series -> pooled weekly target -> weather features of the week at
-    that location; rows need a target and a non-null *gate* feature.  The
-    weekly grain is checkpointed (``materialize_grain``) because weather,
-    target and series counts all roll up from it.
+    that location; rows need a target and a non-null *gate* feature.  Each
+    of the three branches scans only its own columns of the raw panel and sends
+    only partial aggregates over the network; nothing is written in between.
     """
-    grain = weekly_grain(clean)
-    if materialize_grain:  # three branches read it: scan the raw panel once
-        grain = materialize(grain)
-    feats = weather_features(weekly_weather(clean, grain=grain))
-    tgt = weekly_target(clean, by_crop, grain=grain)
-    viable = viable_series(clean, min_obs, grain=grain).select(*SERIES)
+    feats = weather_features(weekly_weather(clean))
+    tgt = weekly_target(clean, by_crop)
+    viable = viable_series(clean, min_obs).select(*SERIES)
     on = ["crop", "location", "pest"] if by_crop else ["location", "pest"]
     panel = (viable.join(tgt, on=on, how="inner")
              .join(feats, on=["location", "week_id"], how="inner")
@@ -183,10 +161,8 @@ def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_
 
 def series_stats(clean: DataFrame) -> DataFrame:
     """Per-series observation, presence and absence counts."""
-    g = weekly_grain(clean).filter(F.col("crop").isNotNull() & F.col("pest").isNotNull())
-    return (g.groupBy(*SERIES)
-            .agg(F.sum("n_obs").alias("n_obs"), F.sum("n_present").alias("n_present"))
-            .filter(F.col("n_obs") > 0)
+    return (monitored(_keyed(clean, "week_id", "crop", "pest")).groupBy(*SERIES)
+            .agg(F.count("*").alias("n_obs"), F.count_if(F.col("pest_value") > 0).alias("n_present"))
             .withColumns({"n_absent": F.col("n_obs") - F.col("n_present"),
                           "pct_present": F.bround(F.col("n_present") / F.col("n_obs") * 100, 1)}))
 

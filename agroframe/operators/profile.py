@@ -46,13 +46,13 @@ def profile_describe(df: DataFrame, cols=None, digits: int = 2) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
-    """A2: count and proportion per value (proportion rounded half-to-even).
+    """A2: count and proportion per value (proportion rounded half-to-even); NULLs are left out of both.
 
     The total is a one-row global count (partial-aggregated, broadcast), so
     a column with many distinct values never lands in a single task.
     """
-    g = df.groupBy(col).agg(F.count("*").alias("count"))
-    total = df.agg(F.count("*").alias("_total"))
+    g = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("count"))
+    total = df.agg(F.count(col).alias("_total"))
     return (g.crossJoin(F.broadcast(total))
             .withColumn("proportion", F.bround(F.round(F.col("count") / F.col("_total"), 9), digits))
             .drop("_total"))

@@ -61,20 +61,32 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), names=None) -> Da
     keys = list(keys)
     probs = list(probs)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    src = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    ranked = rank_within(src, keys, [value], out="_r", size="_n")
+    # equal values are counted before the sort (map-side too), so a value that
+    # holds most rows is a single row of the sorted table
+    counted = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+               .orderBy(*keys, value).withColumn("_rk_pid", F.spark_partition_id()))
+    tagged = materialize(counted, "counted")
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = w.orderBy("_rk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy(*keys, "_rk_pid").agg(F.sum("_c").alias("_s"))
+               .withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+               .withColumn("_n", F.sum("_s").over(w)).drop("_s"))
+    run = Window.partitionBy(*keys, "_rk_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (tagged.join(offsets, [*keys, "_rk_pid"])
+              .withColumn("_r", F.col("_off") + F.sum("_c").over(run)))  # rows up to and with this value
     pos = {}
     for nm, p in zip(names, probs):
         h = (F.col("_n") - 1) * F.lit(float(p))
         pos[nm] = (F.floor(h) + 1, F.ceil(h) + 1, h - F.floor(h))
+    holds = lambda at: (F.col("_r") >= at) & (F.col("_r") - F.col("_c") < at)
     need: Column = F.lit(False)
     for lo, hi, _ in pos.values():
-        need = need | (F.col("_r") == lo) | (F.col("_r") == hi)
+        need = need | holds(lo) | holds(hi)
     picked = ranked.filter(need)
     aggs = [F.max("_n").alias("n")]
     for nm, (lo, hi, frac) in pos.items():
-        aggs += [F.max(F.when(F.col("_r") == lo, F.col(value))).alias(f"_{nm}_lo"),
-                 F.max(F.when(F.col("_r") == hi, F.col(value))).alias(f"_{nm}_hi"),
+        aggs += [F.max(F.when(holds(lo), F.col(value))).alias(f"_{nm}_lo"),
+                 F.max(F.when(holds(hi), F.col(value))).alias(f"_{nm}_hi"),
                  F.max(frac).alias(f"_{nm}_f")]
     g = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     return g.select(*keys, "n", *[

@@ -25,6 +25,9 @@ RENAME = {
     "pH": "ph",
 }
 
+# Growth stages of the crop coefficient.
+GROWTH_STAGES = ("F", "O", "P")
+
 # Healthy ranges (inclusive) and display labels.
 THRESHOLDS = {
     "temperature_c": (18.0, 30.0),
@@ -109,12 +112,11 @@ def health_report(df: DataFrame, rules=None, id_col: str = "row_id") -> tuple[Da
     return rows, verdict
 
 
-def one_hot_drop_first(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    """P13 (table form): 0/1 columns for every level but the alphabetically first.
+def one_hot_drop_first(df: DataFrame, col: str, levels, prefix: str | None = None) -> DataFrame:
+    """P13 (table form): 0/1 columns for every one of *levels* but the alphabetically first.
 
-    The level list is the column's distinct values (a categorical with a
-    handful of levels), fetched the same way ``pivot`` does.
+    Unlisted values are 0 everywhere, NULL stays NULL.
     """
     prefix = prefix or col
-    levels = sorted(r[0] for r in df.select(col).distinct().filter(F.col(col).isNotNull()).collect())
-    return df.withColumns({f"{prefix}_{lv}": (F.col(col) == lv).cast("int") for lv in levels[1:]}).drop(col)
+    return df.withColumns({f"{prefix}_{lv}": (F.col(col) == lv).cast("int")
+                           for lv in sorted(levels)[1:]}).drop(col)

@@ -224,7 +224,7 @@ def class_index(spark, sf):
        "FROM (SELECT DISTINCT class_name FROM cs) s) i LEFT JOIN (SELECT class_name, count(*) AS freq FROM cs "
        "WHERE split = 'train' GROUP BY class_name) f ON i.class_name = f.class_name", IMGS, SPLIT_CTES)
 def class_weights(spark, sf):
-    return finish(C.class_weights(clean_split_df(spark, sf)))
+    return finish(C.class_weights(materialize(clean_split_df(spark, sf).select("class_name", "split"))))
 
 
 @query("label_sample", "SELECT image_id FROM (SELECT DISTINCT image_id FROM fx_box_lines) s "

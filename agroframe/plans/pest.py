@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agroframe.operators import baseline as B
 from agroframe.operators import panel as P
+from agroframe.operators.ranking import rank_within
 from agroframe.plans import pest_sql as S
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
@@ -63,12 +64,9 @@ def week_date(spark, sf):
 @query("monitored_split", "SELECT crop, count(*) AS n_rows, count(pest_value) AS n_monitored, "
        "count(*) - count(pest_value) AS n_unmonitored FROM clean GROUP BY crop", FX, [S.clean_cte()])
 def monitored_split(spark, sf):
-    c = clean(spark, sf)
-    mon = P.monitored(c).groupBy("crop").agg(F.count("*").alias("n_monitored"))
-    unmon = P.unmonitored(c).groupBy("crop").agg(F.count("*").alias("n_unmonitored"))
-    return (c.groupBy("crop").agg(F.count("*").alias("n_rows"))
-            .join(mon, "crop", "left").join(unmon, "crop", "left")
-            .na.fill(0, ["n_monitored", "n_unmonitored"]))
+    return clean(spark, sf).groupBy("crop").agg(
+        F.count("*").alias("n_rows"), F.count("pest_value").alias("n_monitored"),
+        F.count_if(F.col("pest_value").isNull()).alias("n_unmonitored"))
 
 
 @query("presence_flag", "SELECT row_id, pest_value, cast(pest_value > 0 AS int) AS present "
@@ -236,10 +234,7 @@ FCLIM_CTES = [
        + " FROM fclim UNION ALL SELECT NULL, NULL, " + ", ".join(f"round(round({c}, 9), 6)" for c in P.BASE_FEATS)
        + " FROM fglob", FX, PANEL + FCLIM_CTES)
 def feature_climatology(spark, sf):
-    by_week, glob = B.feature_climatology(panel(spark, sf))
-    glob = glob.select(F.lit(None).cast("string").alias("location"),
-                       F.lit(None).cast("int").alias("standard_week"), *P.BASE_FEATS)
-    return finish(by_week.unionByName(glob))
+    return finish(B.climatology_table(panel(spark, sf)).drop("is_global"))
 
 
 REQ_CTE = ("req AS (SELECT DISTINCT location, cast(unnest(generate_series(1, 53)) AS int) AS standard_week "
@@ -253,7 +248,7 @@ REQ_CTE = ("req AS (SELECT DISTINCT location, cast(unnest(generate_series(1, 53)
        + ", c.location IS NULL AS from_global FROM req r LEFT JOIN fclim c ON r.location = c.location "
          "AND r.standard_week = c.standard_week CROSS JOIN fglob g", FX, PANEL + FCLIM_CTES + [REQ_CTE])
 def climatology_lookup(spark, sf):
-    p = panel(spark, sf)
+    p = materialize(panel(spark, sf))  # read for the table and for the requests
     by_week, glob = B.feature_climatology(p)
     req = (p.select("location").distinct()
            .select("location", F.explode(F.sequence(F.lit(1), F.lit(53))).alias("standard_week")))
@@ -306,8 +301,8 @@ def series_list(spark, sf):
 def choices(spark, sf):
     """Cascading sorted choice lists (crop -> location -> pest)."""
     s = panel(spark, sf).select("crop", "location", "pest").distinct()
-    crops = s.select("crop").distinct().withColumn(
-        "crop_pos", F.dense_rank().over(Window.orderBy("crop")))  # tiny: one row per crop
+    crops = rank_within(s.select("crop").distinct(), [], ["crop"], out="crop_pos").withColumn(
+        "crop_pos", F.col("crop_pos").cast("int"))
     return (s.join(crops, "crop")
             .withColumn("location_pos", F.dense_rank().over(Window.partitionBy("crop").orderBy("location")))
             .withColumn("pest_pos", F.dense_rank().over(Window.partitionBy("crop", "location").orderBy("pest"))))
@@ -400,7 +395,7 @@ def recent_history(spark, sf):
        FX, SPLIT + [AW_CTE, OBS_CTE])
 def forecast_context(spark, sf):
     c = clean(spark, sf)
-    p = B.year_split(P.feature_panel(c, min_obs=S.MIN_OBS_Q), S.SPLIT_YEAR_Q)
+    p = materialize(B.year_split(P.feature_panel(c, min_obs=S.MIN_OBS_Q), S.SPLIT_YEAR_Q))
     ctx = P.forecast_context(
         series=p.select("crop", "location", "pest").distinct(),
         cutoffs=B.band_cutoffs(p),

@@ -146,7 +146,7 @@ def stratified_split(spark, sf):
 @query("one_hot_growth", "SELECT row_id, cast(growth_stage = 'O' AS int) AS growth_stage_O, "
        "cast(growth_stage = 'P' AS int) AS growth_stage_P FROM fx_sensor", FX)
 def one_hot_growth(spark, sf):
-    return SE.one_hot_drop_first(sensor(spark, sf).select("row_id", "growth_stage"), "growth_stage")
+    return SE.one_hot_drop_first(sensor(spark, sf).select("row_id", "growth_stage"), "growth_stage", SE.GROWTH_STAGES)
 
 
 CM_CTES = [LABELLED_CTE,

@@ -66,7 +66,7 @@ def test_majority_tie_first_seen_wins(spark):
 
 def test_drop_first_one_hot_drops_alphabetical_first(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c"), (4, "c")], "id int, g string")
-    out = SE.one_hot_drop_first(df, "g")
+    out = SE.one_hot_drop_first(df, "g", ["a", "b", "c"])
     assert sorted(c for c in out.columns if c.startswith("g_")) == ["g_b", "g_c"]
 
 
