@@ -5,8 +5,8 @@ the data: C class means of dimension d and one d x d matrix.  Everything
 proportional to the number of embeddings stays distributed:
 
 * class means: ``Summarizer.mean`` per label (a map-side-combined UDAF);
-* pooled covariance: each partition folds its centred rows into one d x d
-  partial sum (``mapInPandas``); one reduce adds #partitions x d^2 cells;
+* pooled covariance: each task folds its centred rows into one d x d
+  partial sum (``mapInPandas``), sent as d vectors that are summed map-side;
 * scoring: a pandas function per Arrow batch with the broadcast factor.
 """
 
@@ -16,17 +16,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroframe.operators.ranking import exact_quantiles
+from agroframe.session import materialize
 
 # Strictness multipliers of the rejection threshold, ridge, percentile.
 STRICTNESS = {"Lenient": 1.3, "Balanced": 1.1, "Strict": 0.9}
 RIDGE = 1e-3
 THRESHOLD_PCT = 97.5
-MAX_DIM = 4096  # guard for everything we hold as a d x d matrix on the driver
-MAX_CLASSES = 100_000  # guard for the C x d means held on the driver and broadcast
 
 
 def class_means(emb: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
@@ -43,32 +42,36 @@ def centered(emb: DataFrame, means: DataFrame, label: str = "label", vec: str =
             .drop("mean"))
 
 
-def pooled_cov(emb: DataFrame, means: DataFrame, label: str = "label", vec: str = "embedding",
-               ridge: float = RIDGE) -> DataFrame:
-    """Within-class covariance / N plus ridge * I, as (i, j, cov) cells."""
+def pooled_cov_rows(emb: DataFrame, means: DataFrame, label: str = "label", vec: str = "embedding",
+                    ridge: float = RIDGE) -> DataFrame:
+    """A32 packed: (i, row) with the d values of row i of the pooled covariance plus ridge * I.
+
+    One pass: every task folds its centred rows into one matrix and sends
+    d vectors (row i and the number of rows behind it); vector sums
+    are combined map-side again before the shuffle.
+    """
     c = centered(emb, means, label, vec).select("centered")
 
     def partial(batches):
-        acc, n = None, 0
+        acc, n = 0.0, 0
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["centered"].to_numpy()).astype(np.float64)
-            acc = x.T @ x if acc is None else acc + x.T @ x
-            n += len(x)
-        if acc is None:
-            return
-        d = acc.shape[0]
-        ii, jj = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-        yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                            "s": acc.ravel(), "n": np.full(d * d, n, dtype="int64")})
-
-    cells = c.mapInPandas(partial, "i int, j int, s double, n long")
-    tot = cells.groupBy("i", "j").agg(F.sum("s").alias("s"))
-    n = cells.filter((F.col("i") == 0) & (F.col("j") == 0)).agg(F.sum("n").alias("N"))
-    return (tot.crossJoin(n)
-            .select("i", "j", (F.col("s") / F.col("N") + F.when(F.col("i") == F.col("j"), ridge)
-                               .otherwise(0.0)).alias("cov")))
+            if len(pdf):
+                x = np.stack(pdf["centered"].to_numpy()).astype(np.float64)
+                acc, n = acc + x.T @ x, n + len(x)
+        if n:
+            yield pd.DataFrame({"i": np.arange(len(acc), dtype="int32"), "part": [[*row, float(n)] for row in acc]})
+
+    parts = c.mapInPandas(partial, "i int, part array<double>")
+    total = parts.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("t"))
+    n = F.element_at("t", -1)
+    return total.select("i", F.transform(F.slice("t", 1, F.size("t") - 1), lambda x, j: x / n + F.when(
+        j == F.col("i"), ridge).otherwise(0.0)).alias("row"))
+
+
+def pooled_cov(emb: DataFrame, means: DataFrame, label: str = "label", vec: str = "embedding",
+               ridge: float = RIDGE) -> DataFrame:
+    """Within-class covariance / N plus ridge * I, as (i, j, cov) cells."""
+    return pooled_cov_rows(emb, means, label, vec, ridge).select("i", F.posexplode("row").alias("j", "cov"))
 
 
 class OodModel:
@@ -101,23 +104,16 @@ class OodModel:
 
 
 def fit_ood(train: DataFrame, label: str = "label", vec: str = "embedding", ridge: float = RIDGE) -> OodModel:
-    """M6 (fit): means and pooled covariance on Spark; the d x d inverse on the driver."""
-    means_df = class_means(train, label, vec)
-    n_classes = means_df.count()
-    if n_classes > MAX_CLASSES:
-        raise ValueError(f"{n_classes} classes exceed {MAX_CLASSES}")
-    means_rows = sorted(means_df.collect(), key=lambda r: r[label])  # C rows (model size, checked)
+    """M6 (fit): means and pooled covariance on Spark; the d x d inverse on the driver.
+
+    The means are written once and read by the covariance pass and the model.
+    """
+    means_df = materialize(class_means(train, label, vec), "class-means")
+    means_rows = means_df.orderBy(label).collect()  # C rows: the model
     labels = [r[label] for r in means_rows]
     means = np.array([r["mean"] for r in means_rows], dtype=np.float64)
-    d = means.shape[1]
-    if d > MAX_DIM:
-        raise ValueError(f"embedding dimension {d} exceeds {MAX_DIM}")
-    cells = pooled_cov(train, means_df, label, vec, ridge).collect()  # d*d cells
-    cov = np.zeros((d, d))
-    for r in cells:
-        cov[r["i"], r["j"]] = r["cov"]
-    chol = np.linalg.cholesky(cov)
-    w = np.linalg.solve(chol, np.eye(d))  # W = L^-1, so Sigma^-1 = W^T W
+    cov = np.array([r["row"] for r in pooled_cov_rows(train, means_df, label, vec, ridge).orderBy("i").collect()])
+    w = np.linalg.solve(np.linalg.cholesky(cov), np.eye(len(cov)))  # W = L^-1, so Sigma^-1 = W^T W
     return OodModel(labels, means, w)
 
 
@@ -142,23 +138,20 @@ def score_ood(df: DataFrame, model: OodModel, vec: str = "embedding", out: str =
 def class_distances(df: DataFrame, model: OodModel, key: str, vec: str = "embedding") -> DataFrame:
     """Squared Mahalanobis distance of every row to every class mean.
 
-    The means are a C-row table (C = number of classes) cross-joined by
-    broadcast; the per-pair quadratic form runs vectorised per Arrow batch.
+    A row's distances are computed as one array per Arrow batch and unfolded
+    in place: no join and no shuffle.
     """
-    spark = df.sparkSession
-    means = spark.createDataFrame([(int(lb), [float(v) for v in m]) for lb, m in zip(model.labels, model.means)],
-                                  "class int, mean array<double>")
-    b_w = spark.sparkContext.broadcast(model.w)
+    b_means, b_w = (df.sparkSession.sparkContext.broadcast(x) for x in (model.means, model.w))
 
-    @F.pandas_udf("double")
-    def quad(xs: pd.Series, ms: pd.Series) -> pd.Series:
-        x = np.stack(xs.to_numpy()).astype(np.float64)
-        m = np.stack(ms.to_numpy()).astype(np.float64)
-        z = (x - m) @ b_w.value.T
-        return pd.Series(np.einsum("ij,ij->i", z, z))
+    @F.pandas_udf("array<double>")
+    def all_distances(col: pd.Series) -> pd.Series:
+        z = np.stack(col.to_numpy()).astype(np.float64) @ b_w.value.T
+        c = b_means.value @ b_w.value.T
+        return pd.Series([(np.square(c - row)).sum(axis=1).tolist() for row in z])
 
-    return (df.select(key, vec).crossJoin(F.broadcast(means))
-            .select(key, "class", quad(F.col(vec), F.col("mean")).alias("distance")))
+    classes = F.array(*[F.lit(int(lb)) for lb in model.labels])
+    return (df.select(key, F.posexplode(all_distances(F.col(vec))).alias("_c", "distance"))
+            .select(key, F.get(classes, F.col("_c")).alias("class"), "distance"))
 
 
 def ood_threshold(valid_scores: DataFrame, score: str = "ood_score", pct: float = THRESHOLD_PCT) -> DataFrame:
@@ -176,19 +169,34 @@ def flag_ood(scored: DataFrame, threshold: float, strictness: str = "Balanced",
     return out
 
 
+def flag_all(scored: DataFrame, threshold: DataFrame, score: str = "ood_score") -> DataFrame:
+    """P27 at every strictness: rows x the one-row *threshold* table x the strictness levels."""
+    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("strictness"), F.lit(v).alias("_mult"))
+                                 for k, v in STRICTNESS.items()]))
+    return (scored.crossJoin(F.broadcast(threshold.select("threshold")))  # one row
+            .withColumn("_level", levels).select("*", "_level.*")
+            .withColumn("is_ood", F.coalesce(F.col(score) > F.col("threshold") * F.col("_mult"), F.lit(False)))
+            .drop("threshold", "_level", "_mult"))
+
+
 def topk_classes(emb: DataFrame, means: DataFrame, key: str, k: int = 3, vec: str = "embedding",
-                 label: str = "label") -> DataFrame:
-    """T5: softmax over classes of -squared Euclidean distance, then the top k per row.
+                 label: str = "label", low_confidence: float = 0.5) -> DataFrame:
+    """Softmax over classes of -squared Euclidean distance, then the top k per row.
 
-    The class-mean table has one row per class (the label domain); each
-    row's C scores are ranked by a window over that row only (C rows).
+    The class means are gathered into one row (the model), which every row
+    meets once; scores, softmax and ranking are array functions inside the
+    row, so no row is shuffled.  ``low_confidence`` tells that the best
+    probability is below *low_confidence*.
     """
-    m = means.select(F.col(label).alias("class"), "mean")
-    pairs = (emb.select(key, F.col(vec).cast("array<double>").alias("_x")).crossJoin(m)
-             .withColumn("score", -F.aggregate(F.zip_with("_x", "mean", lambda a, b: (a - b) * (a - b)),
-                                               F.lit(0.0), lambda acc, v: acc + v)))
-    w = Window.partitionBy(key)
-    p = (pairs.withColumn("_e", F.exp(F.col("score") - F.max("score").over(w)))
-         .withColumn("prob", F.col("_e") / F.sum("_e").over(w)))
-    return (p.withColumn("rank", F.row_number().over(w.orderBy(F.desc("prob"), "class")))
-            .filter(F.col("rank") <= k).select(key, "rank", "class", "prob"))
+    model = means.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("class"), "mean"))).alias("_m"))
+    rows = emb.select(key, F.col(vec).cast("array<double>").alias("_x")).crossJoin(F.broadcast(model))
+    score = F.transform("_m", lambda m: -F.aggregate(F.zip_with("_x", m["mean"], lambda a, b: (a - b) * (a - b)),
+                                                     F.lit(0.0), lambda acc, v: acc + v))
+    rows = rows.select(key, F.col("_m.class").alias("_class"), score.alias("_s"))
+    rows = rows.withColumn("_e", F.transform("_s", lambda s: F.exp(s - F.array_max("_s"))))
+    rows = rows.withColumn("_total", F.aggregate("_e", F.lit(0.0), lambda acc, v: acc + v))
+    ranked = F.slice(F.sort_array(F.zip_with("_e", "_class", lambda e, c: F.struct((-e / F.col("_total")).alias("p"),
+                                                                                  c.alias("class")))), 1, k)
+    return (rows.select(key, F.posexplode(ranked).alias("_i", "_top"), (F.array_max("_e") / F.col("_total")).alias("_best"))
+            .select(key, (F.col("_i") + 1).alias("rank"), F.col("_top.class").alias("class"), (-F.col("_top.p")).alias("prob"),
+                    (F.col("_best") < low_confidence).alias("low_confidence")))

@@ -10,6 +10,8 @@ from agroframe.operators import catalogue as C
 from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
+from agroframe.sources import files as FS
+from agroframe.streaming.live import scratch_path
 
 FILES = ("fx_files",)
 IMGS = ("fx_images", "fx_box_lines", "fx_classes")
@@ -118,15 +120,17 @@ def format_markers(spark, sf):
 # ---------------------------------------------------------------- class list & labels
 @query("class_list", "SELECT class_id, class_name FROM fx_classes", IMGS)
 def class_list(spark, sf):
-    """Class list written as YAML text (one small row) and parsed back."""
+    """Class list written as a YAML file (one small row) and parsed back."""
     cl = fx(spark, sf, "fx_classes")
     text = cl.agg(F.concat(F.lit("train: ../train/images\nnc: "), F.count("*").cast("string"),
-                           F.lit("\nnames: ["),
+                           F.lit("\nnames: [\n  "),
                            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("class_id", "class_name"))),
                                                     lambda s: F.concat(F.lit("'"), s["class_name"], F.lit("'"))),
-                                        ", "),
-                           F.lit("]\n")).alias("text"))
-    return C.parse_class_list(text)
+                                        ",\n  "),
+                           F.lit("\n]\n")).alias("text"))
+    path = scratch_path(spark, "yaml")
+    text.coalesce(1).write.text(path)
+    return C.parse_class_list(FS.read_yaml_text(spark, path))
 
 
 @query("nice_label", "SELECT class_id, upper(substr(split_part(class_name, '_', 1), 1, 1)) || "

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agroframe.operators import ood as O
 from agroframe.plans.registry import finish, fx, query
+from agroframe.session import materialize
 
 FX = ("fx_emb",)
 LONG_CTES = [
@@ -59,7 +60,8 @@ def pooled_cov(spark, sf):
 
 
 @query("topk_classes",
-       "SELECT vec_id, rank, class, round(round(prob, 9), 6) AS prob FROM (SELECT vec_id, class, prob, "
+       "SELECT vec_id, rank, class, round(round(prob, 9), 6) AS prob, best < 0.5 AS low_confidence FROM ("
+       "SELECT vec_id, class, prob, max(prob) OVER (PARTITION BY vec_id) AS best, "
        "cast(row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, class) AS int) AS rank FROM ("
        "SELECT vec_id, class, e / sum(e) OVER (PARTITION BY vec_id) AS prob FROM ("
        "SELECT vec_id, class, exp(score - max(score) OVER (PARTITION BY vec_id)) AS e FROM ("
@@ -67,7 +69,8 @@ def pooled_cov(spark, sf):
        "ON el.dim = ml.dim GROUP BY el.vec_id, ml.label) s) q) p) r WHERE rank <= 3", FX, LONG_CTES)
 def topk_classes(spark, sf):
     m = O.class_means(train(spark, sf))
-    return finish(O.topk_classes(emb(spark, sf), m, "vec_id", k=3).withColumn("rank", F.col("rank").cast("int")))
+    top = O.topk_classes(emb(spark, sf), m, "vec_id", k=3)
+    return finish(top.select("vec_id", F.col("rank").cast("int").alias("rank"), "class", "prob", "low_confidence"))
 
 
 @query("ood_scores")
@@ -92,11 +95,6 @@ def class_distances(spark, sf):
 @query("ood_flags")
 def ood_flags(spark, sf):
     """OOD flags of validation rows at every strictness level."""
-    model = fitted(spark, sf)
-    scored = O.score_ood(valid(spark, sf), model)
-    thr = O.ood_threshold(scored).first()["threshold"]  # one scalar
-    out = None
-    for level in O.STRICTNESS:
-        f = O.flag_ood(scored, thr, level).select("vec_id", F.lit(level).alias("strictness"), "is_ood")
-        out = f if out is None else out.unionByName(f)
-    return out
+    scored = materialize(O.score_ood(valid(spark, sf), fitted(spark, sf)).select("vec_id", "ood_score"))
+    flags = O.flag_all(scored, O.ood_threshold(scored))
+    return flags.select("vec_id", "strictness", "is_ood")

@@ -11,6 +11,8 @@ from agroframe.operators.ranking import rank_within
 from agroframe.plans import pest_sql as S
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
+from agroframe.sources import files as FS
+from agroframe.streaming.live import scratch_path
 
 FX = ("fx_panel",)
 PANEL = S.panel_ctes()
@@ -39,7 +41,13 @@ def train_rows(spark, sf) -> DataFrame:
 # ---------------------------------------------------------------- scans & cleaning
 @query("panel_scan", "SELECT * FROM fx_panel", FX)
 def panel_scan(spark, sf):
-    return fx(spark, sf, "fx_panel")
+    """The panel written as CSV with its columns in another order, read back by header name."""
+    src = fx(spark, sf, "fx_panel")
+    path = scratch_path(spark, "panel-csv")
+    src.select(*reversed(src.columns)).write.options(**FS.CSV_EXACT).csv(path)
+    extra = {f.name: f.dataType for f in src.schema if f.name not in FS.PANEL_SCHEMA.names}
+    back = FS.read_panel(spark, path, extra)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema])
 
 
 @query("panel_clean", f"SELECT row_id, crop, location, pest, year, standard_week, pest_value, {WCOLS}, unit "

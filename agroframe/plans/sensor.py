@@ -11,6 +11,8 @@ from agroframe.operators import profile as PR
 from agroframe.operators import sensor as SE
 from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
+from agroframe.sources import files as FS
+from agroframe.streaming.live import scratch_path
 
 FX = ("fx_sensor",)
 VALUE_COLS = ["temperature_c", "humidity_pct", "soil_moisture_raw", "nitrogen", "phosphorus", "potassium",
@@ -55,7 +57,14 @@ def predicted(spark, sf) -> DataFrame:
 
 @query("sensor_scan", "SELECT * FROM fx_sensor", FX)
 def sensor_scan(spark, sf):
-    return sensor(spark, sf)
+    """The table written as CSV under raw headers, in another order, read back and typed."""
+    src = sensor(spark, sf)
+    raw_names = {v: f" {k} " for k, v in SE.RENAME.items()}
+    path = scratch_path(spark, "sensor-csv")
+    src.select(*[F.col(c).alias(raw_names.get(c, c)) for c in reversed(src.columns)]) \
+        .write.options(**FS.CSV_EXACT).csv(path)
+    back = FS.read_sensor(spark, path, drop=())
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema])
 
 
 @query("sensor_clean", f"SELECT {', '.join(c for c in ALL_COLS if c != 'ph')} FROM fx_sensor", FX)

@@ -8,6 +8,7 @@ the ``content`` column is used downstream.
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from agroframe.functions.columns import clean_number
 from agroframe.operators.panel import WEATHER
 from agroframe.operators.ranking import rank_within
-from agroframe.operators.sensor import drop_present, rename_sensor, trim_headers
+from agroframe.operators.sensor import RENAME, drop_present, rename_sensor, trim_headers
 
 PANEL_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("crop", "location", "pest")]
@@ -28,25 +29,45 @@ PANEL_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType()) for c in WEATHER]
     + [T.StructField("unit", T.StringType())])
 
-SENSOR_NUMERIC = ["temperature_c", "humidity_pct", "soil_moisture_raw", "ref_et", "et", "crop_coeff",
-                  "nitrogen", "phosphorus", "potassium", "solar_radiation", "wind_speed", "days_planted", "ph"]
+SENSOR_NUMERIC = [c for c in RENAME.values() if c != "growth_stage"]
+# headed CSV that keeps blanks and tells empty text from NULL
+CSV_EXACT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Image file extensions.
 IMAGE_EXTS = (".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff", ".webp")
 
 
 # ---------------------------------------------------------------- tables
-def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """Weekly pest-weather CSV; dirty numeric text stays text until ``clean_panel``."""
-    return spark.read.schema(PANEL_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """Every column of a headed CSV as text under its header name.
+
+    The names come from one header line; a file whose header differs makes
+    the read fail instead of shifting values into other columns.
+    """
+    options = {"header": True, "mode": "FAILFAST", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    names = spark.read.options(**options, inferSchema=False).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+
+
+def read_panel(spark: SparkSession, path: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """Weekly pest-weather CSV, columns found by header name in any order.
+
+    Dirty numeric text stays text until ``clean_panel``; *extra* names more
+    columns to keep and their types.
+    """
+    raw = read_csv_by_name(spark, path)
+    raw = raw.toDF(*[c.strip() for c in raw.columns])
+    keep = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in PANEL_SCHEMA]
+    return raw.select(*[F.col(c).cast(t).alias(c) for c, t in (extra or {}).items()], *keep)
 
 
 def read_sensor(spark: SparkSession, path: str, drop=("ph",)) -> DataFrame:
     """S2 + P1-P3: sensor CSV with stray header spaces -> renamed, typed columns.
 
-    Columns are read as text (no inference pass over the data), headers are
-    trimmed and renamed, then known numeric columns are parsed strictly.
+    Columns are read as text under their header names (no inference pass over the data),
+    headers are trimmed and renamed, then known numeric columns are parsed strictly.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    df = drop_present(rename_sensor(trim_headers(raw)), list(drop))
+    df = drop_present(rename_sensor(trim_headers(read_csv_by_name(spark, path))), list(drop))
     return df.withColumns({c: clean_number(c) for c in SENSOR_NUMERIC if c in df.columns})
 
 
@@ -106,33 +127,75 @@ def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
     return files.mapInPandas(entries, ENTRY_SCHEMA)
 
 
-def label_lines(spark: SparkSession, glob: str, whole_files: bool = True) -> DataFrame:
-    """One row per non-empty line of every label text file.
+def archive_contents(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
+    """(archive, name, content) of every entry whose name matches the regular expression *pattern*.
+
+    Other entries are skipped by the archive's directory and never unpacked.  One
+    row per entry, sent on entry by entry; an archive is one ``binaryFile``
+    value, so Spark's limit of 2 GB per value holds for archives (larger ones must be split).
+    """
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    wanted = re.compile(pattern)
+
+    def contents(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                    for info in zf.infolist():
+                        if not info.is_dir() and wanted.search(info.filename):
+                            yield pd.DataFrame({"archive": [path], "name": [info.filename], "content": [zf.read(info)]})
+
+    # one archive per task and batch, however small the files are
+    return files.repartition(F.col("path")).mapInPandas(contents, "archive string, name string, content binary")
+
+
+def split_lines(texts: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, line_no, line) of text values, split at \\r\\n, \\r and \\n like the line reader."""
+    return (texts.select(F.col(path).alias("path"), F.posexplode(F.split(F.col(text), r"\r\n|\r|\n")).alias("_pos", "line"))
+            .select("path", (F.col("_pos") + 1).cast("int").alias("line_no"), "line"))
+
+
+def _labelled(lines: DataFrame) -> DataFrame:
+    """Non-blank lines with the split (folder above ``labels``) and stem of their path."""
+    parts = F.split("path", "/")
+    return (lines.filter(F.col("line").rlike(r"\S"))
+            .select("path", F.get(parts, F.size(parts) - 3).alias("split"),
+                    F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("stem"), "line_no", "line"))
+
+
+def archive_label_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """S6 on archives: the lines of every ``labels/*.txt`` entry, as ``label_lines`` gives them."""
+    texts = archive_contents(spark, glob, r"(^|/)labels/[^/]*\.txt$").select(
+        F.col("name").alias("path"), F.decode("content", "UTF-8").alias("text"))
+    return _labelled(split_lines(texts))
+
+
+def label_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """One row per non-blank line of every label text file.
 
     (path, split, stem, line_no, line); ``split`` is the folder above
-    ``labels``.  ``whole_files=True`` reads each (small, per-image) label file
-    as one row.  ``whole_files=False`` reads lines splittably, so a huge text
-    file is spread over many tasks; line numbers then come from the order
+    ``labels``.  Lines (ended by \\n, \\r\\n or \\r) are read splittably, so a huge
+    file is spread over many tasks; line numbers come from the order
     (split start in the file, position in the split), ranked per file with
     the skew-safe ``rank_within``.
     """
-    if whole_files:
-        t = spark.read.text(glob, wholetext=True).select(
-            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-        lines = (t.select("path", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
-                 .withColumn("line_no", (F.col("pos") + 1).cast("int")))
-    else:
-        raw = spark.read.text(glob).select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("line"))
-        lines = rank_within(raw, ["path"], ["_start", "_pos"], out="line_no").withColumn(
-            "line_no", F.col("line_no").cast("int"))
-    parts = F.split("path", "/")
-    return (lines.filter(F.trim("line") != "")
-            .select("path",
-                    F.element_at(parts, -3).alias("split"),
-                    F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("stem"),
-                    "line_no", "line"))
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # a plus is no blank in a path
+    raw = spark.read.text(glob).select(
+        F.url_decode(encoded).alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("line"))
+    lines = rank_within(raw, ["path"], ["_start", "_pos"], out="line_no").withColumn(
+        "line_no", F.col("line_no").cast("int"))
+    return _labelled(lines)
+
+
+def manifest_from_files(spark: SparkSession, root: str, yaml_path: str) -> DataFrame:
+    """J7 from files: images and label files under *root* joined on (split, stem), classes from the YAML list."""
+    from agroframe.operators.catalogue import build_manifest, majority_class, parse_class_list
+
+    key = F.concat_ws("/", "split", "stem")
+    images = image_files(spark, root).select(key.alias("image_id"), "split", "file_name")
+    lines = label_lines(spark, f"{root.rstrip('/')}/*/labels/*.txt").select(key.alias("image_id"), "line_no", "line")
+    return build_manifest(images, majority_class(lines), parse_class_list(read_yaml_text(spark, yaml_path)))
 
 
 def read_yaml_text(spark: SparkSession, path: str) -> DataFrame:

@@ -126,7 +126,7 @@ WHERE class_id < 28
 
 FIXTURES["fx_files"] = ((), """
 SELECT page_id,
-       concat('set', cast(page_id % 3 AS string), '/',
+       concat('set', cast(page_id % 3 AS string), '/', CASE page_id % 4 WHEN 0 THEN 'train/' WHEN 1 THEN 'Valid/' ELSE '' END,
               regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', ''),
               '/f', cast(page_id AS string),
               CASE page_id % 6 WHEN 0 THEN '.txt' WHEN 1 THEN '.yaml' WHEN 2 THEN '.csv'

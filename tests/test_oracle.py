@@ -8,7 +8,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as E
 from agroframe.sources.fixtures import _BASE
@@ -31,11 +31,13 @@ def _norm(v):
 
 
 @pytest.fixture(scope="module")
-def con():
-    c = duckdb.connect()
-    for t in _BASE:
-        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
-    return c
+def cons():
+    out = {}
+    for sf in (SF_SMALL, SF_CHECK):
+        out[sf] = duckdb.connect()
+        for t in _BASE:
+            out[sf].sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    return out
 
 
 def test_registry_consistent():
@@ -44,13 +46,23 @@ def test_registry_consistent():
     assert len(qs) >= 90
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+def _rows(con, name):
+    rel = con.sql(ORACLES[name])
+    return rel.columns, rel.fetchall()
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if not n.startswith("op") and n != "pipeline"))
+def test_query_matches_oracle(spark, cons, name):
+    """At sf0.001, or at sf0.01 where the small tables give no rows or only NULL and zero: never nothing against nothing."""
+    sf = SF_SMALL
+    names, rows = _rows(cons[sf], name)
+    if not any(v is not None and v != 0 for r in rows for v in r):
+        sf = SF_CHECK
+        names, rows = _rows(cons[sf], name)
+    assert rows
+    df = E.queries()[name](spark, sf)
     cols = sorted(df.columns)
+    assert sorted(names) == cols
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=repr)
-    rel = con.sql(ORACLES[name])
-    assert sorted(rel.columns) == cols
-    names = rel.columns
-    want = sorted((tuple(_norm(dict(zip(names, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
+    want = sorted((tuple(_norm(dict(zip(names, r))[c]) for c in cols) for r in rows), key=repr)
     assert got == want

@@ -6,6 +6,7 @@ import zipfile
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.ml import PipelineModel
 
 from agroframe.operators import catalogue as C
@@ -151,19 +152,62 @@ def test_ood_model_save_load(spark, tmpdir_path):
     np.testing.assert_allclose(a, b)
 
 
-def test_label_lines_splittable_matches_whole_files(spark, tmpdir_path):
+def test_label_lines_of_large_and_odd_files(spark, tmpdir_path):
     os.makedirs(f"{tmpdir_path}/train/labels", exist_ok=True)
     rng = np.random.default_rng(2)
-    for k in range(3):
-        with open(f"{tmpdir_path}/train/labels/img{k}.txt", "w") as f:
-            for i in range(2000 if k == 0 else 5):     # one big file next to small ones
-                f.write(f"{int(rng.integers(0, 30))} 0.5 0.5 0.1 0.1\n" if i % 97 else "\n")
-    glob = f"{tmpdir_path}/*/labels/*.txt"
+    want = []
+    for k, name in enumerate(["img0", "a b%1", "c+d"]):
+        end = "\r\n" if k == 1 else "\n"
+        lines = [f"{int(rng.integers(0, 30))} 0.5 0.5" if i % 97 else "\t" for i in range(2000 if k == 0 else 5)]
+        lines[-1] = "\t7 0 0"
+        want += [(name, i + 1, x) for i, x in enumerate(lines) if x.strip()]
+        with open(f"{tmpdir_path}/train/labels/{name}.txt", "w", newline="") as f:
+            f.write(end.join(lines) + end)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")   # force the big file into many splits
     try:
-        a = FS.label_lines(spark, glob, whole_files=True).select("stem", "line_no", "line").collect()
-        b = FS.label_lines(spark, glob, whole_files=False).select("stem", "line_no", "line").collect()
+        got = FS.label_lines(spark, f"{tmpdir_path}/*/labels/*.txt")
+        assert sorted(map(tuple, got.select("stem", "line_no", "line").collect())) == sorted(want)
+        assert {r.split for r in got.collect()} == {"train"}
+        assert C.label_tokens(got).filter("class_id is null").count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-    assert len(a) == 2000 - 21 + 5 + 5 - 2
+
+
+def test_csv_columns_are_found_by_name(spark, tmpdir_path):
+    names = ["crop", "location", "pest", "year", "standard_week", "pest_value", *P.WEATHER, "unit"]
+    row = ["Rice", "X", "Borer", "2001", "5", "9", *["30"] * 8, "u"]
+    order = list(reversed(range(len(names))))
+    os.makedirs(f"{tmpdir_path}/d")
+    with open(f"{tmpdir_path}/d/a.csv", "w") as f:
+        f.write(",".join(names[i] for i in order) + "\n" + ",".join(row[i] for i in order) + "\n")
+    got = FS.read_panel(spark, f"{tmpdir_path}/d").first()
+    assert (got.crop, got.location, got.pest, got.year, got.unit) == ("Rice", "X", "Borer", 2001, "u")
+    with open(f"{tmpdir_path}/d/b.csv", "w") as f:  # a second file with another header must not shift values
+        f.write(",".join(names) + "\n" + ",".join(row) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        FS.read_panel(spark, f"{tmpdir_path}/d").collect()
+
+
+def test_yaml_list_over_several_lines(spark):
+    t = spark.createDataFrame([("nc: 2\nnames: [\n  'a_b',\n\t\"c d\" ]\n",)], "text string")
+    assert [r.class_name for r in C.parse_class_list(t).orderBy("class_id").collect()] == ["a_b", "c d"]
+
+
+def test_archive_contents_feed_labels_and_classes(spark, tmpdir_path):
+    with zipfile.ZipFile(f"{tmpdir_path}/s.zip", "w") as z:
+        z.writestr("ds/train/images/a.jpg", b"x")
+        z.writestr("ds/train/labels/a.txt", "1 0 0\r\n\r2 0 0\n1 0 0\n")
+        z.writestr("ds/valid/labels/b.txt", "")
+        z.writestr("ds/data.yaml", "names: [a, b]\n")
+    lines = FS.archive_label_lines(spark, f"{tmpdir_path}/*.zip")
+    assert [(r.split, r.stem, r.line_no, r.line) for r in lines.orderBy("line_no").collect()] == \
+        [("train", "a", 1, "1 0 0"), ("train", "a", 3, "2 0 0"), ("train", "a", 4, "1 0 0")]
+    yaml = FS.archive_contents(spark, f"{tmpdir_path}/*.zip", r"\.ya?ml$").selectExpr("decode(content, 'UTF-8') text")
+    assert [r.class_name for r in C.parse_class_list(yaml).orderBy("class_id").collect()] == ["a", "b"]
+
+
+def test_manifest_from_files(spark, tmpdir_path):
+    _catalogue(tmpdir_path)
+    got = FS.manifest_from_files(spark, tmpdir_path, f"{tmpdir_path}/data.yaml").collect()
+    assert sorted((r.split, r.path.split("/")[-1], r.class_name, r.mixed) for r in got) == \
+        [("train", "a_jpg.rf.1.png", "crop_rust", True), ("valid", "a_jpg.rf.3.png", "crop_blight", False)]
