@@ -18,6 +18,27 @@ LONG_CTES = [
     "AND el.dim = ml.dim WHERE el.split = 'train')",
 ]
 
+# the inverse of the pooled covariance by Gauss-Jordan elimination, a recursion step per dimension
+DIST_CTES = LONG_CTES + [
+    "covc AS (SELECT a.dim AS i, b.dim AS j, sum(a.c * b.c) / (SELECT count(*) FROM fx_emb WHERE split = 'train') "
+    "+ CASE WHEN a.dim = b.dim THEN 0.001 ELSE 0 END AS v FROM cl a JOIN cl b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim)",
+    "aug AS (SELECT i, list_concat(list(v ORDER BY j), list(CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0 END ORDER BY j)) AS r, "
+    "count(*) AS n FROM covc GROUP BY i)",
+    "inv AS (SELECT 0::BIGINT AS k, i, r, n FROM aug UNION ALL SELECT k + 1, i, CASE WHEN i = k "
+    "THEN list_transform(r, lambda x: x / r[k + 1]) "
+    "ELSE list_transform(list_zip(r, p), lambda z: z[1] - z[2] * r[k + 1] / p[k + 1]) END, n "
+    "FROM (SELECT *, any_value(CASE WHEN i = k THEN r END) OVER (PARTITION BY k) AS p FROM inv) s WHERE k < n)",
+    "invm AS (SELECT i, r[n + 1:2 * n] AS r FROM inv WHERE k = n)",
+    "mu AS (SELECT label AS class, list(m ORDER BY dim) AS mu FROM ml GROUP BY label)",
+    "dv AS (SELECT e.vec_id, e.label, e.split, mu.class, list_transform(list_zip(e.embedding, mu.mu), "
+    "lambda z: z[1] - z[2]) AS d FROM fx_emb e CROSS JOIN mu)",
+    "dist AS (SELECT vec_id, label, split, class, sum(d[i + 1] * list_inner_product(r, d)) AS distance "
+    "FROM dv CROSS JOIN invm GROUP BY vec_id, label, split, class)",
+    "sc AS (SELECT vec_id, label, split, min(distance) AS ood_score FROM dist GROUP BY vec_id, label, split)",
+    "th AS (SELECT count(*) AS n, quantile_cont(ood_score, 0.975) AS threshold, quantile_cont(ood_score, 0.5) AS median "
+    "FROM sc WHERE split = 'valid')",
+]
+
 
 def emb(spark, sf) -> DataFrame:
     return fx(spark, sf, "fx_emb")
@@ -73,26 +94,31 @@ def topk_classes(spark, sf):
     return finish(top.select("vec_id", F.col("rank").cast("int").alias("rank"), "class", "prob", "low_confidence"))
 
 
-@query("ood_scores")
+@query("ood_scores", "SELECT vec_id, label, split, round(round(ood_score, 9), 6) AS ood_score FROM sc", FX, DIST_CTES,
+       recursive=True)
 def ood_scores(spark, sf):
     """M6: minimum squared Mahalanobis distance of every embedding (train and valid)."""
     return finish(O.score_ood(emb(spark, sf), fitted(spark, sf)).select("vec_id", "label", "split", "ood_score"))
 
 
-@query("ood_threshold")
+@query("ood_threshold", "SELECT n, round(round(threshold, 9), 6) AS threshold, round(round(median, 9), 6) AS median FROM th",
+       FX, DIST_CTES, recursive=True)
 def ood_threshold(spark, sf):
     """97.5th percentile (threshold) and median of the validation scores."""
     model = fitted(spark, sf)
     return finish(O.ood_threshold(O.score_ood(valid(spark, sf), model)))
 
 
-@query("class_distances")
+@query("class_distances", "SELECT vec_id, class, round(round(distance, 9), 6) AS distance FROM dist WHERE split = 'valid'",
+       FX, DIST_CTES, recursive=True)
 def class_distances(spark, sf):
     """Distance of every validation embedding to every class mean."""
     return finish(O.class_distances(valid(spark, sf), fitted(spark, sf), "vec_id"))
 
 
-@query("ood_flags")
+@query("ood_flags", "SELECT vec_id, s.strictness, ood_score > threshold * s.mult AS is_ood FROM sc CROSS JOIN th CROSS JOIN "
+       f"(VALUES {', '.join(f'({k!r}, {v})' for k, v in O.STRICTNESS.items())}) s(strictness, mult) WHERE split = 'valid'",
+       FX, DIST_CTES, recursive=True)
 def ood_flags(spark, sf):
     """OOD flags of validation rows at every strictness level."""
     scored = materialize(O.score_ood(valid(spark, sf), fitted(spark, sf)).select("vec_id", "ood_score"))
