@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroframe.operators.panel import BASE_FEATS
+from agroframe.operators.sensor import GROWTH_STAGES
 
 # Reference model settings.
 HEALTH_GBT = dict(max_iter=200, depth=4, rate=0.1)
@@ -27,30 +28,28 @@ FLAGSHIP_GBT = dict(max_iter=400, depth=4, rate=0.04, subsample=0.9, colsample=0
 POOLED_GBT = dict(max_iter=500, depth=5, rate=0.04, subsample=0.9, colsample=0.8)
 
 
-def health_pipeline(numeric_cols, cat_col: str = "growth_stage", label: str = "health_label",
+def _flags(cols) -> str:
+    """Missing-indicator columns ``<c>_na`` (the trees' substitute for NaN branches)."""
+    return ", ".join(f"cast(isnull({c}) AS double) AS {c}_na" for c in cols)
+
+
+def health_pipeline(numeric_cols, cat_col: str = "growth_stage", levels=GROWTH_STAGES, label: str = "health_label",
                     max_iter: int = 200, depth: int = 4, rate: float = 0.1, seed: int = 42,
                     max_bins: int = 256) -> Pipeline:
     """M1 + P13: drop-first one-hot of the growth stage and a GBT classifier.
 
-    ``alphabetDesc`` ordering puts the alphabetically first level last, and
-    the encoder's ``dropLast`` drops exactly that level (pandas drop_first).
+    Every one of *levels* but the alphabetically first gets a 0/1 column;
+    missing and unknown values are 0 in all of them.
     """
-    idx = StringIndexer(inputCol=cat_col, outputCol=f"{cat_col}_idx", stringOrderType="alphabetDesc",
-                        handleInvalid="keep")
-    ohe = OneHotEncoder(inputCols=[f"{cat_col}_idx"], outputCols=[f"{cat_col}_vec"], dropLast=True)
+    kept = sorted(levels)[1:]
+    hot = ", ".join(f"coalesce(cast({cat_col} = '{lv}' AS double), 0D) AS {cat_col}_{lv}" for lv in kept)
+    prepare = SQLTransformer(statement=f"SELECT *, {_flags(numeric_cols)}, {hot} FROM __THIS__")
     imp = Imputer(inputCols=list(numeric_cols), outputCols=[f"{c}_imp" for c in numeric_cols])
-    flags = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"cast({c} IS NULL AS double) AS {c}_na" for c in numeric_cols) + " FROM __THIS__")
     asm = VectorAssembler(inputCols=[f"{c}_imp" for c in numeric_cols] + [f"{c}_na" for c in numeric_cols]
-                          + [f"{cat_col}_vec"], outputCol="features")
+                          + [f"{cat_col}_{lv}" for lv in kept], outputCol="features")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=depth,
                         stepSize=rate, seed=seed, maxBins=max_bins)
-    return Pipeline(stages=[idx, ohe, imp, flags, asm, gbt])
-
-
-def with_missing_flags(df: DataFrame, cols) -> DataFrame:
-    """Missing-indicator columns ``<c>_na`` (the trees' substitute for NaN branches)."""
-    return df.withColumns({f"{c}_na": F.col(c).isNull().cast("double") for c in cols})
+    return Pipeline(stages=[prepare, imp, asm, gbt])
 
 
 def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label: str = "y",
@@ -63,7 +62,8 @@ def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label
     and a per-node feature fraction.
     """
     feats = list(feats)
-    stages = []
+    # everything that scoring needs is a stage, so a saved pipeline is complete
+    stages = [SQLTransformer(statement=f"SELECT *, {_flags(feats)}, cast(standard_week AS double) AS week_num FROM __THIS__")]
     cat_vecs = []
     for c in cats:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"))
@@ -71,25 +71,23 @@ def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label
                                     handleInvalid="keep"))
         cat_vecs.append(f"{c}_vec")
     stages.append(Imputer(inputCols=feats, outputCols=[f"{c}_imp" for c in feats]))
-    inputs = [f"{c}_imp" for c in feats] + [f"{c}_na" for c in feats] + ["standard_week"] + cat_vecs
+    inputs = [f"{c}_imp" for c in feats] + [f"{c}_na" for c in feats] + ["week_num"] + cat_vecs
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     stages.append(GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=depth,
                                stepSize=rate, subsamplingRate=subsample,
-                               featureSubsetStrategy=str(colsample), seed=seed, maxBins=max_bins))
+                               featureSubsetStrategy=str(colsample), seed=seed, maxBins=max_bins,
+                               checkpointInterval=50))
     return Pipeline(stages=stages)
 
 
 def fit_severity(train: DataFrame, **params) -> PipelineModel:
-    feats = params.pop("feats", BASE_FEATS)
-    data = with_missing_flags(train, feats).withColumn("standard_week", F.col("standard_week").cast("double"))
-    return severity_pipeline(feats=feats, **params).fit(data)
+    return severity_pipeline(feats=params.pop("feats", BASE_FEATS), **params).fit(train)
 
 
-def predict_severity(model: PipelineModel, rows: DataFrame, feats=BASE_FEATS, out: str = "y_log") -> DataFrame:
-    data = with_missing_flags(rows, feats).withColumn("standard_week", F.col("standard_week").cast("double"))
-    pred = model.transform(data).withColumnRenamed("prediction", out)
-    drop = [c for c in pred.columns if c.endswith(("_idx", "_vec", "_imp", "_na"))]
-    return pred.drop("features", *drop)
+def predict_severity(model: PipelineModel, rows: DataFrame, out: str = "y_log") -> DataFrame:
+    pred = model.transform(rows).withColumnRenamed("prediction", out)
+    drop = [c for c in pred.columns if c not in rows.columns and c != out]
+    return pred.drop(*drop)
 
 
 def top_features(model: PipelineModel, df: DataFrame, n: int = 10) -> list[tuple[str, float]]:

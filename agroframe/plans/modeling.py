@@ -15,31 +15,90 @@ from agroframe.operators import models as MD
 from agroframe.operators import panel as P
 from agroframe.operators import splits as SP
 from agroframe.plans import evaluation as EV
+from agroframe.plans import pest_sql as S
 from agroframe.plans import sensor as SN
 from agroframe.plans.pest import split_panel
 from agroframe.plans.registry import finish, query
+from agroframe.session import materialize
 
 HEALTH_FEATURES = ["temperature_c", "humidity_pct", "soil_moisture_raw", "nitrogen", "phosphorus", "potassium",
                    "days_planted"]
 
 
+_FITTED: dict[tuple, tuple] = {}
+
+
+def _once(name: str, spark, sf: str, make):
+    """What *make* returns, made once per session and table folder (several reports read one fit)."""
+    key = (spark.sparkContext.applicationId, name, sf)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def _health(spark, sf):
+    """The fitted health classifier and its predictions on the test rows."""
+    def make():
+        sp = SP.stratified_split(SN.labelled(spark, sf), "health_label", "row_id", 0.2, seed=42)
+        model = MD.health_pipeline(HEALTH_FEATURES, **MD.HEALTH_GBT).fit(sp.filter(F.col("split") == "train"))
+        test = sp.filter(F.col("split") == "test")
+        pred = model.transform(test).select("health_label", F.col("prediction").cast("int").alias("prediction"))
+        return model, test, materialize(pred, "health-pred")
+
+    return _once("health", spark, sf, make)
+
+
+def _importance(spark, model, rows, n):
+    top = MD.top_features(model, rows, n)
+    return finish(spark.createDataFrame([(i + 1, k, v) for i, (k, v) in enumerate(top)],
+                                        "rank int, feature string, importance double"))
+
+
 @query("health_model")
 def health_model(spark, sf):
     """M1 + A27: 80/20 stratified split, GBT classifier, test classification report."""
-    lab = SN.labelled(spark, sf)
-    sp = SP.stratified_split(lab, "health_label", "row_id", 0.2, seed=42)
-    model = MD.health_pipeline(HEALTH_FEATURES, **MD.HEALTH_GBT).fit(sp.filter(F.col("split") == "train"))
-    pred = model.transform(sp.filter(F.col("split") == "test"))
-    return finish(M.classification_report(pred.withColumn("prediction", F.col("prediction").cast("int")),
-                                          "health_label", "prediction"))
+    return finish(M.classification_report(_health(spark, sf)[2], "health_label", "prediction"))
+
+
+@query("health_confusion")
+def health_confusion(spark, sf):
+    """M1 + A27: confusion matrix of the fitted classifier on the test rows."""
+    return M.confusion_matrix(_health(spark, sf)[2], "health_label", "prediction", [0, 1])
+
+
+@query("health_importance")
+def health_importance(spark, sf):
+    """M1 + T4: the ten most important features."""
+    model, test, _ = _health(spark, sf)
+    return _importance(spark, model, test, 10)
+
+
+def _pooled(spark, sf):
+    """The split panel and the pooled severity model fitted on its training rows."""
+    def make():
+        p = split_panel(spark, sf)
+        return p, MD.fit_severity(p.filter("is_train"), **MD.POOLED_GBT)
+
+    return _once("pooled", spark, sf, make)
+
+
+@query("pooled_evaluation")
+def pooled_evaluation(spark, sf):
+    """M3 + A28: pooled model against the seasonal and flat baselines on the test rows, per block."""
+    p, model = _pooled(spark, sf)
+    tr = p.filter("is_train")
+    test = B.with_seasonal_baseline(MD.predict_severity(model, p.filter("not is_train")), tr)
+    test = B.with_endemic(test, B.endemic_series(tr, S.ENDEMIC_Q))
+    test = test.withColumn("block", F.when(F.col("endemic"), "ENDEMIC").otherwise("EPISODIC")) \
+        .crossJoin(F.broadcast(B.flat_baseline(tr).select(F.col("flat").alias("flat_mean"))))  # one row
+    return finish(M.regression_report(test, "y", ["y_log", "seas", "flat_mean"], block="block"))
 
 
 @query("severity_forecast")
 def severity_forecast(spark, sf):
     """M3 + M4 + M5 + J5 + P24 + P25: pooled model, then every active week of
     every series under every scenario, banded against the series cut-offs."""
-    p = split_panel(spark, sf)
-    model = MD.fit_severity(p.filter("is_train"), **MD.POOLED_GBT)
+    p, model = _pooled(spark, sf)
     by_week, glob = B.feature_climatology(p)
     series = p.select("crop", "location", "pest").distinct()
     weeks = P.active_weeks(p).select("location", "pest", F.explode("weeks").alias("standard_week"))
@@ -48,28 +107,56 @@ def severity_forecast(spark, sf):
     return finish(out.select("crop", "location", "pest", "standard_week", "scenario_id", "y_log", "count", "band"))
 
 
+def _flagship(spark, sf):
+    """The model of the flagship series (the viable series with most weeks) and its scored test rows.
+
+    The first 75 % of the weeks train.  One series has at most a row per calendar week, so it is
+    fitted in one partition; boosting rounds then cost no scheduling over empty tasks.
+    """
+    def make():
+        p = split_panel(spark, sf)
+        top = (p.groupBy("crop", "location", "pest").agg(F.count("*").alias("n"))
+               .orderBy(F.desc("n"), "crop", "location", "pest").limit(1).drop("n"))
+        s = materialize(B.time_fraction_split(p.drop("is_train").join(top, ["crop", "location", "pest"]), frac=0.75)
+                        .repartition(1), "flagship")
+        tr, te = s.filter("is_train"), s.filter("not is_train")
+        model = MD.fit_severity(tr, cats=(), **MD.FLAGSHIP_GBT)
+        seas = tr.groupBy("standard_week").agg(F.avg("y").alias("clim"))
+        flat = tr.agg(F.avg("y").alias("flat"))
+        scored = (MD.predict_severity(model, te).join(seas, "standard_week", "left").crossJoin(F.broadcast(flat))
+                  .withColumn("seasonal", F.coalesce("clim", "flat"))
+                  .join(B.band_cutoffs_all(tr), ["location", "pest"], "left"))
+        for y in ("y", *FLAGSHIP_MODELS):
+            scored = scored.withColumn(f"band_{y}", B.band_of(F.round(F.expm1(y), 9)))
+        return model, te, materialize(scored, "flagship-scored")
+
+    return _once("flagship", spark, sf, make)
+
+
+FLAGSHIP_MODELS = ("flat", "seasonal", "y_log")
+
+
 @query("flagship_model")
 def flagship_model(spark, sf):
-    """M2 + A28-A30 for the flagship series (the viable series with most weeks);
-    the band row reports band accuracy in the r2 column:
-    first 75 % of weeks train a one-series GBT; flat mean, week-of-year
-    climatology and the model are scored on the remaining weeks."""
-    p = split_panel(spark, sf)
-    top = (p.groupBy("crop", "location", "pest").agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), "crop", "location", "pest").limit(1).drop("n"))
-    s = B.time_fraction_split(p.drop("is_train").join(top, ["crop", "location", "pest"]), frac=0.75)
-    tr, te = s.filter("is_train"), s.filter("not is_train")
-    model = MD.fit_severity(tr, cats=(), **MD.FLAGSHIP_GBT)
-    pred = MD.predict_severity(model, te)
-    seas = (tr.groupBy("standard_week").agg(F.avg("y").alias("clim")))
-    flat = tr.agg(F.avg("y").alias("flat"))
-    scored = (pred.join(seas, "standard_week", "left").crossJoin(F.broadcast(flat))
-              .withColumn("seasonal", F.coalesce("clim", "flat")))
-    rep = M.regression_report(scored, "y", ["flat", "seasonal", "y_log"])
-    cut = B.band_cutoffs_all(tr)
-    banded = scored.join(cut, ["location", "pest"], "left").select(
-        B.band_of(F.round(F.expm1("y"), 9)).alias("t"), B.band_of(F.round(F.expm1("y_log"), 9)).alias("p"))
-    acc = M.accuracy(banded, "t", "p").select(F.lit("band").alias("block"), F.lit("y_log").alias("model"), "n",
-                                              F.lit(None).cast("double").alias("mae"),
-                                              F.col("accuracy").alias("r2"))
-    return finish(rep.unionByName(acc))
+    """M2 + A28-A30: MAE and R2 on the log scale, median absolute error in counts and band accuracy of the
+    flat mean, the week-of-year mean and the one-series model on the last 25 % of the weeks."""
+    scored = _flagship(spark, sf)[2]
+    rep = M.regression_report(scored, "y", FLAGSHIP_MODELS)
+    med = M.median_abs_error(scored, "y", FLAGSHIP_MODELS)
+    hit = scored.select("band_y", *[F.col(f"band_{m}").alias(m) for m in FLAGSHIP_MODELS]) \
+        .unpivot(["band_y"], list(FLAGSHIP_MODELS), "model", "band")
+    acc = M.accuracy(hit, "band_y", "band", ["model"]).select("model", F.col("accuracy").alias("band_accuracy"))
+    return finish(rep.join(med.select("model", "median_abs_err"), "model").join(acc, "model"))
+
+
+@query("flagship_confusion")
+def flagship_confusion(spark, sf):
+    """M2 + A30: 3 x 3 confusion of the risk bands on the test weeks."""
+    return M.confusion_matrix(_flagship(spark, sf)[2], "band_y", "band_y_log", [0, 1, 2])
+
+
+@query("flagship_importance")
+def flagship_importance(spark, sf):
+    """M2 + T4: the eight most important features."""
+    model, te, _ = _flagship(spark, sf)
+    return _importance(spark, model, te, 8)
