@@ -33,11 +33,12 @@ from agroframe.llm.common import WORD_CACHE_ENTRIES
 TERM_BITS = 28  # of the hash; only terms of the sample are stored, so wide hashes cost nothing
 FACTORS = 8
 SAMPLE_ROWS = 16_000
+SAME_TERMS = 2
 MIN_DOCS = 3
 MIN_Z = 4.5
 EPOCHS = 40
-RATE = 0.1
-DECAY_W, DECAY_V = 1e-5, 5e-3
+RATE = 0.2
+DECAY_W, DECAY_V = 1e-6, 5e-3
 THRESHOLD = 0.3
 SEED = 11
 
@@ -80,9 +81,13 @@ def train(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoch
           factors: int = FACTORS) -> Model:
     """Minibatch Adam on the weighted logistic loss; *docs* hold distinct term ids."""
     rng = np.random.default_rng(SEED)
-    ids = telling(docs, labels)
-    some = np.array([np.isin(d, ids).any() for d in docs], dtype=bool)
-    ids = np.union1d(ids, telling([d for d, s in zip(docs, some) if s], labels[some])) if some.any() else ids
+    # copies of one text would make each of its words telling: texts that share their
+    # smallest hashes (most near copies do) count once in the choice of terms
+    first = sorted({(d[:SAME_TERMS].tobytes(), y): i for i, (d, y) in reversed(list(enumerate(zip(docs, labels))))}.values())
+    few, y_few = [docs[i] for i in first], labels[first]
+    ids = telling(few, y_few)
+    some = np.array([np.isin(d, ids).any() for d in few], dtype=bool)
+    ids = np.union1d(ids, telling([d for d, s in zip(few, some) if s], y_few[some])) if some.any() else ids
     size = len(ids)
     rows = [np.flatnonzero(np.isin(ids, d, assume_unique=True)) for d in docs]
     positive = float((labels * weights).sum() / max(weights.sum(), 1e-9))
