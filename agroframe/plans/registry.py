@@ -58,11 +58,6 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*out)
 
 
-def rnd(expr: str, digits: int = DIGITS) -> str:
-    """Oracle-side rounding of a double expression."""
-    return f"round(round(cast({expr} AS double), 9), {digits})"
-
-
 def exact_rounding(sql: str) -> str:
     """Rewrite ``round(round(E, 9), 6)`` to decimal rounding in DuckDB.
 

@@ -100,4 +100,20 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def drop_materialized(spark) -> int:
+    """Delete the tables that ``materialize`` has written in this session; returns their number.
+
+    For long sessions, between jobs: frames that still read them must not be used afterwards.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)

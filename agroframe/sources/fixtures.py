@@ -186,10 +186,6 @@ def duckdb_ctes(names) -> list[str]:
     return cte_list(names, lambda t: t)
 
 
-def duckdb_with(names) -> str:
-    return with_clause(names, lambda t: t)
-
-
 def spark_table_ref(sf_dir: str):
     root = sf_dir.rstrip("/")
     return lambda t: f"parquet.`{os.path.join(root, t + '.parquet')}`"

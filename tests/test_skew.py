@@ -53,3 +53,32 @@ def test_majority_class_on_a_hot_image(spark):
     lines = spark.createDataFrame(rows, "image_id long, line_no int, line string").repartition(8)
     m = {r.image_id: (r.class_id, r.mixed) for r in C.majority_class(lines).collect()}
     assert m == {1: (5, True), 2: (1, False)}
+
+
+def test_quantiles_of_a_hot_value(spark):
+    """80 % of the rows share a value: it is counted before the sort, so no partition holds its rows."""
+    from agroframe.operators import ranking
+    rng = np.random.default_rng(3)
+    v = np.where(rng.random(40_000) < 0.8, 5.0, rng.normal(5, 2, 40_000))
+    df = spark.createDataFrame(pd.DataFrame({"v": v})).repartition(16)
+    seen = []
+    keep = ranking.materialize
+    try:
+        ranking.materialize = lambda d, name="stage": seen.append(keep(d, name)) or seen[-1]
+        got = ranking.exact_quantiles(df, "v", [0.1, 0.5, 0.975]).first()
+    finally:
+        ranking.materialize = keep
+    np.testing.assert_allclose([got.q0, got.q1, got.q2], np.percentile(v, [10, 50, 97.5]), rtol=1e-12)
+    sizes = [r["count"] for r in seen[0].groupBy("_rk_pid").count().collect()]
+    assert seen[0].agg(F.max("_c")).first()[0] > 30_000 and max(sizes) < 3 * np.mean(sizes)
+
+
+def test_drop_materialized(spark, monkeypatch):
+    import pytest
+
+    from agroframe import session
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    t = session.materialize(spark.range(5).toDF("id"))
+    assert t.count() == 5 and session.drop_materialized(spark) == 1 and session.drop_materialized(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(t.inputFiles()[0]).count()
