@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 
 WORD_CACHE_ENTRIES = 600_000  # words a Python worker keeps in a generation; results never depend on it
 
+BROADCAST_ROWS = 1_000_000  # a few numbers each; larger sides are joined by a shuffle
+
+
+def few_or_shuffled(rows: DataFrame) -> DataFrame:
+    """*rows* (written, a few numbers each), to be broadcast only if counted below ``BROADCAST_ROWS``."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

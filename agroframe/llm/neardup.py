@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.llm.common import mix64, shingle_set, worker_cache
+from agroframe.llm.common import few_or_shuffled, mix64, shingle_set, worker_cache
 from agroframe.llm.graph import connected_components
 from agroframe.session import materialize
 
@@ -41,7 +41,6 @@ MISS = 1e-6  # chance that a pair at the threshold shares no bucket
 SLACK_ERRORS = 4.0  # standard errors below the threshold at which an estimate still passes
 ALWAYS_VERIFY = 64  # sets up to this size skip the estimate
 BLOCK = 1024
-BROADCAST_ROWS = 1_000_000  # ids of eight bytes; larger sides are joined by a shuffle
 _PROBES = 32
 
 
@@ -160,11 +159,6 @@ def _promising(pairs: DataFrame, classes: DataFrame, threshold: float, m: int) -
     return sides.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(keep, "a long, b long")
 
 
-def few_or_shuffled(ids: DataFrame) -> DataFrame:
-    """*ids* (written, one column of ids), to be broadcast only if counted below ``BROADCAST_ROWS``."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * |intersection| >= percent * |union| of their full shingle sets."""
     ids = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
