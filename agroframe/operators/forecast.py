@@ -97,3 +97,42 @@ def forecast_batch(model, requests: DataFrame, by_week: DataFrame, glob: DataFra
 
     rows = apply_scenarios(climatology_lookup(requests, by_week, glob), scen)
     return banded_forecast(predict_severity(model, rows), cutoffs)
+
+
+BUNDLE = ("features", "feat_clim", "feat_clim_global", "band_cutoffs", "endemic", "series_list", "active_weeks", "units",
+          "obs_series")
+
+
+def build_bundle(panel: DataFrame, clean: DataFrame, endemic_thr: float | None = None) -> dict[str, DataFrame]:
+    """The forecast lookup tables from one panel (with ``is_train``) and the cleaned readings.
+
+    The panel is read by most entries: pass a materialized one.
+    """
+    from agroframe.operators import baseline as B
+    from agroframe.operators import panel as P
+
+    by_week, glob = B.feature_climatology(panel)
+    train = panel.filter("is_train")
+    names = panel.sparkSession.createDataFrame([(i, c) for i, c in enumerate(P.BASE_FEATS)], "position int, feature string")
+    return {
+        "features": names,
+        "feat_clim": by_week,
+        "feat_clim_global": glob,
+        "band_cutoffs": B.band_cutoffs(panel),
+        "endemic": B.endemic_series(train) if endemic_thr is None else B.endemic_series(train, endemic_thr),
+        "series_list": panel.select("crop", "location", "pest").distinct(),
+        "active_weeks": P.active_weeks(panel),
+        "units": P.series_units(clean),
+        "obs_series": P.observed_series(clean),
+    }
+
+
+def forecast_from_saved(spark, model_path: str, bundle_root: str, requests: DataFrame, scen: DataFrame) -> DataFrame:
+    """M4 from artefacts: the saved pipeline and bundle answer (crop, location, pest, standard_week) requests."""
+    from pyspark.ml import PipelineModel
+
+    from agroframe.sources.files import read_bundle
+
+    b = read_bundle(spark, bundle_root, BUNDLE)
+    return forecast_batch(PipelineModel.load(model_path), requests, b["feat_clim"], b["feat_clim_global"], scen,
+                          b["band_cutoffs"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroframe.operators import baseline as B
+from agroframe.operators import forecast as FC
 from agroframe.operators import panel as P
 from agroframe.operators.ranking import rank_within
 from agroframe.plans import pest_sql as S
@@ -413,3 +414,26 @@ def forecast_context(spark, sf):
         history=P.observed_series(c))
     return finish(ctx.select("crop", "location", "pest", "q1", "q2", "endemic", "unit",
                              F.array_join("weeks", ",").alias("weeks"), "n_history"))
+
+
+def _count(entry: str, table: str) -> str:
+    return f"SELECT '{entry}' AS entry, count(*) AS n_rows FROM {table}"
+
+
+@query("bundle_sizes", " UNION ALL ".join([
+    f"SELECT 'features' AS entry, {len(P.BASE_FEATS)} AS n_rows", _count("feat_clim", "fclim"), _count("feat_clim_global", "fglob"),
+    _count("band_cutoffs", "cuts"), _count("endemic", "endem"),
+    _count("series_list", "(SELECT DISTINCT crop, location, pest FROM panel) a"), _count("active_weeks", "aw"),
+    _count("units", "(SELECT DISTINCT location, pest FROM clean WHERE pest_value IS NOT NULL) u"),
+    _count("obs_series", "(SELECT DISTINCT location, pest FROM obs) o")]), FX, SPLIT + FCLIM_CTES + [AW_CTE, OBS_CTE])
+def bundle_sizes(spark, sf):
+    """The lookup bundle built from one panel, written, read back and counted."""
+    c = clean(spark, sf)
+    p = materialize(B.year_split(P.feature_panel(c, min_obs=S.MIN_OBS_Q), S.SPLIT_YEAR_Q))
+    root = scratch_path(spark, "bundle")
+    FS.write_bundle(FC.build_bundle(p, c, S.ENDEMIC_Q), root)
+    out = None
+    for name, table in FS.read_bundle(spark, root, FC.BUNDLE).items():
+        n = table.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("entry"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out

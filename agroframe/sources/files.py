@@ -92,13 +92,13 @@ def read_bundle(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
 
 
-def save_class_list(classes: DataFrame, path: str) -> None:
-    """(class_id, class_name) list."""
-    write_table(classes.select("class_id", "class_name"), path)
+def save_class_list(classes: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """(class_id, class_name) list, as Parquet or JSON lines."""
+    write_table(classes.select("class_id", "class_name"), path, fmt)
 
 
-def load_class_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load_class_list(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.schema("class_id int, class_name string").format(fmt).load(path)
 
 
 # ---------------------------------------------------------------- archives & label files

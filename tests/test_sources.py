@@ -71,6 +71,8 @@ def test_table_round_trip_and_bundle(spark, tmpdir_path):
     assert b["x"].count() == 2 and b["y"].columns == ["id"]
     FS.save_class_list(spark.createDataFrame([(0, "a_b")], "class_id int, class_name string"), f"{tmpdir_path}/cl")
     assert FS.load_class_list(spark, f"{tmpdir_path}/cl").first().class_name == "a_b"
+    FS.save_class_list(FS.load_class_list(spark, f"{tmpdir_path}/cl"), f"{tmpdir_path}/cj", fmt="json")
+    assert FS.load_class_list(spark, f"{tmpdir_path}/cj", fmt="json").first().class_name == "a_b"
 
 
 def test_archive_entries(spark, tmpdir_path):

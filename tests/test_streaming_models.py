@@ -120,7 +120,7 @@ def test_ood_flags_by_strictness(spark):
     assert n["Lenient"] <= n["Balanced"] <= n["Strict"]
 
 
-def test_forecast_batch_covers_every_request_and_scenario(spark):
+def test_forecast_batch_covers_every_request_and_scenario(spark, tmpdir_path):
     from agroframe.operators import baseline as B
     from agroframe.operators import forecast as FC
     p = PP.split_panel(spark, SF_CHECK)
@@ -135,3 +135,11 @@ def test_forecast_batch_covers_every_request_and_scenario(spark):
     assert {r.band for r in out.select("band").distinct().collect()} <= {"Low", "Medium", "High"}
     # rows without a (location, week) climatology fall back to the global row
     assert out.filter("from_global").count() > 0
+    # the same answers from the saved artefacts
+    from agroframe.sources import files as FS
+    FS.write_bundle(FC.build_bundle(p, PP.clean(spark, SF_CHECK)), f"{tmpdir_path}/bundle")
+    model.write().overwrite().save(f"{tmpdir_path}/model")
+    again = FC.forecast_from_saved(spark, f"{tmpdir_path}/model", f"{tmpdir_path}/bundle", req, scen)
+    key = ["location", "pest", "crop", "standard_week", "scenario_id"]
+    both = out.select(*key, "count", "band").join(again.select(*key, F.col("count").alias("c2"), F.col("band").alias("b2")), key)
+    assert both.count() == 4 * 53 * 2 and both.filter("count <> c2 or band <> b2").count() == 0
