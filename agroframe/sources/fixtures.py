@@ -10,7 +10,9 @@ Base tables appear as ``{orders}``-style placeholders: Spark reads
 pre-registered view.
 
 Every fixture reads whole tables; modulo arithmetic only *assigns* values
-(dirty tokens, splits, extensions), it never filters rows.
+(dirty tokens, splits, extensions).  The one filter on values is in the class
+list, which leaves out two class ids so that the fallback for unknown ids is
+exercised.
 """
 
 from __future__ import annotations
