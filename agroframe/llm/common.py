@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_CACHE_ENTRIES = 600_000  # words a Python worker keeps in a generation; results never depend on it
+WORD_CACHE_ENTRIES = 150_000  # hashed words kept per Python worker; results never depend on it
 
 BROADCAST_ROWS = 1_000_000  # a few numbers each; larger sides are joined by a shuffle
 
@@ -24,18 +24,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+LARGE_CACHES = ("encoders", "word_hashes", "terms")
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker process, across tasks.
 
     Functions are shipped by value, so their module globals are new in every
     task; the holder is kept in ``sys.modules`` of the reused worker instead.
+    A worker keeps one large cache at a time: asking for another empties it,
+    so the stages of a pipeline do not add up in memory.
     """
-    holder = sys.modules.setdefault("_agroframe_worker_cache", types.ModuleType("_agroframe_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
-
-
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column), F.lit(""))
+    holder = sys.modules.setdefault("_agroframe_worker_cache", types.ModuleType("_agroframe_worker_cache")).__dict__
+    if name in LARGE_CACHES:
+        for other in LARGE_CACHES:
+            if other != name and holder.get(other):
+                holder[other].clear()
+    return holder.setdefault(name, {})
+
+
+def small_batches(batches, rows: int = 1000):
+    """The same rows in batches of at most *rows*, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroframe.llm.common import small_batches
+
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -238,13 +240,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     too; repeated rows stay repeated; other columns are ignored.
     """
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                got = [main_text(h) for h in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(got, pa.string()),
-                     pa.array([len(t) for t in got], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        for batch in small_batches(batches, 500):
+            got = [main_text(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(got, pa.string()),
+                 pa.array([len(t) for t in got], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.col(html).cast("string").alias("html")) \

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.llm.common import few_or_shuffled, mix64, shingle_set, worker_cache
+from agroframe.llm.common import few_or_shuffled, mix64, shingle_set, small_batches, worker_cache
 from agroframe.llm.graph import connected_components
 from agroframe.session import materialize
 
@@ -101,7 +101,7 @@ def floor_of(threshold: float, m: int = REGISTERS) -> float:
 def signatures(docs: DataFrame, k: int, m: int = REGISTERS) -> DataFrame:
     """doc_id, n_shingles, digest and registers (null for empty sets) of (doc_id, text)."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n, digest, regs = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, k)

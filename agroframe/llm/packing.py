@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroframe.llm.common import small_batches
 from agroframe.llm.tokens import TokenizerFile, encode_in_chunks
 
 MAX_LEN = 2048
@@ -59,7 +60,7 @@ def pack(docs: DataFrame, file: TokenizerFile, end_id: int = 1, max_len: int = M
             columns = [list(c) for c in zip(*rows)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, body in zip(ids, encode_in_chunks(file, texts)):
                 body += end

@@ -18,7 +18,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from agroframe.llm.common import WORD_CACHE_ENTRIES, worker_cache
+from agroframe.llm.common import worker_cache
 
 
 _LETTERS = r"[A-Za-zÀ-ÖØ-öø-ʯ]++(?=[!-/:-@\[-`{-~\s]|\Z)"
@@ -31,6 +31,7 @@ class TokenizerFile:
 
     path: str
     spaces: str
+    cached_units: int = 250_000  # kept in a generation, of which a Python worker holds two; results never depend on it
 
 
 def byte_bpe() -> TokenizerFile:
@@ -38,7 +39,7 @@ def byte_bpe() -> TokenizerFile:
 
 
 def word_bpe() -> TokenizerFile:
-    return TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "dropped")
+    return TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "dropped", cached_units=500_000)
 
 
 class WordEncoder:
@@ -46,10 +47,14 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file.path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dropped = file.spaces == "dropped"
+        self.cached_units = file.cached_units
         self.odd_space = re.compile(r"[^\S \n\t\r]").search
         self.units = re.compile(_UNITS[file.spaces]).findall
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        self.closing = np.zeros(len(self.n_bytes), dtype=bool)
+        for token, i in vocab.items():
+            self.closing[i] = token.endswith("</w>")
         for token, i in vocab.items():  # byte-level alphabets: one character stands for one byte
             self.n_bytes[i] = len(token.removesuffix("</w>") if self.dropped else token)
         self.cache: dict[str, bytes] = {}
@@ -59,32 +64,46 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _cut(self, line: str, units: list[str], ends_of=None) -> dict[str, bytes]:
+        """Encode *line*, made of *units*, in one call and cut its ids where *ends_of* says; {} if it cannot tell."""
+        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
+        cut = ends_of(ids)
+        if cut is None or len(cut) != len(units) or cut[-1] != len(ids):
+            return {}
+        data, to = ids.tobytes(), (4 * cut).tolist()
+        return dict(zip(units, map(data.__getitem__, map(slice, [0, *to], to))))
+
+    def _by_length(self, parts: list[str]):
+        """Units end where the bytes of their tokens add up to theirs."""
+        def ends_of(ids: np.ndarray):
+            ends = np.cumsum(self.n_bytes[ids])
+            unit_ends = np.cumsum(np.fromiter(map(len, map(str.encode, parts)), dtype=np.int64, count=len(parts)))
+            cut = np.searchsorted(ends, unit_ends, side="right")
+            return cut if len(ends) and (ends[cut - 1] == unit_ends).all() else None
+
+        return ends_of
+
     def _learn(self, units: list[str]) -> None:
-        """Encode new units in one call; token byte lengths tell where each unit ends."""
+        """Encode new units in few calls."""
         if self.dropped:
-            joined, single = units, []
-            line = " ".join(joined)
-            parts = self.tokenizer.normalizer.normalize_str(line).split(" ")
+            # a word of letters is one pre-token, so its last token closes it
+            words = [u for u in units if u.isalpha()]
+            others = [u for u in units if not u.isalpha()]
+            out = self._cut(" ".join(words), words, lambda ids: np.flatnonzero(self.closing[ids]) + 1) if words else {}
+            if others:
+                line = " ".join(others)
+                out.update(self._cut(line, others, self._by_length(self.tokenizer.normalizer.normalize_str(line).split(" "))))
         else:
             joined = [u for u in units if u[0] in " \n\t\r" and u[-1] not in " \n\t\r"]
-            single = [u for u in units if u[0] not in " \n\t\r" or u[-1] in " \n\t\r"]
-            line, parts = "".join(joined), joined
-        if joined:
-            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum(self.n_bytes[ids])
-            unit_ends = np.cumsum(np.fromiter(map(len, map(str.encode, parts)), dtype=np.int64, count=len(parts)))
-            cut = np.searchsorted(ends, unit_ends, side="right")
-            if len(parts) == len(joined) and len(ends) and (ends[cut - 1] == unit_ends).all() and cut[-1] == len(ids):
-                data, to = ids.tobytes(), (4 * cut).tolist()
-                self.cache.update(zip(joined, map(data.__getitem__, map(slice, [0, *to], to))))
-            else:
-                single = single + joined
-        if single:
+            out = self._cut("".join(joined), joined, self._by_length(joined)) if joined else {}
+        self.cache.update(out)
+        if len(out) < len(units):
+            single = [u for u in units if u not in out]
             self.cache.update(zip(single, self._one_by_one(single)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > WORD_CACHE_ENTRIES:
+        if len(self.cache) > self.cached_units:
             self.older, self.cache = self.cache, {}
         held, new = [], {}
         for t in texts:
@@ -114,7 +133,7 @@ def encoder(file: TokenizerFile) -> WordEncoder:
     return cache[file.path]
 
 
-def encode_in_chunks(file: TokenizerFile, texts: list[str | None], chars: int = 1_000_000) -> Iterator[bytes]:
+def encode_in_chunks(file: TokenizerFile, texts: list[str | None], chars: int = 500_000) -> Iterator[bytes]:
     """Encode a batch chunk by chunk, so that working memory is bounded by *chars* or one text."""
     enc, chunk, held = encoder(file), [], 0
     for t in texts:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.llm.common import WORD_CACHE_ENTRIES
+from agroframe.llm.common import WORD_CACHE_ENTRIES, small_batches, worker_cache
 
 TERM_BITS = 28  # of the hash; only terms of the sample are stored, so wide hashes cost nothing
 FACTORS = 8
@@ -183,7 +183,8 @@ def fit(rows: DataFrame) -> Model:
 def scorer(model: Model):
     """Function from a text to its score, for use inside a task."""
     row_of = {int(t): k for k, t in enumerate(model.ids)}
-    known: dict[str, int] = {}
+    known = worker_cache("terms")
+    known.clear()  # rows of another model
 
     def of(text: str | None) -> float:
         words = terms(text)
@@ -206,7 +207,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     """
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = scorer(model)
-        for batch in batches:
+        for batch in small_batches(batches):
             out = [of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
 
@@ -222,7 +223,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = scorer(model)
-        for batch in batches:
+        for batch in small_batches(batches):
             yield batch.filter(pa.array([of(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)

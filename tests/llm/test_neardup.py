@@ -80,6 +80,7 @@ def test_hot_group(spark, monkeypatch, k, percent):
     rows = [(i, t) for i, t in enumerate(_variants(rng, 400))]
     rng.shuffle(rows)
     monkeypatch.setattr(N, "BLOCK", 64)
+    monkeypatch.setattr("agroframe.llm.common.BROADCAST_ROWS", 0 if k == 5 else 10**6)  # joined by a shuffle, by broadcast
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, digest string, size int")
     assert got(N.groups(df, k, percent)) == brute(rows, k, percent)
 
