@@ -24,7 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from agroframe.llm.common import few_or_shuffled, small_batches
 from agroframe.llm.tokens import TokenizerFile, encode_in_chunks
+from agroframe.session import materialize
 
 MAGIC = b"DAC1"
 WORDS_PER_BLOCK = 8  # 64-bit words in a block of the rank directory
@@ -145,7 +147,7 @@ def write_store(docs: DataFrame, path: str, file: TokenizerFile, end_id: int = 1
             row = [part, seq, start, held, ids, ends, image]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for i, body in zip(batch.column(0).to_pylist(), encode_in_chunks(file, batch.column(1).to_pylist())):
                 held += len(body) // 4 + 1
                 ids.append(i)
@@ -166,11 +168,11 @@ def write_store(docs: DataFrame, path: str, file: TokenizerFile, end_id: int = 1
 def open_store(spark: SparkSession, path: str) -> DataFrame:
     """The store's segments with ``start``, the number of tokens of all segments before."""
     segs = spark.read.parquet(path)
-    # one row per written partition: the running total is over a few numbers, not over segments
+    # one row per written partition: the running total is over a few numbers, and the images stay where they are
     totals = segs.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return segs.join(base, "part").withColumn("start", F.col("_base") + F.col("start_in_part")).drop("_base")
+    base = materialize(totals.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")), "part-starts")
+    return segs.join(few_or_shuffled(base), "part").withColumn("start", F.col("_base") + F.col("start_in_part")).drop("_base")
 
 
 def read_documents(store: DataFrame) -> DataFrame:
@@ -180,9 +182,10 @@ def read_documents(store: DataFrame) -> DataFrame:
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                codes, a, crcs = Codes(row["image"]), 0, []
+                n = row["doc_ends"][-1]
+                data, a, crcs = memoryview(Codes(row["image"]).slice(0, n).tobytes()), 0, []
                 for b in row["doc_ends"]:
-                    crcs.append(zlib.crc32(codes.slice(a, b).tobytes()))
+                    crcs.append(zlib.crc32(data[4 * a:4 * b]))
                     a = b
                 ends = np.array(row["doc_ends"], dtype=np.int64)
                 begin = np.r_[0, ends[:-1]]
