@@ -31,15 +31,15 @@ class TokenizerFile:
 
     path: str
     spaces: str
-    cached_units: int = 250_000  # kept in a generation, of which a Python worker holds two; results never depend on it
+    cached_units: int = 400_000  # kept in a generation, of which a Python worker holds two; results never depend on it
 
 
-def byte_bpe() -> TokenizerFile:
-    return TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "leading")
+def byte_bpe(cached_units: int = 500_000) -> TokenizerFile:
+    return TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"), "leading", cached_units)
 
 
-def word_bpe() -> TokenizerFile:
-    return TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "dropped", cached_units=500_000)
+def word_bpe(cached_units: int = 400_000) -> TokenizerFile:
+    return TokenizerFile(public_tokenizers.path("word_bpe_49k.json"), "dropped", cached_units)
 
 
 class WordEncoder:
@@ -49,6 +49,8 @@ class WordEncoder:
         self.dropped = file.spaces == "dropped"
         self.cached_units = file.cached_units
         self.odd_space = re.compile(r"[^\S \n\t\r]").search
+        # up to U+024F lower-casing works letter by letter, before or after the tokenizer's own normalizing
+        self.not_latin = re.compile("[^\x00-\u024f]").search
         self.units = re.compile(_UNITS[file.spaces]).findall
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -107,6 +109,8 @@ class WordEncoder:
             self.older, self.cache = self.cache, {}
         held, new = [], {}
         for t in texts:
+            if self.dropped and not self.not_latin(t):
+                t = t.lower()  # the tokenizer does so anyway; fewer units to learn
             units = None if self.odd_space(t) else self.units(t)
             got = units and list(map(self.cache.get, units))
             holes = [k for k, v in enumerate(got) if v is None] if got else ()
@@ -130,6 +134,7 @@ def encoder(file: TokenizerFile) -> WordEncoder:
     cache = worker_cache("encoders")
     if file.path not in cache:
         cache[file.path] = WordEncoder(file)
+    cache[file.path].cached_units = file.cached_units
     return cache[file.path]
 
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from agroframe.llm import dac, packing
 from agroframe.llm.tokens import byte_bpe, encode_in_chunks, encoder, word_bpe
 
-ODD = ["", " ", "a", " a", "a ", "a\t\n\nb", "x y  z", "it's  <|endoftext|> ok", "\n\n\nq\r\nz  ",
+ODD = ["", "İ ǅ ŉ ΣΑΣ", "İ ǅ ŉ ß SS Ÿ", "J̌ A", " ", "a", " a", "a ", "a\t\n\nb", "x y  z", "it's  <|endoftext|> ok", "\n\n\nq\r\nz  ",
        "É é ﬁ ΣΑΣ", "İstanbul İ", "\x1c\x1d a", "日本語 テスト 🎉🎉 x", "I'm  we'll don't", " ́ a", "éx",
        "abc² ²3 x1y", "word, word. (word) a_b and/or", "%%% a%%% $$$", "≠ a≠"]
 ROWS = [(3, "b b, bb  end"), (1, None), (2, ""), (None, "no id"), (5, "word " * 3000), (3, "b b, bb  end")] + \
