@@ -32,8 +32,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document cut into power-of-two sequences."""
-    return packing.digest(packing.pack(docs, byte_bpe()))
+    """Every document cut into power-of-two sequences; a small cache, as executors hold much from earlier stages."""
+    return packing.digest(packing.pack(docs, byte_bpe(cached_units=200_000)))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("mixing", mix_sources), ("packing", pack_sequences)]
