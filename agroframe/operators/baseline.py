@@ -68,9 +68,14 @@ def climatology_table(panel: DataFrame, feats=BASE_FEATS) -> DataFrame:
 
 
 def feature_climatology(panel: DataFrame, feats=BASE_FEATS) -> tuple[DataFrame, DataFrame]:
-    """Mean of every feature per (location, week) plus one global row, computed once."""
+    """Mean of every feature per (location, week) plus one global row, computed once.
+
+    Grouping sets give no row for an empty panel; the global row is there all
+    the same, with NULL means.
+    """
     both = materialize(climatology_table(panel, feats), "climatology")
-    return both.filter("not is_global").drop("is_global"), both.filter("is_global").select(*feats)
+    glob = both.filter("is_global").agg(*[F.first(c).alias(c) for c in feats])
+    return both.filter("not is_global").drop("is_global"), glob
 
 
 def climatology_lookup(requests: DataFrame, by_week: DataFrame, glob: DataFrame,
