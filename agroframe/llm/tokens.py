@@ -5,7 +5,8 @@ text.  It encodes each distinct unit once per worker and joins the cached ids.
 A unit ends before white space, or between a Latin letter and an ASCII
 punctuation mark; neither supported pre-tokenizer ever builds a token across
 such a border.  Texts with other white space than blank, tab, line feed and
-carriage return are handed to the tokenizer whole.
+carriage return, and texts that hold the string of an added token (such as
+``<|endoftext|>``, which the tokenizer reads as that token), are handed to it whole.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def word_bpe(cached_units: int = 400_000) -> TokenizerFile:
 class WordEncoder:
     def __init__(self, file: TokenizerFile):
         self.tokenizer = Tokenizer.from_file(file.path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
         self.dropped = file.spaces == "dropped"
         self.cached_units = file.cached_units
         self.odd_space = re.compile(r"[^\S \n\t\r]").search
@@ -108,24 +109,25 @@ class WordEncoder:
         if len(self.cache) > self.cached_units:
             self.older, self.cache = self.cache, {}
         held, new = [], {}
-        for t in texts:
+        for text in texts:
+            t = text
             if self.dropped and not self.not_latin(t):
-                t = t.lower()  # the tokenizer does so anyway; fewer units to learn
-            units = None if self.odd_space(t) else self.units(t)
+                t = t.lower()  # the tokenizer does so anyway, except when it looks for added tokens; fewer units to learn
+            units = None if self.odd_space(t) or any(a in t for a in self.added) else self.units(t)
             got = units and list(map(self.cache.get, units))
             holes = [k for k, v in enumerate(got) if v is None] if got else ()
             new.update((units[k], None) for k in holes)
-            held.append((t, units, got, holes))
+            held.append((text, units, got, holes))
         for u in new.keys() & self.older.keys():
             self.cache[u] = self.older[u]
             del new[u]
         if new:
             self._learn(list(new))
         out = []
-        for t, units, got, holes in held:
+        for text, units, got, holes in held:
             for k in holes:
                 got[k] = self.cache[units[k]]
-            out.append(self._one_by_one([t])[0] if units is None else b"".join(got))
+            out.append(self._one_by_one([text])[0] if units is None else b"".join(got))
         return out
 
 

@@ -3,6 +3,7 @@ import pytest
 import zlib
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from agroframe.llm import dac, packing
 from agroframe.llm.tokens import byte_bpe, encode_in_chunks, encoder, word_bpe
@@ -31,6 +32,36 @@ def test_same_ids_property(texts):
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+ADDED = ["it's <|endoftext|> ok", "<|endoftext|>", "a<|startoftext|>b <|endoftext|><|endoftext|> c", "It's <|ENDOFTEXT|> ok",
+         "A <|EndOfText|> and <|endoftext|>", "<|endoftext|", "日本 <|STARTOFTEXT|> x<|startoftext|>", "  <|endoftext|>\n\n q",
+         "<|start oftext|> <| endoftext|>", "é<|endoftext|>É"]
+
+
+@pytest.mark.parametrize("file", [byte_bpe(), word_bpe()], ids=["byte", "word"])
+def test_added_tokens_as_the_plain_library(file):
+    """Against a fresh tokenizer, also when the other letter case was learned before."""
+    plain, texts = Tokenizer.from_file(file.path), ADDED[::-1] + ADDED + ODD
+    for t, got in zip(texts, encode_in_chunks(file, texts, chars=30)):
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert len(plain.encode(ADDED[0], add_special_tokens=False).ids) == (4 if file.spaces == "dropped" else 5)
+
+
+def test_added_tokens_in_store_and_pieces(spark, tmpdir_path):
+    rows = [(i, t) for i, t in enumerate(ADDED)]
+    path, start = f"{tmpdir_path}/store", 0
+    dac.write_store(_docs(spark, rows), path, word_bpe(), segment_tokens=20)
+    plain = Tokenizer.from_file(word_bpe().path)
+    for doc, at, n, crc in sorted(map(tuple, dac.read_documents(dac.open_store(spark, path)).collect())):
+        ids = plain.encode(ADDED[doc], add_special_tokens=False).ids + [1]
+        assert (at, n, crc) == (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        start += n
+    plain = Tokenizer.from_file(byte_bpe().path)
+    got = {}
+    for r in sorted(packing.pack(_docs(spark, rows), byte_bpe()).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert got == {i: plain.encode(t, add_special_tokens=False).ids + [1] for i, t in rows}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=1500), st.data())
 def test_codes_round_trip(ids, data):
