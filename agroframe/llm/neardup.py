@@ -2,8 +2,9 @@
 
 Every text becomes the set of its word shingles.  Its hashes are dealt into M
 bins; a register keeps, of the smallest hash in its bin, the number of leading zeros and
-the mantissa bits after them.  Empty bins borrow from others by fixed probes,
-so short texts fill their registers too.
+the mantissa bits after them.  An empty bin borrows from the first
+filled one in an order of all bins fixed for it, so short texts fill their registers
+too, and the loan depends on which bins are filled, not on how many.
 
 1. Texts with equal sets form a class (grouped by a digest of the set).
 2. Bands of registers of the class representatives give buckets.
@@ -37,11 +38,11 @@ from agroframe.session import materialize
 
 REGISTERS = 192
 MANTISSA_BITS = 10
-MISS = 1e-6  # chance that a pair at the threshold shares no bucket
+MISS = 1e-6  # chance that a pair at the threshold shares no bucket, were its registers independent
 SLACK_ERRORS = 4.0  # standard errors below the threshold at which an estimate still passes
 ALWAYS_VERIFY = 64  # sets up to this size skip the estimate
 BLOCK = 1024
-_PROBES = 32
+_PROBES = 32  # looked at first; the rest of the order only where these are all empty
 
 
 def bands(threshold: float, registers: int = REGISTERS, miss: float = MISS) -> tuple[int, int]:
@@ -71,11 +72,11 @@ def registers(hashes: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     if len(empty):
         cache = worker_cache("probes")
         if m not in cache:
-            cache[m] = np.random.default_rng(m).integers(0, m, (m, _PROBES))
-        source = cache[m][empty]
-        full = held[source]
-        pick = np.where(full.any(axis=1), source[np.arange(len(empty)), full.argmax(axis=1)],
-                        np.flatnonzero(held)[empty % held.sum()])
+            cache[m] = np.random.default_rng(m).permuted(np.tile(np.arange(m), (m, 1)), axis=1)
+        order = cache[m]
+        pick = order[empty, held[order[empty, :_PROBES]].argmax(axis=1)]
+        late = empty[~held[pick]]
+        pick[~held[pick]] = order[late, held[order[late]].argmax(axis=1)]
         out[empty] = out[pick]
     return out
 

@@ -112,6 +112,31 @@ def test_registers_and_estimate():
     assert N.bands(0.85) == (32, 6) and N.bands(0.8) == (38, 5)
 
 
+@pytest.mark.parametrize("percent,sizes", [(85, (7, 8, 13, 20)), (80, (5, 6, 10, 20))])
+def test_short_sets_share_a_band(percent, sizes):
+    """Sets of n and of the fewest shingles among them that reach the threshold."""
+    rng = np.random.default_rng(7)
+    n_bands, width = N.bands(percent / 100)
+    for n in sizes:
+        for _ in range(300):
+            a = rng.integers(0, 2**64, n, dtype=np.uint64)
+            same = N.registers(a) == N.registers(a[:-(-n * percent // 100)])
+            assert same[:n_bands * width].reshape(n_bands, width).all(axis=1).any(), n
+
+
+@pytest.mark.parametrize("k,percent,words", [(3, 85, 9), (5, 80, 9)])
+def test_short_pairs_are_linked(spark, k, percent, words):
+    """A word appended or cut: 7 and 6 shingles of three words, 5 and 4 of five."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        w = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(words)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:-1]))]
+    want = brute(rows, k, percent)
+    assert len({c for *_, c in want}) == 150
+    assert got(N.groups(spark.createDataFrame(rows, "doc_id long, text string"), k, percent)) == want
+
+
 def test_shingle_set_words():
     assert len(shingle_set("a b c d", 3)) == 2 and len(shingle_set("A b", 3)) == 1 and not len(shingle_set(" \x0b", 3))
     assert shingle_set("A\x0bB c", 3).tolist() == shingle_set("a b C", 3).tolist()
