@@ -4,17 +4,18 @@ The standard-library parser streams a page's events into *lines*: runs of text
 between block borders, each with its number of tags and its place in the open
 elements.  A line's ratio is its characters per tag.  The ratios are smoothed
 along the page with a Gaussian and split into two clusters by a threshold;
-the lines above it are *hot*.  The content is the region around them: from the
-body (or the articles, where the page names them) down to the smallest element
-that still holds nearly all hot text.  Inside the region every line is kept,
-so short paragraphs and headings of the article are not lost, except branches of links
-without a hot line.  Elements that name themselves as something else (menus, forms,
+the lines above it are *hot*.  Where the page names articles, its content is all
+of them but lists of links without a hot line.  Elsewhere a region is found around the hot lines,
+from the body down to the smallest element that still holds nearly all hot text.
+Inside and beside the region every line is kept, so short paragraphs, sections and headings are
+not lost, except links: a list of them goes, unless its branch holds hot text.  Elements that name themselves as something else (menus, forms,
 page footers, comments, ...) never give lines.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,6 +44,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"},
           "th": {"table", "tr"}, "option": {"select"}, "tbody": {"table"}}
 ARTICLES = ("main", "article")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 RADIUS, SIGMA = 2, 1.0
 REGION_SHARE = 0.9  # the region narrows while one child holds this share of the hot text
 
@@ -55,10 +57,10 @@ class _Node:
 
 
 class _Line:
-    __slots__ = ("text", "tags", "link_chars", "node")
+    __slots__ = ("text", "tags", "link_chars", "anchors", "node")
 
-    def __init__(self, text, tags, link_chars, node):
-        self.text, self.tags, self.link_chars, self.node = text, tags, link_chars, node
+    def __init__(self, text, tags, link_chars, anchors, node):
+        self.text, self.tags, self.link_chars, self.anchors, self.node = text, tags, link_chars, anchors, node
 
 
 class LineParser(HTMLParser):
@@ -69,7 +71,7 @@ class LineParser(HTMLParser):
         self.node = self.root = _Node("html", None, "", False)
         self.lines: list[_Line] = []
         self.pieces: list[str] = []
-        self.tags = self.links = self.link_chars = 0
+        self.tags = self.links = self.link_chars = self.anchors = 0
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)
@@ -78,8 +80,8 @@ class LineParser(HTMLParser):
         if self.pieces:
             text = " ".join("".join(self.pieces).split())
             if text:
-                self.lines.append(_Line(text, self.tags, self.link_chars, self.node))
-                self.tags = self.link_chars = 0
+                self.lines.append(_Line(text, self.tags, self.link_chars, self.anchors, self.node))
+                self.tags = self.link_chars = self.anchors = 0
             self.pieces = []
 
     def _to(self, node: _Node) -> None:
@@ -133,6 +135,7 @@ class LineParser(HTMLParser):
             self._to(outer)
         skip = self.node.skip or self._kind(tag, {k: v or "" for k, v in attrs})
         self.links += tag == "a"
+        self.anchors += tag == "a" and not skip
         self.node = _Node(tag, self.node, skip, self.node.article or tag in ARTICLES)
 
     def handle_startendtag(self, tag, attrs):
@@ -203,33 +206,36 @@ def main_text(html: str | None) -> str:
             path.append(node)
             node = node.parent
         paths.append(path[::-1])
+    linked = np.array([x.link_chars for x in lines]) > 0.5 * chars
     if named:
-        # every article in which hot text stands is content; cards beside it are not
+        # every article is content, except a card that only links elsewhere
         own = [next(n for n in p if n.article) for p in paths]
-        weight: dict = {}
-        for n, h, c in zip(own, hot, chars):
-            weight[n] = weight.get(n, 0.0) + h * c
-        most = max(weight.values())
-        return " ".join(x.text for x, n in zip(lines, own) if weight[n] >= 0.2 * most)
+        told = {n for n, h, link in zip(own, hot, linked) if h or not link}
+        return " ".join(x.text for x, n in zip(lines, own) if n in told)
     depth, inside = 0, np.ones(len(lines), dtype=bool)
+    branch = [None] * len(lines)  # the element beside the way down, or below the region, that holds the line
     total = (hot * chars).sum()
     while True:
         weight = {}
         for k in np.flatnonzero(inside):
-            if len(paths[k]) > depth + 1:
-                child = paths[k][depth + 1]
-                weight[child] = weight.get(child, 0.0) + hot[k] * chars[k]
+            branch[k] = paths[k][depth + 1] if len(paths[k]) > depth + 1 else None
+            if branch[k] is not None:
+                weight[branch[k]] = weight.get(branch[k], 0.0) + hot[k] * chars[k]
         best = max(weight, key=weight.get, default=None)
         if best is None or best.tag == "p" or weight[best] < REGION_SHARE * total:
             break
         depth += 1
         inside &= np.array([len(p) > depth and p[depth] is best for p in paths])
+    # beside the region a link that is hot only by its neighbours does not speak for its branch
+    told = {n for n, h, i, link in zip(branch, hot, inside, linked) if h and (i or not link)}
+    title = [link and any(n.tag in HEADINGS for n in p) for link, p in zip(linked, paths)]
+    titles = Counter(n for n, t in zip(branch, title) if t)
     kept = []
-    for k in np.flatnonzero(inside):
-        branch = paths[k][depth + 1] if len(paths[k]) > depth + 1 else None
-        linked = lines[k].link_chars > 0.5 * chars[k]
-        if hot[k] or branch is None or weight.get(branch) or not linked:
-            kept.append(lines[k].text)
+    for k, x in enumerate(lines):
+        listed = linked[k] and (x.anchors > 1 or linked[max(k - 1, 0):k].any() or linked[k + 1:k + 2].any())
+        own_words = branch[k] is None and (inside[k] or not listed)
+        if not listed or own_words or branch[k] in told or title[k] and titles[branch[k]] == 1 or inside[k] and hot[k]:
+            kept.append(x.text)
     return " ".join(kept)
 
 

@@ -36,6 +36,28 @@ def test_article_only(inner):
     assert main_text(article(inner.replace("{L}", LONG).replace("{S}", SHORT))) == flat(f"A & B {LONG} {SHORT}")
 
 
+@pytest.mark.parametrize("times", [1, 4, 40])
+@pytest.mark.parametrize("inner", [
+    "<h1>Head</h1><p>lead</p><div><p>{B}</p><p>{B}</p></div>",
+    "<div><p>{B}</p><p>{B}</p></div><div><h2>Head</h2><p>A short section.</p><p>Its end.</p></div>",
+    "<h1><a href='/x'>Head</a></h1><div><p>{B}</p></div><p>After.</p>",
+    "<div><h1>Head</h1><p>By Ann</p></div><div><div><p>{B}</p><h2>Sub</h2><p>{B}</p></div><p>Note.</p></div>",
+    "<article><p>{B}</p><p>{B}</p></article><article><h2>Head</h2><p>" + LONG + "</p></article><article><p>Few words.</p></article>",
+])
+def test_nothing_beside_the_long_text_is_lost(inner, times):
+    body = inner.replace("{B}", LONG * times)
+    assert main_text(f"<html><body>{body}</body></html>") == flat(re.sub("<[^>]*>", " ", body))
+
+
+def test_lists_of_links_beside_the_text_go():
+    links = "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(6))
+    page = f"<body><ul>{links}</ul><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><ul>{links}</ul></div></body>"
+    assert main_text(page) == flat(f"Head {LONG} {LONG}")
+    cards = "<article><a href='/a'>Other story</a></article>" * 8
+    assert main_text(f"<main><p>{LONG}</p><p>{LONG}</p></main><p>x</p>" + cards).startswith(flat(f"{LONG} {LONG}"))
+    assert main_text(f"<article><p>{LONG}</p><p>{LONG}</p><p>.</p><p>.</p><p>.</p></article>{cards}").count("Other") == 0
+
+
 def test_blocks_and_references():
     page = "<article><p>a<b>b</b>c&nbsp;&#100; \n e<br>f</p>g<ul><li>h<li>i</ul><![CDATA[x]]><p hidden>no</p></article>"
     assert main_text(page) == "abc d e f g h i"
