@@ -8,8 +8,10 @@ the lines above it are *hot*.  Where the page names articles, its content is all
 of them but lists of links without a hot line.  Elsewhere a region is found around the hot lines,
 from the body down to the smallest element that still holds nearly all hot text.
 Inside and beside the region every line is kept, so short paragraphs, sections and headings are
-not lost, except links: a list of them goes, unless its branch holds hot text.  Elements that name themselves as something else (menus, forms,
-page footers, comments, ...) never give lines.
+not lost, except links: a list of them goes, unless its branch holds hot text.  Elements
+that are something else by tag, role or style (menus, forms, page footers, ...) never give lines.
+Those that call themselves so by class or id (ads, comments, ...) give none either, unless they hold
+most of the page's text or its article: then the page is read again with them open.
 """
 
 from __future__ import annotations
@@ -38,6 +40,12 @@ NAMES = frozenset("ad ads advert advertisement advertising adverts banner breadc
                   "navigation newsletter notice notices overlay pagination paywall popup promo promotion recommended "
                   "related replies respond share sharing sidebar sidebars signup social sponsor sponsored subscribe "
                   "toolbar widget widgets".split())
+# after these, a class speaks of the page's layout or of a topic: no-sidebar, tag-comments
+ABOUT = frozenset("no not non has have with without hide tag category cat topic taxonomy".split())
+COMMENTS = frozenset("comment commentlist comments discussion disqus replies respond".split())
+# articles in these are not the page's own, if it has another one
+OTHERS = COMMENTS | frozenset("ad ads advert advertisement advertising adverts promo promotion recommended related "
+                              "sidebar sidebars sponsor sponsored widget widgets".split())
 # a start tag on the left ends an open element on the right
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
@@ -50,10 +58,19 @@ REGION_SHARE = 0.9  # the region narrows while one child holds this share of the
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "article")
+    __slots__ = ("tag", "parent", "skip", "article", "closed")
 
-    def __init__(self, tag, parent, skip, article):
-        self.tag, self.parent, self.skip, self.article = tag, parent, skip, article
+    def __init__(self, tag, parent, skip, article, closed=None):
+        self.tag, self.parent, self.skip, self.article, self.closed = tag, parent, skip, article, closed
+
+
+class _Closed:
+    """An element that gives no lines because of its class or id *word*."""
+
+    __slots__ = ("word", "outer", "chars", "article")
+
+    def __init__(self, word, outer):
+        self.word, self.outer, self.chars, self.article = word, outer, 0, False
 
 
 class _Line:
@@ -64,10 +81,15 @@ class _Line:
 
 
 class LineParser(HTMLParser):
-    """Parser events to lines; tag soup is closed the way browsers close it."""
+    """Parser events to lines; tag soup is closed the way browsers close it.
+
+    *opened*: numbers of the start tags whose class or id does not matter.
+    """
 
-    def __init__(self):
+    def __init__(self, opened=frozenset()):
         super().__init__(convert_charrefs=True)
+        self.opened, self.starts = opened, 0
+        self.closed: dict[int, _Closed] = {}
         self.node = self.root = _Node("html", None, "", False)
         self.lines: list[_Line] = []
         self.pieces: list[str] = []
@@ -106,17 +128,23 @@ class LineParser(HTMLParser):
             return "hidden"
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or ""):
             return "hidden"
-        if tag in ("html", "body", "main"):
+        return "role" if tag not in ("html", "body", "main") and (attrs.get("role") or "") in ROLES else ""
+
+    def _word(self, tag: str, attrs: dict) -> str:
+        """By which word class or id call the element something else than content, or ''."""
+        if tag in ARTICLES:
             return ""
-        if (attrs.get("role") or "") in ROLES:
-            return "role"
-        names = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
-        if "header" in names and not self.node.article:
-            return "header"
-        return next(iter(names & NAMES), "")
+        for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
+            for word in re.split(r"[^a-z0-9]+", name):
+                if word in ABOUT:
+                    break
+                if word in NAMES or word == "header" and not self.node.article:
+                    return word
+        return ""
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.starts += 1
         inline = tag in INLINE
         if tag == "br":
             self.pieces.append(" ")
@@ -128,15 +156,24 @@ class LineParser(HTMLParser):
             self._to(p.parent)
         while tag in CLOSES and (old := self._open(CLOSES[tag], SCOPES[tag])):
             self._to(old.parent)
-        if tag in ARTICLES and self.node.skip in ("head", "nav", "header", "footer", "menu", "form"):
+        if tag in ARTICLES and not self.node.closed and self.node.skip in ("head", "nav", "header", "footer", "menu", "form"):
             outer = self.node  # an unclosed menu or header does not swallow the article
-            while outer.skip:
+            while outer.skip and not outer.closed:
                 outer = outer.parent
             self._to(outer)
-        skip = self.node.skip or self._kind(tag, {k: v or "" for k, v in attrs})
+        skip, closed = self.node.skip, self.node.closed
+        if not skip or closed:
+            attrs = {k: v or "" for k, v in attrs}
+            if kind := self._kind(tag, attrs):
+                skip, closed = kind, None
+            elif self.starts not in self.opened and (word := self._word(tag, attrs)):
+                skip, closed = word, _Closed(word, closed)
+                self.closed[self.starts] = closed
+            if closed and tag in ARTICLES:
+                closed.article = True
         self.links += tag == "a"
         self.anchors += tag == "a" and not skip
-        self.node = _Node(tag, self.node, skip, self.node.article or tag in ARTICLES)
+        self.node = _Node(tag, self.node, skip, self.node.article or tag in ARTICLES, closed)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "/>" closes void elements only
@@ -155,6 +192,8 @@ class LineParser(HTMLParser):
         if not self.node.skip:
             self.pieces.append(data)
             self.link_chars += len(data) if self.links else 0
+        elif self.node.closed:
+            self.node.closed.chars += len(" ".join(data.split()))
 
     def end(self) -> list[_Line]:
         self.close()
@@ -162,6 +201,22 @@ class LineParser(HTMLParser):
         return self.lines
 
 
+def to_open(closed: dict[int, _Closed], lines: list[_Line]) -> set[int]:
+    """The elements closed by class or id that hold most of the page's text, or its article."""
+    for c in reversed(closed.values()):
+        if c.outer:
+            c.outer.chars += c.chars
+            c.outer.article |= c.article
+    total = sum(len(x.text) for x in lines) + sum(c.chars for c in closed.values() if not c.outer)
+    if not total:
+        return set()
+    has_article = any(x.node.article for x in lines) or any(c.article and c.word not in OTHERS for c in closed.values())
+    out = {i for i, c in closed.items()
+           if c.chars > 0.5 * total and not (has_article and c.word in COMMENTS)
+           or c.article and not (has_article and c.word in OTHERS)}
+    return out or (set() if lines else set(closed))
+
+
 def smooth(values: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing; near the ends the kernel is renormalised."""
     kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
@@ -189,6 +244,10 @@ def main_text(html: str | None) -> str:
     parser = LineParser()
     parser.feed(html or "")
     lines = parser.end()
+    if parser.closed and (opened := to_open(parser.closed, lines)):
+        parser = LineParser(opened)
+        parser.feed(html or "")
+        lines = parser.end()
     named = [x for x in lines if x.node.article]
     lines = named or lines
     if not lines:

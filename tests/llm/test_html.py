@@ -49,6 +49,28 @@ def test_nothing_beside_the_long_text_is_lost(inner, times):
     assert main_text(f"<html><body>{body}</body></html>") == flat(re.sub("<[^>]*>", " ", body))
 
 
+@pytest.mark.parametrize("inner", [
+    "<div class='content no-sidebar'><h1>Head</h1><p>{L}</p></div>",
+    "<div class='layout has-banner'><main><h1>Head</h1><p>{L}</p></main></div>",
+    "<div id='share-wrapper'><article><h1>Head</h1><p>{L}</p></article></div>",
+    "<article class='post category-social'><p>{L}</p></article><article class='post tag-comments'><p>{L}</p></article>",
+    "<article><h1>Head</h1><div class='entry social-post'><p>{L}</p><p>{L}</p></div></article>",
+    "<article><p>{L}</p></article><div id='share-wrapper'><div class='layout-banner'><article><p>{L}</p></article></div></div>",
+    "<div class='widget'><div class='banner-page'><h1>Head</h1><p>{L}</p><p>{L}</p></div></div>",
+    "<div class='ads-free'><p>{L}</p></div>",
+])
+def test_class_words_do_not_empty_the_page(inner):
+    body, ad = inner.replace("{L}", LONG), "<div class='ad'>Buy</div>"
+    want = flat(re.sub("<[^>]*>", " ", body))
+    assert main_text(f"<html><body>{body}</body></html>") == want
+    assert main_text(f"<html><body>{body.replace('</p>', '</p>' + ad, 1)}<nav>Menu {LONG * 9}</nav>{ad}</body></html>") == want
+
+
+def test_comments_stay_out_of_the_article():
+    talk = f"<div id='comments'><article class='comment'><p>{LONG * 9}</p></article></div>"
+    assert main_text(f"<article><h1>Head</h1><p>{LONG}</p>{talk}</article>") == flat(f"Head {LONG}")
+
+
 def test_lists_of_links_beside_the_text_go():
     links = "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(6))
     page = f"<body><ul>{links}</ul><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><ul>{links}</ul></div></body>"
