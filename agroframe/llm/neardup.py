@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from agroframe.llm.common import few_or_shuffled, mix64, shingle_set, small_batches, worker_cache
 from agroframe.llm.graph import connected_components
+from agroframe.operators.ranking import rank_within
 from agroframe.session import materialize
 
 REGISTERS = 192
@@ -307,12 +308,19 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, m: int = REGISTERS) -
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """*docs* with one document of every near-duplicate group, all columns as they are.
 
-    Rows that repeat an id and a text count as one document.
+    Rows that repeat an id and a text count as one document; rows of one id with
+    different texts are documents of their own.  Rows with a null id all stay.
     """
-    found = materialize(groups(docs, k, percent), "groups")
-    dropped = materialize(found.where("not kept").select("doc_id").distinct(), "dropped")
-    kept = docs.join(few_or_shuffled(dropped), "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
+    number = F.col("doc_id").cast("long")
+    if docs.where(number.isNotNull()).groupBy(number.alias("id")).count().where("count > 1").isEmpty():
+        found = materialize(groups(docs, k, percent), "groups")
+        dropped = materialize(found.where("not kept").select("doc_id").distinct(), "dropped")
+        return docs.join(few_or_shuffled(dropped), "doc_id", "left_anti").select(*docs.columns)
+    own = ["_id", "_text"]
+    rows = docs.withColumns({"_id": number, "_text": F.coalesce(F.unhex(F.sha2(F.col("text").cast("string"), 256)), F.lit(b""))})
+    texts = materialize(rows.where("_id is not null").select(*own, "text").dropDuplicates(own), "documents")
+    numbers = materialize(rank_within(texts.select(*own), [], own, out="doc_id"), "numbers")  # smaller ids first
+    found = groups(texts.join(numbers, own).select("doc_id", "text"), k, percent)
+    dropped = materialize(found.where("not kept").select("doc_id").join(numbers, "doc_id").select(*own), "dropped")
+    kept = rows.join(few_or_shuffled(dropped), own, "left_anti")
+    return kept.where("_id is not null").dropDuplicates(own).unionByName(kept.where("_id is null")).select(*docs.columns)

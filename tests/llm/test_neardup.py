@@ -96,6 +96,15 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3]
 
 
+def test_keep_one_of_rows_with_one_id(spark):
+    copy, other, null = "q w e r t y u", "some quite different words of this text", "the text of rows without any id"
+    rows = [(1, copy), (5, copy), (5, other), (5, other), (7, other + " again"), (None, null), (None, null), (None, copy),
+            (8, "Q w e r t  y u"), (9, None), (9, ""), (9, None)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_chars int")
+    left = sorted(((r.doc_id, r.text) for r in N.keep_one(df, 3, 80).collect()), key=repr)
+    assert left == sorted([(1, copy), (5, other), (9, None), (9, ""), (None, null), (None, null), (None, copy)], key=repr)
+
+
 def test_registers_and_estimate():
     rng = np.random.default_rng(1)
     for n in (3, 40, 600, 20000):
