@@ -79,13 +79,18 @@ def encode(x: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def estimate(codes, length, f, centre, queries, bound: float = BOUND) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of queries (rows) and candidates (columns), and their error bounds."""
+    """Estimated inner products of queries (rows) and candidates (columns), and their error bounds.
+
+    Only the product of unit queries and signs is in single precision; the bound holds its rounding.
+    """
     dim = len(centre)
+    size = np.linalg.norm(queries, axis=1)[:, None]
+    unit = queries / np.where(size > 0, size, 1.0)
     signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
-    rotated = (queries @ rotation(dim) / np.sqrt(dim)).astype(np.float32)
-    est = (rotated @ signs.T) * (length / f).astype(np.float32) + (queries @ centre).astype(np.float32)[:, None]
+    rotated = (unit @ rotation(dim) / np.sqrt(dim)).astype(np.float32)
+    est = size * ((rotated @ signs.T) * (length / f) + (unit @ centre)[:, None])
     spread = length * np.sqrt(np.maximum(1 - f * f, 0)) / f * bound / np.sqrt(max(dim - 1, 1))
-    err = np.linalg.norm(queries, axis=1)[:, None].astype(np.float32) * spread.astype(np.float32) + 1e-5
+    err = size * (spread + 2.0 ** -23 * (dim + 4) * (length / f + np.linalg.norm(centre)))
     return est, err
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from conftest import SF_CHECK
 
 from agroframe.llm import ann
@@ -39,6 +40,18 @@ def test_error_bound():
     assert (np.abs(est - x[:50] @ x.T) > err).mean() < 0.003
 
 
+@pytest.mark.parametrize("dim,scale", [(1, 1e4), (1, 1.0), (64, 1e-20), (64, 1.0), (64, 3e18), (64, 1e37)])
+def test_any_length_of_vectors(spark, dim, scale):
+    x = (np.random.default_rng(4).standard_normal((300, dim)) * scale).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    codes, centres = ann.index(df)
+    got = {}
+    for r in ann.search(codes, centres, codes.where("id % 20 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = brute(list(range(300)), x.astype(np.float64), range(0, 300, 20))
+    assert got == {q: [i for i, _ in hits] for q, hits in want.items()}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, nan]), (5, [inf, 1.0]),
