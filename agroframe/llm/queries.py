@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroframe.llm import ann, chat, dac, html, mixing, neardup, packing, rollup, sketch, toxicity
+from agroframe.llm import ann, chat, dac, html, mixing, neardup, packing, postings, resample, rollup, runs, sketch, toxicity
 from agroframe.llm.common import table
 from agroframe.llm.tokens import byte_bpe, word_bpe
 from agroframe.session import ensure_checkpoint_dir, materialize
@@ -98,3 +98,24 @@ def op9_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op11_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_positional_index"] = postings.ORACLE
+
+
+@_query
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_target_resampling"] = resample.ORACLE
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.runs_of(table(spark, sf_dir, "documents"), runs.planted, texts=False)
