@@ -26,12 +26,22 @@ from pyspark.sql import functions as F
 from agroframe.session import materialize
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns *on*, where null equals null (a null key is a group like any other)."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & left[c].eqNullSafe(right[f"_r_{c}"])
+    return left.join(right, same, how).drop(*[f"_r_{c}" for c in on])
+
+
 def rank_within(df: DataFrame, keys, order, out: str = "rank", size: str | None = None) -> DataFrame:
     """Add the 1-based rank of each row inside its *keys* group by *order*.
 
     *order* (columns or Column expressions, ascending unless given as
     ``Column.desc()``) must be a total order inside a key for the ranks to
     be deterministic.  ``size`` names an optional column with the group size.
+    Rows with a null key are a group of their own.
     """
     keys = list(keys)
     order = list(order)
@@ -46,7 +56,7 @@ def rank_within(df: DataFrame, keys, order, out: str = "rank", size: str | None
     if size:
         per_part = per_part.withColumn(size, F.sum("_rk_cnt").over(w))
     keep = [*keys, "_rk_pid", "_rk_first", "_rk_off"] + ([size] if size else [])
-    ranked = tagged.join(per_part.select(*keep), on=[*keys, "_rk_pid"], how="inner")
+    ranked = join_null_safe(tagged, per_part.select(*keep), [*keys, "_rk_pid"])
     ranked = ranked.withColumn(out, (F.col("_rk_off") + F.col("_rk_mid") - F.col("_rk_first") + 1)
                                .cast("long"))
     return ranked.drop("_rk_pid", "_rk_mid", "_rk_first", "_rk_off")
@@ -55,7 +65,7 @@ def rank_within(df: DataFrame, keys, order, out: str = "rank", size: str | None
 def exact_quantiles(df: DataFrame, value: str, probs, keys=(), names=None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas / ``percentile`` semantics).
 
-    Rows with NULL *value* are ignored.  One output row per key with one
+    Rows with NULL *value* are ignored; a null key is a group.  One output row per key with one
     column per probability (``names`` or ``q<i>``) plus ``n``.
     """
     keys = list(keys)
@@ -72,7 +82,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), names=None) -> Da
                .withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0)))
                .withColumn("_n", F.sum("_s").over(w)).drop("_s"))
     run = Window.partitionBy(*keys, "_rk_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (tagged.join(offsets, [*keys, "_rk_pid"])
+    ranked = (join_null_safe(tagged, offsets, [*keys, "_rk_pid"])
               .withColumn("_r", F.col("_off") + F.sum("_c").over(run)))  # rows up to and with this value
     pos = {}
     for nm, p in zip(names, probs):
