@@ -96,3 +96,23 @@ def accuracy(df: DataFrame, y: str, p: str, keys=()) -> DataFrame:
     acc = F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy")
     n = F.count("*").alias("n")
     return df.groupBy(*keys).agg(acc, n) if keys else df.agg(acc, n)
+
+
+def series_report(df: DataFrame, keys, y: str, preds) -> DataFrame:
+    """A28-A30 per series: n, MAE and R^2, median absolute error in counts, and band accuracy of every model.
+
+    Bands are in columns ``band_<y>`` and ``band_<model>``.  A series is bounded by the calendar, so its exact
+    median is an aggregate.
+    """
+    keys, preds = list(keys), list(preds)
+    rows = df.select(*keys, F.col(y).alias("_y"), F.col(f"band_{y}").alias("_band"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(m).alias("_p"), F.col(f"band_{m}").alias("_b")) for m in preds])).alias("_m"))
+    rows = rows.select(*keys, "_y", "_band", "_m.*")
+    g = rows.groupBy(*keys, "model").agg(
+        F.count("*").alias("n"), F.avg(F.abs(F.col("_y") - F.col("_p"))).alias("mae"),
+        F.sum((F.col("_y") - F.col("_p")) ** 2).alias("_sse"), F.var_pop("_y").alias("_v"),
+        F.percentile(F.abs(F.expm1("_p") - F.expm1("_y")), 0.5).alias("median_abs_err"),
+        F.avg((F.col("_band") == F.col("_b")).cast("double")).alias("band_accuracy"))
+    r2 = (F.when(F.col("_v") > 1e-12, 1 - F.col("_sse") / (F.col("_v") * F.col("n")))
+          .when(F.col("_sse") <= 1e-12, 1.0).otherwise(0.0))
+    return g.select(*keys, "model", "n", "mae", r2.alias("r2"), "median_abs_err", "band_accuracy")

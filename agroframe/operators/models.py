@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 
 from agroframe.operators.panel import BASE_FEATS
 from agroframe.operators.sensor import GROWTH_STAGES
+from agroframe.session import materialize
 
 # Reference model settings.
 HEALTH_GBT = dict(max_iter=200, depth=4, rate=0.1)
 FLAGSHIP_GBT = dict(max_iter=400, depth=4, rate=0.04, subsample=0.9, colsample=0.9)
 POOLED_GBT = dict(max_iter=500, depth=5, rate=0.04, subsample=0.9, colsample=0.8)
 
+PARTITION_BYTES = 32 << 20  # of training vectors
+
 
 def _flags(cols) -> str:
     """Missing-indicator columns ``<c>_na`` (the trees' substitute for NaN branches)."""
@@ -67,8 +70,8 @@ def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label
     cat_vecs = []
     for c in cats:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_vec"], dropLast=False,
-                                    handleInvalid="keep"))
+        # the last slot is the indexer's one for unknown values, which no training row has
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_vec"], dropLast=True))
         cat_vecs.append(f"{c}_vec")
     stages.append(Imputer(inputCols=feats, outputCols=[f"{c}_imp" for c in feats]))
     inputs = [f"{c}_imp" for c in feats] + [f"{c}_na" for c in feats] + ["week_num"] + cat_vecs
@@ -80,8 +83,26 @@ def severity_pipeline(feats=BASE_FEATS, cats=("crop", "location", "pest"), label
     return Pipeline(stages=stages)
 
 
+def fit_compact(pipeline: Pipeline, train: DataFrame, label: str) -> PipelineModel:
+    """Fit the preparing stages, write their vectors once into few partitions, and fit the trees on that table.
+
+    A boosting round is several passes over its rows: they read compact cached vectors in
+    partitions sized by bytes, not the frame that made them.
+    """
+    *prepare, trees = pipeline.getStages()
+    prepared = Pipeline(stages=prepare).fit(train)
+    ready = materialize(prepared.transform(train).select("features", label), "vectors")
+    width = ready.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 100)
+    size = ready.count() * 8 * width
+    rows = ready.coalesce(max(2, -(-size // PARTITION_BYTES))).persist()
+    try:
+        return PipelineModel([*prepared.stages, trees.fit(rows)])
+    finally:
+        rows.unpersist()
+
+
 def fit_severity(train: DataFrame, **params) -> PipelineModel:
-    return severity_pipeline(feats=params.pop("feats", BASE_FEATS), **params).fit(train)
+    return fit_compact(severity_pipeline(feats=params.pop("feats", BASE_FEATS), **params), train, params.get("label", "y"))
 
 
 def predict_severity(model: PipelineModel, rows: DataFrame, out: str = "y_log") -> DataFrame:

@@ -104,11 +104,29 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def kept(spark: SparkSession, name: str, write) -> str:
+    """Path of the artefact *name* of this session in the shared folder; ``write(path)`` makes it if it is not there.
+
+    It is written beside its place and renamed, so a path that exists is whole.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{spark.sparkContext.applicationId}")
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    if not fs.exists(target):
+        fresh = f"{path}-{uuid.uuid4().hex}"
+        write(fresh)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(fresh), target) and not fs.exists(target):
+            raise OSError(f"cannot rename {fresh}")
+        _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 _WRITTEN: dict[str, list[str]] = {}
 
 
 def drop_materialized(spark) -> int:
-    """Delete the tables that ``materialize`` has written in this session; returns their number.
+    """Delete what ``materialize`` and ``kept`` have written in this session; returns the number of folders.
 
     For long sessions, between jobs: frames that still read them must not be used afterwards.
     """
