@@ -1,13 +1,13 @@
 """Embedding statistics and Mahalanobis out-of-distribution scoring.
 
-Sizes that reach the driver or a broadcast are bounded by the *model*, not
-the data: C class means of dimension d and one d x d matrix.  Everything
-proportional to the number of embeddings stays distributed:
+What reaches the driver is bounded by the dimension (one d x d matrix). Everything
+proportional to the number of embeddings or classes stays distributed:
 
 * class means: ``Summarizer.mean`` per label (a map-side-combined UDAF);
 * pooled covariance: each task folds its centred rows into one d x d
   partial sum (``mapInPandas``), sent as d vectors that are summed map-side;
-* scoring: a pandas function per Arrow batch with the broadcast factor.
+* scoring: rows against class means, a block at a time (``against_means``);
+* moments that merge and subtract are in ``operators.moments``.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ STRICTNESS = {"Lenient": 1.3, "Balanced": 1.1, "Strict": 0.9}
 RIDGE = 1e-3
 THRESHOLD_PCT = 97.5
 
+HELD_BYTES = 32 << 20      # class means that the tasks get whole
+TILE, BLOCK = 1024, 8192   # classes and rows that meet in one task beyond that
+
 
 def class_means(emb: DataFrame, label: str = "label", vec: str = "embedding") -> DataFrame:
     """Mean embedding per label as ``array<double>``."""
@@ -75,20 +78,24 @@ def pooled_cov(emb: DataFrame, means: DataFrame, label: str = "label", vec: str
 
 
 class OodModel:
-    """Fitted detector: class means, inverse Cholesky factor W (Sigma^-1 = W^T W), threshold."""
+    """Fitted detector: class means (a table), inverse Cholesky factor W (Sigma^-1 = W^T W, d x d), threshold."""
 
-    def __init__(self, labels, means: np.ndarray, w: np.ndarray, threshold: float | None = None,
-                 median: float | None = None):
-        self.labels = list(labels)
+    def __init__(self, means: DataFrame, w: np.ndarray, threshold: float | None = None, median: float | None = None,
+                 label: str = "label"):
         self.means = means
         self.w = w
         self.threshold = threshold
         self.median = median
+        self.label = label
+
+    @property
+    def labels(self) -> list:
+        """The class labels in order, for models whose classes fit on the driver; nothing here asks for them."""
+        return [r[0] for r in self.means.select(self.label).orderBy(self.label).collect()]
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Means, factor rows and threshold as Parquet tables."""
-        rows = [(int(lb), [float(v) for v in m]) for lb, m in zip(self.labels, self.means)]
-        spark.createDataFrame(rows, "label int, mean array<double>").write.mode("overwrite").parquet(f"{path}/means")
+        self.means.select(F.col(self.label).alias("label"), "mean").write.mode("overwrite").parquet(f"{path}/means")
         spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(self.w)],
                               "i int, row array<double>").write.mode("overwrite").parquet(f"{path}/factor")
         spark.createDataFrame([(self.threshold, self.median)], "threshold double, median double") \
@@ -96,62 +103,128 @@ class OodModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "OodModel":
-        m = spark.read.parquet(f"{path}/means").orderBy("label").collect()
-        f = spark.read.parquet(f"{path}/factor").orderBy("i").collect()
+        f = spark.read.parquet(f"{path}/factor").orderBy("i").collect()  # d rows
         t = spark.read.parquet(f"{path}/threshold").first()
-        return cls([r["label"] for r in m], np.array([r["mean"] for r in m]), np.array([r["row"] for r in f]),
-                   t["threshold"], t["median"])
+        return cls(spark.read.parquet(f"{path}/means"), np.array([r["row"] for r in f]), t["threshold"], t["median"])
+
+
+def factor_of(cov_rows: DataFrame) -> np.ndarray:
+    """W with Sigma^-1 = W^T W from the (i, row) covariance: d x d numbers, bounded by the dimension, on the driver."""
+    cov = np.array([r["row"] for r in cov_rows.orderBy("i").collect()])
+    return np.linalg.solve(np.linalg.cholesky(cov), np.eye(len(cov)))
 
 
 def fit_ood(train: DataFrame, label: str = "label", vec: str = "embedding", ridge: float = RIDGE) -> OodModel:
     """M6 (fit): means and pooled covariance on Spark; the d x d inverse on the driver.
 
-    The means are written once and read by the covariance pass and the model.
+    The means are written once, read by the covariance pass, and stay a table, however many classes there are.
     """
-    means_df = materialize(class_means(train, label, vec), "class-means")
-    means_rows = means_df.orderBy(label).collect()  # C rows: the model
-    labels = [r[label] for r in means_rows]
-    means = np.array([r["mean"] for r in means_rows], dtype=np.float64)
-    cov = np.array([r["row"] for r in pooled_cov_rows(train, means_df, label, vec, ridge).orderBy("i").collect()])
-    w = np.linalg.solve(np.linalg.cholesky(cov), np.eye(len(cov)))  # W = L^-1, so Sigma^-1 = W^T W
-    return OodModel(labels, means, w)
+    means = materialize(class_means(train, label, vec), "class-means")
+    return OodModel(means, factor_of(pooled_cov_rows(train, means, label, vec, ridge)), label=label)
 
 
-def score_ood(df: DataFrame, model: OodModel, vec: str = "embedding", out: str = "ood_score") -> DataFrame:
-    """M6 (score): min over classes of the squared Mahalanobis distance."""
-    sc = df.sparkSession.sparkContext
-    b_means, b_w = sc.broadcast(model.means), sc.broadcast(model.w)
+# ---------------------------------------------------------------- rows against class means
+def _array(col: pd.Series) -> np.ndarray:
+    return np.stack(col.to_numpy()).astype(np.float64)
 
-    @F.pandas_udf("double")
-    def maha(col: pd.Series) -> pd.Series:
-        x = np.stack(col.to_numpy()).astype(np.float64)
-        mu, w = b_means.value, b_w.value
-        best = np.full(len(x), np.inf)
-        for c in range(mu.shape[0]):
-            z = (x - mu[c]) @ w.T
-            best = np.minimum(best, np.einsum("ij,ij->i", z, z))
-        return pd.Series(best)
 
-    return df.withColumn(out, maha(F.col(vec)))
+def _squares(z: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances, rows x classes, by one matrix product."""
+    return np.maximum((z * z).sum(axis=1)[:, None] + (m * m).sum(axis=1) - 2 * (z @ m.T), 0.0)
 
 
-def class_distances(df: DataFrame, model: OodModel, key: str, vec: str = "embedding") -> DataFrame:
-    """Squared Mahalanobis distance of every row to every class mean.
+def _nearest(z: np.ndarray, m: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, class, distance) of at least every row's k nearest classes; their distances are taken from the differences,
+    so that equal means are equally far."""
+    far = _squares(z, m)
+    k = min(k, m.shape[0])
+    kth = np.partition(far, k - 1, axis=1)[:, k - 1]
+    slack = 1e-9 * (1 + (z * z).sum(axis=1) + kth)
+    row, cls = np.nonzero(far <= (kth + slack)[:, None])
+    diff = z[row] - m[cls]
+    return row, cls, (diff * diff).sum(axis=1)
 
-    A row's distances are computed as one array per Arrow batch and unfolded
-    in place: no join and no shuffle.
-    """
-    b_means, b_w = (df.sparkSession.sparkContext.broadcast(x) for x in (model.means, model.w))
 
+def against_means(rows: DataFrame, means: DataFrame, label: str, partial, schema: str) -> tuple[DataFrame, list[str]]:
+    """``partial(z, m, labels)``, a list of columns, for all *rows* (with an array column ``_z``) against all *means*.
+
+    Returns the partial results beside the rows' other columns, and the columns that tell a row apart if its result lies in several rows
+    (none: in one).  Means of at most ``HELD_BYTES`` go to the tasks as one block, and no row moves.  More are
+    dealt over tiles of about ``TILE`` classes and meet the rows in blocks of ``BLOCK``: a task holds one tile and one block, and the
+    means are neither collected nor broadcast.
+    """
+    kept = [f for f in rows.schema if f.name != "_z"]
+    names = [f.name for f in kept]
+    fields = [c.split()[0] for c in schema.split(", ")]
+    typed = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in kept)
+    means = means.where(F.col("mean").isNotNull()).select(F.col(label).alias("_label"), "mean")
+    size = means.agg(F.count("*").alias("n"), F.max(F.size("mean")).alias("d")).first()
+    if (size.n or 0) * (size.d or 0) * 8 <= HELD_BYTES:
+        held = means.orderBy("_label").collect()  # bounded by HELD_BYTES
+        m, labels = np.array([r["mean"] for r in held], dtype=np.float64), np.array([r["_label"] for r in held])
+
+        def run(batches):
+            for pdf in batches:
+                if len(pdf) and len(m):
+                    yield pdf[names].assign(**dict(zip(fields, partial(_array(pdf["_z"]), m, labels))))
+
+        return rows.mapInPandas(run, typed + schema), []
+    tiles = -(-size.n // TILE)
+    numbered = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    blocks = max(1, -(-numbered.count() // BLOCK))
+    left = numbered.withColumns({"_block": F.pmod(F.xxhash64("_row"), F.lit(blocks)), "_tile": F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))})
+    right = means.withColumns({"_tile": F.pmod(F.xxhash64("_label"), F.lit(tiles)).cast("int"),
+                               "_block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))})
+
+    def meet(block: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
+        if not len(block) or not len(tile):
+            return block.iloc[:0][[*names, "_row"]].assign(**{f: [] for f in fields})
+        tile = tile.sort_values("_label")
+        return block[[*names, "_row"]].assign(**dict(zip(fields, partial(_array(block["_z"]), _array(tile["mean"]), tile["_label"].to_numpy()))))
+
+    out = left.groupBy("_block", "_tile").cogroup(right.groupBy("_block", "_tile")).applyInPandas(meet, f"{typed}_row bigint, {schema}")
+    return out, [*names, "_row"]
+
+
+def whitened(w: np.ndarray):
+    """Column function: W x of an embedding column."""
     @F.pandas_udf("array<double>")
-    def all_distances(col: pd.Series) -> pd.Series:
-        z = np.stack(col.to_numpy()).astype(np.float64) @ b_w.value.T
-        c = b_means.value @ b_w.value.T
-        return pd.Series([(np.square(c - row)).sum(axis=1).tolist() for row in z])
+    def turn(col: pd.Series) -> pd.Series:
+        return pd.Series(list(_array(col) @ w.T))
+
+    return turn
+
+
+def _white(df: DataFrame, model: OodModel, vec: str) -> tuple[DataFrame, DataFrame]:
+    turn = whitened(model.w)
+    return df.withColumn("_z", turn(F.col(vec))), model.means.select(model.label, turn(F.col("mean")).alias("mean"))
+
+
+def score_ood(df: DataFrame, model: OodModel, vec: str = "embedding", out: str = "ood_score") -> DataFrame:
+    """M6 (score): min over classes of the squared Mahalanobis distance."""
+    def least(z, m, labels):
+        row, _, far = _nearest(z, m, 1)
+        best = np.full(len(z), np.inf)
+        np.minimum.at(best, row, far)
+        return [best]
+
+    rows, means = _white(df, model, vec)
+    scored, key = against_means(rows, means, model.label, least, f"{out} double")
+    return scored if not key else scored.groupBy(*key).agg(F.min(out).alias(out)).drop("_row")
+
+
+def class_distances(df: DataFrame, model: OodModel, key: str, vec: str = "embedding") -> DataFrame:
+    """Squared Mahalanobis distance of every row to every class mean (rows x classes, as asked for)."""
+    kind = dict(model.means.dtypes)[model.label]
+
+    def every(z, m, labels):
+        far = _squares(z, m)
+        return [[labels.tolist()] * len(z), list(far)]
 
-    classes = F.array(*[F.lit(int(lb)) for lb in model.labels])
-    return (df.select(key, F.posexplode(all_distances(F.col(vec))).alias("_c", "distance"))
-            .select(key, F.get(classes, F.col("_c")).alias("class"), "distance"))
+    rows, means = _white(df.select(key, vec), model, vec)
+    far, _ = against_means(rows.select(key, "_z"), means, model.label, every, f"_class array<{kind}>, _far array<double>")
+    return far.select(key, F.explode(F.arrays_zip("_class", "_far")).alias("_c")) \
+        .select(key, F.col("_c._class").alias("class"), F.col("_c._far").alias("distance"))
 
 
 def ood_threshold(valid_scores: DataFrame, score: str = "ood_score", pct: float = THRESHOLD_PCT) -> DataFrame:
@@ -183,20 +256,33 @@ def topk_classes(emb: DataFrame, means: DataFrame, key: str, k: int = 3, vec: st
                  label: str = "label", low_confidence: float = 0.5) -> DataFrame:
     """Softmax over classes of -squared Euclidean distance, then the top k per row.
 
-    The class means are gathered into one row (the model), which every row
-    meets once; scores, softmax and ranking are array functions inside the
-    row, so no row is shuffled.  ``low_confidence`` tells that the best
-    probability is below *low_confidence*.
+    A tile of classes gives a row its largest score, its sum of exponentials relative to that, and its k best classes; such parts merge, so
+    the classes may be dealt over any number of tiles.  ``low_confidence`` tells that the best
+    probability is below *low_confidence*.  Of equal scores the smaller class comes first.
     """
-    model = means.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("class"), "mean"))).alias("_m"))
-    rows = emb.select(key, F.col(vec).cast("array<double>").alias("_x")).crossJoin(F.broadcast(model))
-    score = F.transform("_m", lambda m: -F.aggregate(F.zip_with("_x", m["mean"], lambda a, b: (a - b) * (a - b)),
-                                                     F.lit(0.0), lambda acc, v: acc + v))
-    rows = rows.select(key, F.col("_m.class").alias("_class"), score.alias("_s"))
-    rows = rows.withColumn("_e", F.transform("_s", lambda s: F.exp(s - F.array_max("_s"))))
-    rows = rows.withColumn("_total", F.aggregate("_e", F.lit(0.0), lambda acc, v: acc + v))
-    ranked = F.slice(F.sort_array(F.zip_with("_e", "_class", lambda e, c: F.struct((-e / F.col("_total")).alias("p"),
-                                                                                  c.alias("class")))), 1, k)
-    return (rows.select(key, F.posexplode(ranked).alias("_i", "_top"), (F.array_max("_e") / F.col("_total")).alias("_best"))
-            .select(key, (F.col("_i") + 1).alias("rank"), F.col("_top.class").alias("class"), (-F.col("_top.p")).alias("prob"),
-                    (F.col("_best") < low_confidence).alias("low_confidence")))
+    kind = dict(means.dtypes)[label]
+
+    def part(z, m, labels):
+        row, cls, far = _nearest(z, m, k)
+        order = np.lexsort((labels[cls], far, row))
+        row, cls, far = row[order], cls[order], far[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        row, cls, far = (x[nth < k] for x in (row, cls, far))
+        cut = np.searchsorted(row, np.arange(len(z) + 1))
+        least = far[cut[:-1]]
+        total = np.exp(least[:, None] - _squares(z, m)).sum(axis=1)
+        names = labels[cls]
+        return [least, total, [far[a:b] for a, b in zip(cut, cut[1:])], [names[a:b] for a, b in zip(cut, cut[1:])]]
+
+    rows = emb.select(key, F.col(vec).cast("array<double>").alias("_z"))
+    out, own = against_means(rows, means, label, part, f"_least double, _sum double, _far array<double>, _class array<{kind}>")
+    cells = F.struct("_least", "_sum", "_far", "_class")
+    out = out.select(key, F.array(cells).alias("_p")) if not own else out.groupBy(*own).agg(F.collect_list(cells).alias("_p"))
+    least = F.array_min("_p._least")
+    total = F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p["_sum"] * F.exp(F.col("_m") - p["_least"]))
+    best = F.slice(F.array_sort(F.arrays_zip(F.flatten("_p._far").alias("far"), F.flatten("_p._class").alias("class"))), 1, k)
+    out = out.withColumn("_m", least).withColumn("_total", total)
+    prob = F.exp(F.col("_m") - F.col("_top.far")) / F.col("_total")
+    return (out.select(key, "_m", "_total", F.posexplode(best).alias("_i", "_top"))
+            .select(key, (F.col("_i") + 1).alias("rank"), F.col("_top.class").alias("class"), prob.alias("prob"),
+                    (1 / F.col("_total") < low_confidence).alias("low_confidence")))

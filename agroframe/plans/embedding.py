@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroframe.operators import moments as MO
 from agroframe.operators import ood as O
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
@@ -71,15 +72,35 @@ def centered_embeddings(spark, sf):
                            .alias("sq_norm")))
 
 
-@query("pooled_cov", "SELECT a.dim AS i, b.dim AS j, round(round(sum(a.c * b.c) / "
-       "(SELECT count(*) FROM fx_emb WHERE split = 'train') + CASE WHEN a.dim = b.dim THEN 0.001 ELSE 0 END, 9), 6) "
-       "AS cov FROM cl a JOIN cl b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim", FX, LONG_CTES)
+COV_SQL = ("SELECT a.dim AS i, b.dim AS j, round(round(sum(a.c * b.c) / "
+           "(SELECT count(*) FROM fx_emb WHERE split = 'train') + CASE WHEN a.dim = b.dim THEN 0.001 ELSE 0 END, 9), 6) "
+           "AS cov FROM cl a JOIN cl b ON a.vec_id = b.vec_id GROUP BY a.dim, b.dim")
+
+
+@query("pooled_cov", COV_SQL, FX, LONG_CTES)
 def pooled_cov(spark, sf):
     t = train(spark, sf)
     return finish(O.pooled_cov(t, O.class_means(t)).select(F.col("i").cast("bigint"), F.col("j").cast("bigint"),
                                                            "cov"))
 
 
+def merged_moments(spark, sf):
+    """The training rows' moments as a stream of changes leaves them: the validation rows came in first, then the
+    training rows in three parts, then the validation rows were withdrawn."""
+    t, v = train(spark, sf), MO.moments(valid(spark, sf))
+    state = v
+    for part in range(3):
+        state = state.plus(MO.moments(t.filter(F.col("vec_id") % 3 == part)))
+    return state.minus(v)
+
+
+@query("pooled_cov_merged", COV_SQL, FX, LONG_CTES)
+def pooled_cov_merged(spark, sf):
+    """A31 + A32 + S12: the pooled covariance from merged and subtracted moments."""
+    rows = merged_moments(spark, sf).pooled_cov_rows().select("i", F.posexplode("row").alias("j", "cov"))
+    return finish(rows.select(F.col("i").cast("bigint"), F.col("j").cast("bigint"), "cov"))
+
+
 @query("topk_classes",
        "SELECT vec_id, rank, class, round(round(prob, 9), 6) AS prob, best < 0.5 AS low_confidence FROM ("
        "SELECT vec_id, class, prob, max(prob) OVER (PARTITION BY vec_id) AS best, "
