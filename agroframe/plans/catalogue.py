@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
 from agroframe.sources import files as FS
+from agroframe.sources.ranges import write_file
 from agroframe.streaming.live import scratch_path
 
 FILES = ("fx_files",)
@@ -173,6 +178,52 @@ def image_manifest(spark, sf):
     return manifest(spark, sf)
 
 
+def written_archives(spark, sf, parts: int = 16) -> str:
+    """The images and label files of the fixtures as zip archives in the shared folder; returns their glob."""
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    images = fx(spark, sf, "fx_images")
+    text = (fx(spark, sf, "fx_box_lines").groupBy("image_id")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda r: r["line"]), "\n").alias("text")))
+    labels = images.join(text, "image_id").select("image_id", F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt"))).alias("name"),
+                                                  F.encode(F.concat("text", F.lit("\n")), "UTF-8").alias("content"))
+    pictures = images.select("image_id", F.concat_ws("/", "split", F.lit("images"), "file_name").alias("name"), F.lit(b"").alias("content"))
+    root = scratch_path(spark, "archives")
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                z.writestr(name, bytes(content))
+        write_file(f"{root}/set{key[0]}.zip", data.getvalue())
+        return pd.DataFrame({"entries": [len(pdf)]})
+
+    rows = pictures.unionByName(labels).withColumn("archive", F.pmod(F.xxhash64("image_id"), F.lit(parts)).cast("int"))
+    rows.groupBy("archive").applyInPandas(pack, "entries long").agg(F.sum("entries")).collect()
+    return f"{root}/*.zip"
+
+
+@query("archive_manifest", r"SELECT split, concat_ws('/', split, regexp_replace(split_part(path, '/', 3), '\.[^.]*$', '')) AS image_id, "
+       "path, class_id, class_name, crop, source, mixed FROM man", IMGS, MANIFEST_CTES)
+def archive_manifest(spark, sf):
+    """S5 + S6 + J7: the manifest from zip archives, read by byte ranges."""
+    return FS.manifest_from_archives(spark, written_archives(spark, sf), fx(spark, sf, "fx_classes"))
+
+
+@query("label_file_lines", "SELECT split, source, row_number() OVER (PARTITION BY split, source ORDER BY image_id, line_no)::INT AS line_no, line "
+       "FROM (SELECT i.split, split_part(i.file_name, '.rf.', 1) AS source, l.* FROM fx_images i JOIN fx_box_lines l USING (image_id)) x",
+       IMGS)
+def label_file_lines(spark, sf):
+    """Label lines written as one text file per split and source photo, read back with their line numbers."""
+    rows = fx(spark, sf, "fx_images").select("image_id", "split", source_key("file_name").alias("source")) \
+        .join(fx(spark, sf, "fx_box_lines"), "image_id")
+    root = scratch_path(spark, "label-files")
+    (rows.repartition("split", "source").sortWithinPartitions("split", "source", "image_id", "line_no")
+     .select("split", "source", "line").write.partitionBy("split", "source").text(root))
+    lines = FS.label_lines(spark, f"{root}/*/*/*.txt")
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+    return lines.select(part("split").alias("split"), part("source").alias("source"), "line_no", "line")
+
+
 @query("split_sizes", "SELECT split, count(*) AS n_images FROM man GROUP BY split", IMGS, MANIFEST_CTES)
 def split_sizes(spark, sf):
     return manifest(spark, sf).groupBy("split").agg(F.count("*").alias("n_images"))
@@ -239,6 +290,20 @@ def label_sample(spark, sf):
     return SP.sample_n(ids, "image_id", 6000, seed=42)
 
 
+@query("label_sample_classes",
+       "SELECT class_id, coalesce(class_name, '??') AS class_name, count(DISTINCT image_id) AS n_images FROM ("
+       "SELECT image_id, cast(t AS int) AS class_id FROM tok WHERE image_id IN (SELECT image_id FROM ("
+       "SELECT DISTINCT image_id FROM fx_box_lines) s ORDER BY md5(concat_ws('|', '42', cast(image_id AS varchar))), image_id LIMIT 6000) "
+       f"AND image_id NOT IN (SELECT image_id FROM tok WHERE NOT regexp_full_match(t, '{INT_RE}'))) x "
+       "LEFT JOIN fx_classes USING (class_id) GROUP BY ALL", IMGS, [TOK_CTE])
+def label_sample_classes(spark, sf):
+    """X4 + A22: images per named class in the sampled label files (the sampling operator); a file with a bad line counts nowhere."""
+    lines = fx(spark, sf, "fx_box_lines")
+    counts = C.class_balance(lines.join(label_sample(spark, sf), "image_id", "left_semi"))
+    names = counts.join(fx(spark, sf, "fx_classes"), "class_id", "left")
+    return names.select("class_id", F.coalesce("class_name", F.lit("??")).alias("class_name"), "n_images")
+
+
 @query("leak_samples",
        "SELECT * FROM (SELECT 'source' AS key_kind, NULL AS class_name, source, splits FROM ("
        + _leak_sql("source") + ") a ORDER BY source LIMIT 10) x UNION ALL "

@@ -7,9 +7,7 @@ the ``content`` column is used downstream.
 
 from __future__ import annotations
 
-import io
-import re
-import zipfile
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -21,6 +19,8 @@ from agroframe.functions.columns import clean_number
 from agroframe.operators.panel import WEATHER
 from agroframe.operators.ranking import rank_within
 from agroframe.operators.sensor import RENAME, drop_present, rename_sensor, trim_headers
+from agroframe.session import materialize
+from agroframe.sources.ranges import image_header, open_file, text_lines, zip_directory, zip_entry
 
 PANEL_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("crop", "location", "pest")]
@@ -102,51 +102,93 @@ def load_class_list(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
 
 
 # ---------------------------------------------------------------- archives & label files
-ENTRY_SCHEMA = "archive string, name string, size long, compressed long"
+ENTRY_SCHEMA = "archive string, name string, size long, compressed long, offset long, method int, flags int, crc long"
+PACK_BYTES = 64 << 20  # of compressed entries that one task unpacks
 
 
 def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
-    """One row per file inside each zip archive (directories skipped).
+    """One row per file inside each zip archive (directories skipped), with its place there.
 
-    Each archive is one ``binaryFile`` row, so archives are listed in
-    parallel, one task per archive (a zip's central directory is read
-    sequentially by nature).  Entry bytes are not materialised.
+    Only an archive's directory is read, by byte ranges and piece by piece, so archives and
+    their directories may be of any size; archives are dealt over tasks one by one.
     """
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    files = spark.read.format("binaryFile").load(glob).select("path", "length")  # the content is not read
 
     def entries(batches):
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for info in zf.infolist():
-                        if not info.filename.endswith("/"):
-                            rows.append((path, info.filename, info.file_size, info.compress_size))
-            yield pd.DataFrame(rows, columns=["archive", "name", "size", "compressed"])
+            for path, length in zip(pdf["path"], pdf["length"]):
+                with open_file(path) as f:
+                    found = ((path, n, size, packed, at, method, flags, crc)
+                             for n, at, packed, size, method, flags, crc in zip_directory(f, int(length)) if not n.endswith("/"))
+                    while rows := list(itertools.islice(found, 10_000)):
+                        yield pd.DataFrame(rows, columns=names)
+
+    names = [c.split()[0] for c in ENTRY_SCHEMA.split(", ")]
+    return files.repartition(_tasks(spark), "path").mapInPandas(entries, ENTRY_SCHEMA)
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _packed(entries: DataFrame) -> DataFrame:
+    """*entries* dealt over tasks by the bytes to unpack: those of one stretch of an archive lie together, in order.
+
+    The rows are written first, as their bytes are counted before they are dealt.
+    """
+    entries = materialize(entries, "entries")
+    total = entries.agg(F.sum("compressed").alias("b"), F.count("*").alias("n")).first()
+    tasks = max(1, -(-(total.b or 0) // PACK_BYTES), min(_tasks(entries.sparkSession), total.n))
+    stretch = F.floor(F.col("offset") / min(PACK_BYTES, max(1, (total.b or 0) // tasks)))
+    return entries.repartition(int(tasks), "archive", stretch).sortWithinPartitions("archive", "offset")
+
 
-    return files.mapInPandas(entries, ENTRY_SCHEMA)
+def _opened(batches):
+    """(row, open file) of every entry row; an archive stays open while its rows follow each other."""
+    path, f = None, None
+    try:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                if row.archive != path:
+                    if f is not None:
+                        f.close()
+                    path, f = row.archive, open_file(row.archive)
+                yield row, f
+    finally:
+        if f is not None:
+            f.close()
 
 
 def archive_contents(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
     """(archive, name, content) of every entry whose name matches the regular expression *pattern*.
 
-    Other entries are skipped by the archive's directory and never unpacked.  One
-    row per entry, sent on entry by entry; an archive is one ``binaryFile``
-    value, so Spark's limit of 2 GB per value holds for archives (larger ones must be split).
+    Tasks get entries by compressed size and read just their byte ranges, so an archive of any
+    size is unpacked by many tasks.  An entry is one value (Spark's limit of 2 GB per value); ``archive_lines`` has no such limit.
     """
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    wanted = re.compile(pattern)
-
     def contents(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for info in zf.infolist():
-                        if not info.is_dir() and wanted.search(info.filename):
-                            yield pd.DataFrame({"archive": [path], "name": [info.filename], "content": [zf.read(info)]})
+        for r, f in _opened(batches):
+            data = b"".join(zip_entry(f, r.offset, r.compressed, r.method, r.flags, r.crc))
+            yield pd.DataFrame({"archive": [r.archive], "name": [r.name], "content": [data]})
+
+    wanted = archive_entries(spark, glob).where(F.col("name").rlike(pattern))
+    return _packed(wanted).mapInPandas(contents, "archive string, name string, content binary")
+
 
-    # one archive per task and batch, however small the files are
-    return files.repartition(F.col("path")).mapInPandas(contents, "archive string, name string, content binary")
+def archive_lines(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
+    """(archive, path, line_no, line) of every text entry that matches *pattern*, streamed: no entry is held whole."""
+    def lines(batches):
+        held = []
+        for r, f in _opened(batches):
+            for i, line in enumerate(text_lines(zip_entry(f, r.offset, r.compressed, r.method, r.flags, r.crc))):
+                held.append((r.archive, r.name, i + 1, line))
+                if len(held) >= 10_000:
+                    yield pd.DataFrame(held, columns=names)
+                    held = []
+        yield pd.DataFrame(held, columns=names)
+
+    names = ["archive", "path", "line_no", "line"]
+    wanted = archive_entries(spark, glob).where(F.col("name").rlike(pattern))
+    return _packed(wanted).mapInPandas(lines, "archive string, path string, line_no int, line string")
 
 
 def split_lines(texts: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -163,11 +205,12 @@ def _labelled(lines: DataFrame) -> DataFrame:
                     F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("stem"), "line_no", "line"))
 
 
+LABEL_ENTRY = r"(^|/)labels/[^/]*\.txt$"
+
+
 def archive_label_lines(spark: SparkSession, glob: str) -> DataFrame:
     """S6 on archives: the lines of every ``labels/*.txt`` entry, as ``label_lines`` gives them."""
-    texts = archive_contents(spark, glob, r"(^|/)labels/[^/]*\.txt$").select(
-        F.col("name").alias("path"), F.decode("content", "UTF-8").alias("text"))
-    return _labelled(split_lines(texts))
+    return _labelled(archive_lines(spark, glob, LABEL_ENTRY))
 
 
 def label_lines(spark: SparkSession, glob: str) -> DataFrame:
@@ -198,6 +241,17 @@ def manifest_from_files(spark: SparkSession, root: str, yaml_path: str) -> DataF
     return build_manifest(images, majority_class(lines), parse_class_list(read_yaml_text(spark, yaml_path)))
 
 
+def manifest_from_archives(spark: SparkSession, glob: str, classes: DataFrame) -> DataFrame:
+    """J7 from archives: image and label entries joined on (split, stem); nothing is extracted."""
+    from agroframe.operators.catalogue import build_manifest, majority_class
+
+    key = F.concat_ws("/", "split", "stem")
+    images = archive_entries(spark, glob).select(F.col("name").alias("path"))
+    images = _image_paths(images).select(key.alias("image_id"), "split", "file_name")
+    lines = archive_label_lines(spark, glob).select(key.alias("image_id"), "line_no", "line")
+    return build_manifest(images, majority_class(lines), classes)
+
+
 def read_yaml_text(spark: SparkSession, path: str) -> DataFrame:
     """The text of one small YAML file (e.g. a class list) as a one-row table."""
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
@@ -212,6 +266,11 @@ def image_files(spark: SparkSession, root: str, exts=IMAGE_EXTS, with_content: b
     """
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
           .select("path", "length", "modificationTime", *(["content"] if with_content else [])))
+    return _image_paths(df, exts)
+
+
+def _image_paths(df: DataFrame, exts=IMAGE_EXTS) -> DataFrame:
+    """Rows whose path is an image's, with ``split``, ``file_name`` and ``stem``."""
     low = F.lower("path")
     keep = F.lit(False)
     for e in exts:
@@ -219,26 +278,35 @@ def image_files(spark: SparkSession, root: str, exts=IMAGE_EXTS, with_content: b
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)
     return (df.filter(keep)
-            .withColumns({"split": F.element_at(parts, -3), "file_name": name,
+            .withColumns({"split": F.get(parts, F.size(parts) - 3), "file_name": name,
                           "stem": F.regexp_replace(name, r"\.[^.]*$", "")}))
 
 
+CV_MODES = {1: 0, 3: 16, 4: 24}  # fixed values: the image source's codes of 8-bit images by channels
+
+
 def image_sizes(spark: SparkSession, root: str, per_folder: int = 5, depth_from_end: int = 2) -> DataFrame:
-    """Width / height / channels of a few images per folder.
+    """Width / height / channels of a few images per folder, from the files' headers.
 
-    The sample is chosen on the path listing (skew-safe rank per folder),
-    then only the chosen files are decoded by the built-in image source.
+    The sample is chosen on the path listing (skew-safe rank per folder, by path);
+    tasks then read the first bytes of the chosen files.  Files without a JPEG, PNG, BMP or GIF header are left out.
     """
     files = image_files(spark, root).withColumn(
         "folder", F.array_join(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - depth_from_end + 1), "/"))
-    ranked = rank_within(files.select("folder", "path"), ["folder"], ["path"], out="_r")
-    chosen = [r["path"] for r in ranked.filter(F.col("_r") <= per_folder).select("path").collect()]
-    if not chosen:
-        return spark.createDataFrame([], "path string, width int, height int, channels int, mode int")
-    img = spark.read.format("image").load(chosen)
-    return img.select(F.col("image.origin").alias("path"), F.col("image.width").alias("width"),
-                      F.col("image.height").alias("height"), F.col("image.nChannels").alias("channels"),
-                      F.col("image.mode").alias("mode"))
+    ranked = rank_within(files.select("folder", "path", "length"), ["folder"], ["path"], out="_r")
+
+    def sizes(batches):
+        for pdf in batches:
+            rows = []
+            for path, length in zip(pdf["path"], pdf["length"]):
+                with open_file(path) as f:
+                    found = image_header(f, int(length))
+                if found:
+                    rows.append((path, *found, CV_MODES.get(found[2])))
+            yield pd.DataFrame(rows, columns=["path", "width", "height", "channels", "mode"]).astype({"mode": "Int32"})
+
+    chosen = ranked.filter(F.col("_r") <= per_folder).select("path", "length")
+    return chosen.repartition(_tasks(spark), "path").mapInPandas(sizes, "path string, width int, height int, channels int, mode int")
 
 
 def embed_images(files: DataFrame, fn, dim: int, key: str = "path") -> DataFrame:
