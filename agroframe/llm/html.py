@@ -10,8 +10,11 @@ from the body down to the smallest element that still holds nearly all hot text.
 Inside and beside the region every line is kept, so short paragraphs, sections and headings are
 not lost, except links: a list of them goes, unless its branch holds hot text.  Elements
 that are something else by tag, role or style (menus, forms, page footers, ...) never give lines.
-Those that call themselves so by class or id (ads, comments, ...) give none either, unless they hold
-most of the page's text or its article: then the page is read again with them open.
+Those that call themselves so by class or id give none either.  Blocks that are no content at any size
+(comments, ads, notices, sidebars, newsletters, ...) stay closed; names that also serve layout (share, social, banner) are
+opened where the element holds an article or the page's densest text, and those of
+page parts (widget, promo, ...) where nothing else is left: then the page is read again with them open.
+All steps are linear in the page, however deep its elements nest.
 """
 
 from __future__ import annotations
@@ -35,17 +38,20 @@ SKIPPED = frozenset("head script style noscript template nav footer aside form b
                     "svg canvas audio video menu dialog datalist title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar "
                   "toolbar".split())
-NAMES = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment commentlist "
-                  "comments consent cookie cookies discussion disqus footer gdpr masthead menu menus modal nav navbar "
-                  "navigation newsletter notice notices overlay pagination paywall popup promo promotion recommended "
-                  "related replies respond share sharing sidebar sidebars signup social sponsor sponsored subscribe "
-                  "toolbar widget widgets".split())
+COMMENTS = frozenset("comment commentlist comments discussion disqus replies respond".split())
+# no content, however much they hold
+NEVER = COMMENTS | frozenset("ad ads advert advertisement advertising adverts consent cookie cookies gdpr modal newsletter "
+                             "notice notices overlay paywall popup sidebar sidebars signup sponsor sponsored subscribe".split())
+# names that layout uses too
+LAYOUT = frozenset("banner masthead share sharing social".split())
+NAMES = NEVER | LAYOUT | frozenset("breadcrumb breadcrumbs footer menu menus nav navbar navigation pagination promo promotion "
+                                   "recommended related toolbar widget widgets".split())
 # after these, a class speaks of the page's layout or of a topic: no-sidebar, tag-comments
 ABOUT = frozenset("no not non has have with without hide tag category cat topic taxonomy".split())
-COMMENTS = frozenset("comment commentlist comments discussion disqus replies respond".split())
-# articles in these are not the page's own, if it has another one
-OTHERS = COMMENTS | frozenset("ad ads advert advertisement advertising adverts promo promotion recommended related "
-                              "sidebar sidebars sponsor sponsored widget widgets".split())
+# with one of these, a class says what the page has or lacks: ads-free, popup-enabled
+STATES = frozenset("disabled enabled free js loaded off ready".split())
+# beside one of these, a name may be that of a frame around the content: content-sidebar-wrap
+FRAMES = frozenset("body container content frame grid layout main page row site wrap wrapper".split())
 # a start tag on the left ends an open element on the right
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
@@ -58,19 +64,24 @@ REGION_SHARE = 0.9  # the region narrows while one child holds this share of the
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "skip", "article", "closed")
+    """An element: its place in document order, its depth, whether it lies in an article or a heading, and its topmost article."""
+
+    __slots__ = ("tag", "parent", "skip", "article", "heading", "top", "closed", "depth", "index")
 
-    def __init__(self, tag, parent, skip, article, closed=None):
-        self.tag, self.parent, self.skip, self.article, self.closed = tag, parent, skip, article, closed
+    def __init__(self, tag, parent, skip, article, closed=None, index=0):
+        self.tag, self.parent, self.skip, self.article, self.closed, self.index = tag, parent, skip, article, closed, index
+        self.depth = parent.depth + 1 if parent else 0
+        self.heading = bool(parent and parent.heading) or tag in HEADINGS
+        self.top = parent.top if parent and parent.top else self if article else None
 
 
 class _Closed:
-    """An element that gives no lines because of its class or id *word*."""
+    """An element that gives no lines because of its class or id *word*; *framed*: the name also has a word for a frame."""
 
-    __slots__ = ("word", "outer", "chars", "article")
+    __slots__ = ("word", "framed", "outer", "chars", "tags", "article")
 
-    def __init__(self, word, outer):
-        self.word, self.outer, self.chars, self.article = word, outer, 0, False
+    def __init__(self, word, framed, outer):
+        self.word, self.framed, self.outer, self.chars, self.tags, self.article = word, framed, outer, 0, 0, False
 
 
 class _Line:
@@ -91,6 +102,8 @@ class LineParser(HTMLParser):
         self.opened, self.starts = opened, 0
         self.closed: dict[int, _Closed] = {}
         self.node = self.root = _Node("html", None, "", False)
+        self.nodes = [self.root]  # parents before children
+        self.stacks: dict[str, list[_Node]] = {}  # open elements by tag, innermost last
         self.lines: list[_Line] = []
         self.pieces: list[str] = []
         self.tags = self.links = self.link_chars = self.anchors = 0
@@ -110,15 +123,20 @@ class LineParser(HTMLParser):
         """Make *node* the innermost open element."""
         while self.node is not node:
             self.links -= self.node.tag == "a" and self.links > 0
+            self.stacks[self.node.tag].pop()
             self.node = self.node.parent
 
+    def _inner(self, tags) -> _Node | None:
+        """The innermost open element with one of *tags*."""
+        return max((self.stacks[t][-1] for t in tags if self.stacks.get(t)), key=lambda n: n.depth, default=None)
+
     def _open(self, tags, stop=()) -> _Node | None:
-        node = self.node
-        while node.parent is not None and node.tag not in tags:
-            if node.tag in stop:
-                return None
-            node = node.parent
-        return node if node.tag in tags and node.parent is not None else None
+        """The innermost open element with one of *tags*, unless one of *stop* lies further in."""
+        node = self._inner(tags)
+        if node is None or not stop:
+            return node
+        bar = self._inner(stop)
+        return node if bar is None or bar.depth < node.depth or bar is node else None
 
     def _kind(self, tag: str, attrs: dict) -> str:
         """Why the element gives no lines, or ''."""
@@ -130,17 +148,22 @@ class LineParser(HTMLParser):
             return "hidden"
         return "role" if tag not in ("html", "body", "main") and (attrs.get("role") or "") in ROLES else ""
 
-    def _word(self, tag: str, attrs: dict) -> str:
-        """By which word class or id call the element something else than content, or ''."""
-        if tag in ARTICLES:
-            return ""
+    def _word(self, tag: str, attrs: dict) -> tuple[str, bool]:
+        """By which word class or id call the element something else than content, or '', and whether a frame's word is beside it."""
         for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
-            for word in re.split(r"[^a-z0-9]+", name):
+            words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+            if not STATES.isdisjoint(words):
+                continue
+            pairs = [a + b for a, b in zip(words, words[1:])] + [""]  # side-bar is sidebar
+            for word, pair in zip(words, pairs):
                 if word in ABOUT:
                     break
-                if word in NAMES or word == "header" and not self.node.article:
-                    return word
-        return ""
+                found = word if word in NAMES else pair if pair in NAMES else ""
+                if tag in ARTICLES:
+                    found = found if found in COMMENTS else ""
+                if found or word == "header" and tag not in ARTICLES and not self.node.article:
+                    return found or word, not FRAMES.isdisjoint(words)
+        return "", False
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -166,14 +189,20 @@ class LineParser(HTMLParser):
             attrs = {k: v or "" for k, v in attrs}
             if kind := self._kind(tag, attrs):
                 skip, closed = kind, None
-            elif self.starts not in self.opened and (word := self._word(tag, attrs)):
-                skip, closed = word, _Closed(word, closed)
-                self.closed[self.starts] = closed
-            if closed and tag in ARTICLES:
-                closed.article = True
+            elif self.starts not in self.opened:
+                word, framed = self._word(tag, attrs)
+                if word and not (tag in ARTICLES and not self.node.article and not closed):
+                    skip, closed = word, _Closed(word, framed, closed)
+                    self.closed[self.starts] = closed
+                elif closed and tag in ARTICLES:
+                    closed.article = True
+            if closed:
+                closed.tags += 1
         self.links += tag == "a"
         self.anchors += tag == "a" and not skip
-        self.node = _Node(tag, self.node, skip, self.node.article or tag in ARTICLES, closed)
+        self.node = _Node(tag, self.node, skip, self.node.article or tag in ARTICLES, closed, len(self.nodes))
+        self.nodes.append(self.node)
+        self.stacks.setdefault(tag, []).append(self.node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "/>" closes void elements only
@@ -202,19 +231,28 @@ class LineParser(HTMLParser):
 
 
 def to_open(closed: dict[int, _Closed], lines: list[_Line]) -> set[int]:
-    """The elements closed by class or id that hold most of the page's text, or its article."""
+    """Which elements closed by class or id are content after all: see the module for the three kinds of names."""
     for c in reversed(closed.values()):
         if c.outer:
-            c.outer.chars += c.chars
-            c.outer.article |= c.article
-    total = sum(len(x.text) for x in lines) + sum(c.chars for c in closed.values() if not c.outer)
-    if not total:
-        return set()
-    has_article = any(x.node.article for x in lines) or any(c.article and c.word not in OTHERS for c in closed.values())
-    out = {i for i, c in closed.items()
-           if c.chars > 0.5 * total and not (has_article and c.word in COMMENTS)
-           or c.article and not (has_article and c.word in OTHERS)}
-    return out or (set() if lines else set(closed))
+            c.outer.tags += c.tags
+            if c.word not in NEVER or c.framed:
+                c.outer.chars += c.chars
+                c.outer.article |= c.article
+    seen = sum(len(x.text) for x in lines)
+    total = seen + sum(c.chars for c in closed.values() if not c.outer and c.word not in NEVER)
+    ratio = seen / max(sum(x.tags for x in lines), 1)
+    has_article = any(x.node.article for x in lines)
+    out = set()
+    for i, c in closed.items():
+        if c.word in NEVER:
+            content = c.framed and c.article and not has_article and c.word not in COMMENTS
+        else:
+            content = c.article or c.word in LAYOUT and c.chars > 0.5 * total and c.chars / max(c.tags, 1) >= ratio
+        if content:
+            out.add(i)
+    if lines:
+        return out
+    return {i for i in out if closed[i].article} or {i for i, c in closed.items() if c.word not in NEVER}
 
 
 def smooth(values: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
@@ -239,15 +277,23 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _read(html: str, opened=frozenset()) -> LineParser:
+    parser = LineParser(opened)
+    parser.feed(html)
+    parser.end()
+    return parser
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: blocks in page order joined by one space, '' if there is none."""
-    parser = LineParser()
-    parser.feed(html or "")
-    lines = parser.end()
-    if parser.closed and (opened := to_open(parser.closed, lines)):
-        parser = LineParser(opened)
-        parser.feed(html or "")
-        lines = parser.end()
+    html = html or ""
+    rest = html.rfind(">") + 1
+    if (cut := html.find("<", rest)) >= 0 and re.match("[a-zA-Z/!?]", html[cut + 1:cut + 2] or "x"):
+        html = html[:cut]  # a tag that never ends is no text
+    parser = _read(html)
+    if parser.closed and (opened := to_open(parser.closed, parser.lines)):
+        parser = _read(html, opened)
+    lines = parser.lines
     named = [x for x in lines if x.node.article]
     lines = named or lines
     if not lines:
@@ -257,37 +303,37 @@ def main_text(html: str | None) -> str:
                    / np.array([max(x.tags, 1) for x in lines]))
     border = threshold(ratio)
     hot = (ratio >= border) if ratio.max() > ratio.min() else np.ones(len(lines), dtype=bool)
-
-    paths = []
-    for x in lines:
-        node, path = x.node, []
-        while node is not None:
-            path.append(node)
-            node = node.parent
-        paths.append(path[::-1])
     linked = np.array([x.link_chars for x in lines]) > 0.5 * chars
     if named:
         # every article is content, except a card that only links elsewhere
-        own = [next(n for n in p if n.article) for p in paths]
-        told = {n for n, h, link in zip(own, hot, linked) if h or not link}
-        return " ".join(x.text for x, n in zip(lines, own) if n in told)
-    depth, inside = 0, np.ones(len(lines), dtype=bool)
-    branch = [None] * len(lines)  # the element beside the way down, or below the region, that holds the line
-    total = (hot * chars).sum()
-    while True:
-        weight = {}
-        for k in np.flatnonzero(inside):
-            branch[k] = paths[k][depth + 1] if len(paths[k]) > depth + 1 else None
-            if branch[k] is not None:
-                weight[branch[k]] = weight.get(branch[k], 0.0) + hot[k] * chars[k]
-        best = max(weight, key=weight.get, default=None)
-        if best is None or best.tag == "p" or weight[best] < REGION_SHARE * total:
-            break
-        depth += 1
-        inside &= np.array([len(p) > depth and p[depth] is best for p in paths])
+        told = {x.node.top for x, h, link in zip(lines, hot, linked) if h or not link}
+        return " ".join(x.text for x in lines if x.node.top in told)
+
+    # hot characters below every element, and its child with most of them
+    weight = np.zeros(len(parser.nodes))
+    np.add.at(weight, [x.node.index for x in lines], hot * chars)
+    best: dict[int, _Node] = {}
+    for node in reversed(parser.nodes[1:]):
+        weight[node.parent.index] += weight[node.index]
+        rival = best.get(node.parent.index)
+        if rival is None or weight[node.index] >= weight[rival.index]:
+            best[node.parent.index] = node
+    region, way = parser.root, {0}
+    while (down := best.get(region.index)) and down.tag != "p" and weight[down.index] >= REGION_SHARE * weight[0]:
+        region = down
+        way.add(region.index)
+    # for every element: whether it lies in the region, and the element beside the way down, or below the region, that holds it
+    within, beside = np.zeros(len(parser.nodes), dtype=bool), [None] * len(parser.nodes)
+    for node in parser.nodes:
+        up = node.parent
+        within[node.index] = node is region or up is not None and within[up.index]
+        if node.index not in way:
+            beside[node.index] = beside[up.index] or node
+    inside = within[[x.node.index for x in lines]]
+    branch = [beside[x.node.index] for x in lines]
     # beside the region a link that is hot only by its neighbours does not speak for its branch
     told = {n for n, h, i, link in zip(branch, hot, inside, linked) if h and (i or not link)}
-    title = [link and any(n.tag in HEADINGS for n in p) for link, p in zip(linked, paths)]
+    title = [link and x.node.heading for link, x in zip(linked, lines)]
     titles = Counter(n for n, t in zip(branch, title) if t)
     kept = []
     for k, x in enumerate(lines):

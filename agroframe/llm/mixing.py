@@ -21,6 +21,7 @@ from agroframe.session import materialize
 DIMENSIONS = ("source", "lang", "topic")
 TOLERANCE = 1e-10
 MAX_SWEEPS = 60
+MAX_RESIDUAL = 1e-3
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 SEED = 7
 
@@ -57,12 +58,14 @@ def tempered_target(cells: DataFrame, dimension: str, power: float) -> DataFrame
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
-         max_sweeps: int = MAX_SWEEPS) -> DataFrame:
+         max_sweeps: int = MAX_SWEEPS, max_residual: float = MAX_RESIDUAL) -> DataFrame:
     """*cells* with ``weight`` (sum 1) whose marginals meet *targets* {dimension: (category, share)}.
 
     Shares are taken relative to those of the categories that occur; an occurring
     category without target gets weight 0.  Each sweep is written once (a few
-    rows per cell) and so is its own recovery point.
+    rows per cell) and so is its own recovery point.  Sweeps end when no weight moves by more than
+    *tolerance*, or after *max_sweeps*; if a marginal is off by more than *max_residual* then,
+    the targets contradict each other and ``Unreachable`` is raised with that residual.
     """
     shares = {}
     for d, target in targets.items():
@@ -82,9 +85,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
         state = swept
         if moved is None or moved <= tolerance:
             break
+    if moved is not None and (off := residual(state, shares)) > max_residual:
+        raise Unreachable(off)
     return state
 
 
+class Unreachable(ValueError):
+    """No weights of the cells meet the targets; ``residual`` is the largest difference of a share."""
+
+    def __init__(self, residual: float):
+        super().__init__(f"targets cannot be met: a share is off by {residual:.4g}")
+        self.residual = residual
+
+
+def residual(raked: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """Largest difference between a target share and the one of the *raked* weights."""
+    gaps, total = None, raked.agg(F.sum("weight").alias("total"))  # one row
+    for d, share in targets.items():
+        now = raked.groupBy(d).agg(F.sum("weight").alias("now")).join(share, d, "full").crossJoin(F.broadcast(total))
+        gap = now.select(F.abs(F.coalesce("now", F.lit(0.0)) / F.col("total") - F.coalesce("share", F.lit(0.0))).alias("gap"))
+        gaps = gap if gaps is None else gaps.unionByName(gap)
+    return gaps.agg(F.max("gap")).first()[0] or 0.0
+
+
 def probabilities(raked: DataFrame) -> DataFrame:
     """Sampling probability per cell: calibrated over natural weight, the largest being 1."""
     ratio = raked.withColumn("ratio", F.col("weight") / F.col("tokens"))

@@ -113,7 +113,9 @@ class WordEncoder:
             t = text
             if self.dropped and not self.not_latin(t):
                 t = t.lower()  # the tokenizer does so anyway, except when it looks for added tokens; fewer units to learn
-            units = None if self.odd_space(t) or any(a in t for a in self.added) else self.units(t)
+            # the lower case of a dotted capital I has a mark, at which the pre-tokenizer cuts
+            whole = self.dropped and "\u0130" in text or self.odd_space(t) or any(a in t for a in self.added)
+            units = None if whole else self.units(t)
             got = units and list(map(self.cache.get, units))
             holes = [k for k, v in enumerate(got) if v is None] if got else ()
             new.update((units[k], None) for k in holes)

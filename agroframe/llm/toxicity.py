@@ -33,7 +33,7 @@ from agroframe.llm.common import WORD_CACHE_ENTRIES, small_batches, worker_cache
 TERM_BITS = 28  # of the hash; only terms of the sample are stored, so wide hashes cost nothing
 FACTORS = 8
 SAMPLE_ROWS = 16_000
-SAME_TERMS = 2
+ALIKE = 0.8  # resemblance from which two texts of one label are copies in the choice of terms
 MIN_DOCS = 3
 MIN_Z = 4.5
 EPOCHS = 40
@@ -77,13 +77,30 @@ def telling(docs: list[np.ndarray], labels: np.ndarray, min_docs: int = MIN_DOCS
     return ids[(n >= min_docs) & (np.abs(hit - n * p) >= min_z * spread) & (0 < p < 1)]
 
 
+def distinct(docs: list[np.ndarray], labels: np.ndarray, alike: float = ALIKE) -> list[int]:
+    """The documents that are no copies of an earlier one of their label, for the choice of terms.
+
+    Copies of one text would make each of its words telling.  Texts that share their two smallest hashes are
+    compared on their full sets of terms; a resemblance of *alike* makes a copy.
+    """
+    kept, first = {}, []
+    for i, (d, y) in enumerate(zip(docs, labels)):
+        others = kept.setdefault((d[:2].tobytes(), y), [])
+        for o in others:
+            both = len(np.intersect1d(d, o, assume_unique=True))
+            if both >= alike * (len(d) + len(o) - both):
+                break
+        else:
+            others.append(d)
+            first.append(i)
+    return first
+
+
 def train(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS,
           factors: int = FACTORS) -> Model:
     """Minibatch Adam on the weighted logistic loss; *docs* hold distinct term ids."""
     rng = np.random.default_rng(SEED)
-    # copies of one text would make each of its words telling: texts that share their
-    # smallest hashes (most near copies do) count once in the choice of terms
-    first = sorted({(d[:SAME_TERMS].tobytes(), y): i for i, (d, y) in reversed(list(enumerate(zip(docs, labels))))}.values())
+    first = distinct(docs, labels)
     few, y_few = [docs[i] for i in first], labels[first]
     ids = telling(few, y_few)
     some = np.array([np.isin(d, ids).any() for d in few], dtype=bool)
@@ -136,7 +153,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     """At most about *rows* labelled rows that are not held out: text, label, weight.
 
     Each class may fill half, and what the rarer one leaves.  A document with
-    several labels is toxic if one says so; null labels say nothing.
+    several labels is toxic if one says so; null labels say nothing.  Of several texts of
+    one id the last in order is taken.
     """
     known = (labels.where("toxic is not null and doc_id is not null").where(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
@@ -148,9 +166,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
         share = F.when(F.col("label") == c, F.lit(taken[c] / n)).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     picked = known.withColumn("share", share).where(draw < F.col("share"))
-    # bounded by the sample size, so it may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id") \
-        .select("text", F.col("label").cast("double").alias("label"), F.try_divide(F.lit(1.0), "share").alias("weight"))
+    # bounded by the sample size, so it may be broadcast; rows of one id give one text, so the sample is bounded in rows too
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "share").agg(F.max("text").alias("text"))
+    return texts.select("text", F.col("label").cast("double").alias("label"), F.try_divide(F.lit(1.0), "share").alias("weight"))
 
 
 def fit(rows: DataFrame) -> Model:

@@ -71,6 +71,51 @@ def test_comments_stay_out_of_the_article():
     assert main_text(f"<article><h1>Head</h1><p>{LONG}</p>{talk}</article>") == flat(f"Head {LONG}")
 
 
+@pytest.mark.parametrize("block", [
+    "<div id='comments'>{M}</div>", "<ol class='commentlist'><li>{M}</ol>", "<div class='sidebar'>{M}</div>",
+    "<div class='widget-area'>{M}</div>", "<div class='left-side-bar'>{M}</div>", "<div class='ad'>{M}</div>",
+    "<div class='cookie-banner'>{M}</div>", "<div class='news-letter-box'>{M}</div>", "<section class='sidebar-container'>{M}</section>",
+    "<div class='comments-wrapper'><article class='comment'>{M}</article></div>", "<div id='comments'><article>{M}</article></div>",
+    "<div class='popup-content'>{M}</div>", "<div class='notice'>{M}</div>",
+])
+def test_long_blocks_of_no_content_stay_closed(block):
+    block = block.replace("{M}", f"<p>{LONG * 5}</p>" * 5)
+    body = f"<div id='content'><h1>Head</h1><p>{LONG}</p></div>"
+    assert main_text(f"<body>{body}{block}</body>") == flat(f"Head {LONG}")
+    assert main_text(f"<body><article><h1>Head</h1><p>{LONG}</p>{block}</article></body>") == flat(f"Head {LONG}")
+
+
+def test_pages_of_no_content_are_empty():
+    for name in ("cookie-banner", "ad", "comments", "sidebar", "newsletter"):
+        assert main_text(f"<body><div class='{name}'><p>{LONG}</p></div></body>") == ""
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "sidebar-layout", "page-with-sidebar", "site has-popup"])
+def test_frames_named_after_their_parts_are_open(name):
+    page = f"<body><div class='{name}'><main><h1>Head</h1><p>{LONG}</p></main><div class='sidebar'>{LONG * 9}</div></div></body>"
+    assert main_text(page) == flat(f"Head {LONG}")
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<li>x<ul>", "<div>x", '<a b="', "<p><button><div>", "<!--", "<![CDATA[", "<table><td>x", "</p>",
+                                  "<b><i>", "<a href='x'>y", "&#", "<script>", "<div class='ad'>x", "<dl><dt>x", "<x y='"])
+def test_linear_time_on_deep_and_broken_pages(unit):
+    import time
+    for end in ("", ">", '">', "'>", "-->"):
+        took = []
+        for n in (5_000, 20_000):
+            start = time.process_time()
+            main_text(unit * n + end)
+            took.append(time.process_time() - start)
+        assert took[1] < max(0.6, 9 * took[0]), (end, took)
+
+
+def test_a_hundred_thousand_nested_tags():
+    import time
+    start = time.process_time()
+    assert main_text("<div>" * 100_000 + "text").strip() == "text"
+    assert time.process_time() - start < 3
+
+
 def test_lists_of_links_beside_the_text_go():
     links = "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(6))
     page = f"<body><ul>{links}</ul><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><ul>{links}</ul></div></body>"

@@ -57,3 +57,12 @@ def test_odd_rows(spark):
 def test_main_path_is_native(spark):
     plan = M.mix(spark.read.parquet(f"{SF_CHECK}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_contradicting_targets_are_an_error(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 10.0), ("b", "y", "p", 10.0)], "source string, lang string, topic string, tokens double")
+    one = lambda d, rows: spark.createDataFrame(rows, f"{d} string, share double")
+    targets = {"source": one("source", [("a", 0.9), ("b", 0.1)]), "lang": one("lang", [("x", 0.1), ("y", 0.9)]), "topic": one("topic", [("p", 1.0)])}
+    with pytest.raises(M.Unreachable) as e:
+        M.rake(cells, targets, max_sweeps=4)
+    assert abs(e.value.residual - 0.8) < 1e-6

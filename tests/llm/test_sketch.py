@@ -95,3 +95,37 @@ def test_merging_parts(spark):
 def test_main_path_is_native(spark):
     plan = S.edited_pairs(spark.read.parquet(f"{SF_CHECK}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_groups_without_shingles_and_null_keys_stay(spark):
+    rows = [(1, "a b c d e f"), (2, ""), (2, None), (3, "  "), (None, "x y"), (None, "")]
+    df = S.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.sketch for r in S.merge_all(df, ["doc_id"]).collect()}
+    assert {k: len(v) for k, v in got.items()} == {1: 2, 2: 0, 3: 0, None: 1}
+
+
+def test_distinct_is_exact_up_to_k(spark):
+    for n in (255, 256, 257, 400):
+        words = " ".join(f"w{i}" for i in range(n + S.SHINGLE - 1))
+        df = S.fingerprints(spark.createDataFrame([(1, words)], "doc_id long, text string"))
+        got = df.first().n_distinct
+        assert got == n if n <= 256 else abs(got - n) < 0.25 * n
+        assert S.merge_all(df.unionByName(df), ["doc_id"]).first().sketch == df.first().sketch
+
+
+def test_many_rows_without_id_are_cut_into_blocks(spark):
+    rows = [(None, f"text {i}") for i in range(900)] + [(i, f"t {i}") for i in range(100)]
+    dealt, _ = S.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows_per_block=50)
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 200
+    out = S.edited_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 1000
+
+
+def test_bounds_are_no_literals_of_the_plan(spark):
+    import time
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    start = time.time()
+    dealt, _ = S.with_next(df, rows_per_block=5)  # 4,000 blocks
+    assert time.time() - start < 20 and len(dealt._jdf.queryExecution().logical().toString()) < 20_000
+    assert dealt.where("guest").count() == dealt.select("block").distinct().count()

@@ -32,6 +32,26 @@ def test_same_ids_property(texts):
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+LONGER = "".join(c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and len(c.lower()) > 1)
+
+
+def test_dotted_capital_i_beside_other_scripts():
+    plain = Tokenizer.from_file(word_bpe().path)
+    texts = ["Москва İ, x", "中 aİ-b", "İİ", "x İ", "ΣİΣ ок", "Москва i̇, x"]
+    for t, got in zip(texts, encode_in_chunks(word_bpe(), texts)):
+        assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(LONGER + " -,.aбМ中Σςé\u0307\u0301ßŉǰΐ"), st.characters(codec="utf-8")), max_size=25), max_size=5))
+def test_letters_with_longer_lower_case(texts):
+    for file, plain in PLAIN.items():
+        got = [np.frombuffer(b, "<u4").tolist() for b in encode_in_chunks(file, texts, chars=40)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+PLAIN = {f: Tokenizer.from_file(f.path) for f in (byte_bpe(), word_bpe())}  # fresh tokenizers
+
 ADDED = ["it's <|endoftext|> ok", "<|endoftext|>", "a<|startoftext|>b <|endoftext|><|endoftext|> c", "It's <|ENDOFTEXT|> ok",
          "A <|EndOfText|> and <|endoftext|>", "<|endoftext|", "日本 <|STARTOFTEXT|> x<|startoftext|>", "  <|endoftext|>\n\n q",
          "<|start oftext|> <| endoftext|>", "é<|endoftext|>É"]

@@ -55,3 +55,19 @@ def test_odd_rows(spark):
     assert T.score(docs.limit(0), T.fit(T.sample(docs, labels.limit(0)))).count() == 0
     first = T.fit(T.sample(docs, labels))
     assert first.bias == model.bias and (first.w == model.w).all()
+
+
+def test_only_true_copies_count_once():
+    rng = np.random.default_rng(2)
+    base = np.unique(rng.integers(10, 10_000, 50))
+    near = np.setdiff1d(base, base[-3:])
+    other = np.union1d(base[:2], rng.integers(20_000, 30_000, 40))  # shares the two smallest hashes only
+    docs = [base, near, other, base, np.empty(0, np.int64), np.empty(0, np.int64)]
+    assert T.distinct(docs, np.array([1, 1, 1, 0, 0, 0])) == [0, 2, 3, 4]
+
+
+def test_rows_of_one_id_are_one_sample_row(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(4, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
+    ids = [d for d in (1, 4) if zlib.crc32(str(d).encode()) % 4 != 2]
+    assert T.sample(docs, labels).count() == len(ids)
