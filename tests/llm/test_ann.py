@@ -70,3 +70,37 @@ def test_ties_of_a_common_vector(spark):
     codes, centres = ann.index(df)
     got = ann.search(codes, centres, codes.where("id = 0"), k=5, shard_vectors=100).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in got] == [(3, 9.0), (6, 9.0), (9, 9.0), (12, 9.0), (15, 9.0)]
+
+
+def test_codes_leave_a_tenth_to_be_scored():
+    """On sf0.1: at most 10 % of all pairs pass the bound, and at least 95 % (here all) of the neighbours do."""
+    import pyarrow.parquet as pq
+    x = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist(), dtype=np.float64)
+    centre, bits = x.mean(axis=0), ann.code_bits(x.shape[1])
+    codes, length, f = ann.encode(x, centre, bits)
+    est, err = ann.estimate(codes, length, f, centre, x[::20], ann.SEARCH_BOUND, bits, ann.PLANES)
+    own = np.zeros(est.shape, dtype=bool)
+    own[np.arange(len(est)), np.arange(0, len(x), 20)] = True
+    kth = np.partition(np.where(own, -np.inf, est - err), -20, axis=1)[:, -20]
+    passed = (est + err >= kth[:, None]) & ~own
+    score = np.where(own, -np.inf, x[::20] @ x.T)
+    near = score >= np.partition(score, -20, axis=1)[:, -20][:, None]
+    assert passed.mean() <= 0.1 and (near & passed).sum() >= 0.95 * near.sum()
+
+
+def test_packed_counts_are_the_products_with_the_signs():
+    rng = np.random.default_rng(8)
+    x, centre = rng.standard_normal((200, 7)), rng.standard_normal(7)
+    codes, length, f = ann.encode(x, centre, 128)
+    signs = np.unpackbits(codes, axis=1, count=128) * 2.0 - 1
+    q = rng.standard_normal((5, 7))
+    est, _ = ann.estimate(codes, length, f, centre, q, bits=128)
+    exact = (q @ ann.rotation(7, bits=128) / np.sqrt(128)) @ signs.T * (length / f) + (q @ centre)[:, None]
+    assert np.abs(est - exact).max() < 0.1
+
+
+def test_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (3, [2.0, 1.0]), (4, [1.0, 3.0])], "vec_id long, embedding array<float>")
+    codes, centres = ann.index(df)
+    got = sorted(map(tuple, ann.search(codes, centres, codes.where("id = 0"), k=2).collect()))
+    assert got == [(0, 1, 3, 2.0), (0, 1, 4, 3.0), (0, 2, 3, 1.0), (0, 2, 4, 1.0)]
