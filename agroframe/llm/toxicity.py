@@ -153,8 +153,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     """At most about *rows* labelled rows that are not held out: text, label, weight.
 
     Each class may fill half, and what the rarer one leaves.  A document with
-    several labels is toxic if one says so; null labels say nothing.  Of several texts of
-    one id the last in order is taken.
+    several labels is toxic if one says so; null labels say nothing.
     """
     known = (labels.where("toxic is not null and doc_id is not null").where(~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
@@ -166,19 +165,22 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
         share = F.when(F.col("label") == c, F.lit(taken[c] / n)).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     picked = known.withColumn("share", share).where(draw < F.col("share"))
-    # bounded by the sample size, so it may be broadcast; rows of one id give one text, so the sample is bounded in rows too
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "share").agg(F.max("text").alias("text"))
-    return texts.select("text", F.col("label").cast("double").alias("label"), F.try_divide(F.lit(1.0), "share").alias("weight"))
+    # bounded by the sample size, so it may be broadcast
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id") \
+        .select("doc_id", "text", F.col("label").cast("double").alias("label"), F.try_divide(F.lit(1.0), "share").alias("weight"))
 
 
 def fit(rows: DataFrame) -> Model:
-    """Train on (text, label, weight) in one task; the rows are a bounded sample."""
+    """Train on (doc_id, text, label, weight) in one task; the ids are a bounded sample.
+
+    Of several rows of one id one counts, so the task's rows are bounded too: that with the greatest terms in byte order.
+    """
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [np.unique(np.array([term_id(w) for w in terms(t)], dtype="<i8")).tobytes()
-                   for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1), batch.column(2)],
-                                             names=["ids", "label", "weight"])
+                   for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), batch.column(2), batch.column(3)],
+                                             names=["doc_id", "ids", "label", "weight"])
 
     def learn(table: pa.Table) -> pa.Table:
         docs = [np.frombuffer(b, "<i8") for b in table.column("ids").to_pylist()]
@@ -190,7 +192,9 @@ def fit(rows: DataFrame) -> Model:
                          "v": [m.v.astype("<f4").tobytes()]},
                         schema=pa.schema([("bias", pa.float64()), ("ids", pa.binary()), ("w", pa.binary()), ("v", pa.binary())]))
 
-    got = (rows.select("text", "label", "weight").mapInArrow(hashed, "ids binary, label double, weight double")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label", "weight")
+    got = (rows.mapInArrow(hashed, "doc_id long, ids binary, label double, weight double")
+           .groupBy("doc_id").agg(F.max(F.struct("ids", "label", "weight")).alias("r")).select("r.*")
            .withColumn("one", F.lit(1)).groupBy("one").applyInArrow(learn, "bias double, ids binary, w binary, v binary").first())
     if got is None:  # nothing labelled: every text gets the same low score
         return Model(-3.0, np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float32), np.empty((0, FACTORS), dtype=np.float32))

@@ -66,8 +66,9 @@ def test_only_true_copies_count_once():
     assert T.distinct(docs, np.array([1, 1, 1, 0, 0, 0])) == [0, 2, 3, 4]
 
 
-def test_rows_of_one_id_are_one_sample_row(spark):
-    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(4, "b")], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
-    ids = [d for d in (1, 4) if zlib.crc32(str(d).encode()) % 4 != 2]
-    assert T.sample(docs, labels).count() == len(ids)
+def test_rows_of_one_id_count_once(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    once = [(i, "bad word" if i % 2 else "fine day") for i in ids]
+    model = [T.fit(T.sample(spark.createDataFrame(rows, "doc_id long, text string"), labels)) for rows in (once, once + [(ids[0], once[0][1])] * 500)]
+    assert model[0].bias == model[1].bias and (model[0].w == model[1].w).all()
