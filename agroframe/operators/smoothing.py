@@ -72,6 +72,29 @@ def local_trend(weeks: np.ndarray, z: np.ndarray, ql: float, qs: float, r: float
     return filtered, means, variance
 
 
+def first_state(z: float, r: float) -> tuple:
+    """Precision and right-hand side of a series' state after its first reading (see ``local_trend``)."""
+    w = 1.0 / (r * r)
+    return 1.0 + w, 0.0, 1.0, z + w * z, 0.0
+
+
+def next_state(state: tuple, gap: float, z: float, ql: float, qs: float, r: float) -> tuple:
+    """The state after one more reading *gap* weeks later: one elimination step of ``local_trend``."""
+    pa, pb, pd_, ga, gb = state
+    g = max(1.0, gap)
+    w, u, v = 1.0 / (r * r), 1.0 / (ql * g), 1.0 / (qs * g)
+    ia, ib, id_ = _inverse(pa + u, pb + u * g, pd_ + u * g * g + v)
+    la, lb = u * (ia + g * ib), u * (ib + g * id_)
+    return (u - (la * u + lb * u * g) + w, -lb * v, v - v * id_ * v,
+            la * ga + lb * gb + w * z, v * (ib * ga + id_ * gb))
+
+
+def state_mean(state: tuple) -> tuple[float, float]:
+    """Filtered level and slope of a state."""
+    va, vb, vd = _inverse(*state[:3])
+    return va * state[3] + vb * state[4], vb * state[3] + vd * state[4]
+
+
 def kalman_smooth(weekly: DataFrame, keys=("location", "pest"), value: str = "value",
                   q_level: float = Q_LEVEL, q_slope: float = Q_SLOPE, r_obs: float = R_OBS) -> DataFrame:
     """W8 + W9: filtered level/slope, smoothed level and a +-2 sigma band per week.

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from agroframe.operators import panel as P
 from agroframe.operators import smoothing as K
+from agroframe.operators.long_smoothing import smooth_long
 from agroframe.plans import pest_sql as S
 from agroframe.plans.pest import OBS_CTE, clean
 from agroframe.plans.registry import finish, query
@@ -81,15 +82,24 @@ def kalman_filter(spark, sf):
                                                                 "slope_f"))
 
 
-@query("kalman_smooth", "SELECT location, pest, week_id, round(round(level, 9), 6) AS level, "
-       "round(round(exp(level) - 1, 9), 6) AS est, round(round(exp(level - 2 * sd) - 1, 9), 6) AS lo, "
-       "round(round(exp(level + 2 * sd) - 1, 9), 6) AS hi FROM band", ("fx_panel",), KS_CTES, recursive=True)
+SMOOTH_SQL = ("SELECT location, pest, week_id, round(round(level, 9), 6) AS level, "
+              "round(round(exp(level) - 1, 9), 6) AS est, round(round(exp(level - 2 * sd) - 1, 9), 6) AS lo, "
+              "round(round(exp(level + 2 * sd) - 1, 9), 6) AS hi FROM band")
+
+
+@query("kalman_smooth", SMOOTH_SQL, ("fx_panel",), KS_CTES, recursive=True)
 def kalman_smooth(spark, sf):
     """RTS-smoothed level with the +-2 sigma predictive band, in counts."""
     return finish(K.kalman_smooth(weekly_obs(spark, sf)).select("location", "pest", "week_id", "level",
                                                                 "est", "lo", "hi"))
 
 
+@query("kalman_smooth_blocks", SMOOTH_SQL, ("fx_panel",), KS_CTES, recursive=True)
+def kalman_smooth_blocks(spark, sf):
+    """W8 + W9 by scans over blocks, here of a year, so that a series spans several."""
+    return finish(smooth_long(weekly_obs(spark, sf), block_weeks=52).select("location", "pest", "week_id", "level", "est", "lo", "hi"))
+
+
 @query("history_chart", "SELECT location, pest, round(round(week_id / 52.0, 9), 6) AS year_frac, "
        "round(round(value, 9), 6) AS observed, round(round(exp(level) - 1, 9), 6) AS est, "
        "round(round(exp(level - 2 * sd) - 1, 9), 6) AS lo, round(round(exp(level + 2 * sd) - 1, 9), 6) AS hi "
