@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from agroframe.operators.baseline import band_names, band_of
 from agroframe.operators.panel import WEATHER
+from agroframe.operators.ranking import rank_within
 
 TEMP_VARS = ("maxt_c", "mint_c")
 RAIN_VARS = ("rf_mm",)
@@ -32,6 +33,15 @@ def scenarios(spark, rows) -> DataFrame:
                                  "scenario_id int, temp_off double, rain_mult double, humid_off double")
 
 
+def checked_scenarios(table: DataFrame) -> DataFrame:
+    """A table (scenario_id, temp_off, rain_mult, humid_off) of any length, whose inputs are range-checked where they lie."""
+    inside = (F.col("temp_off").between(*TEMP_RANGE) & F.col("rain_mult").between(*RAIN_RANGE) & F.col("humid_off").between(*HUMID_RANGE))
+    wrong = table.where(~F.coalesce(inside, F.lit(False))).select("scenario_id").limit(3).collect()
+    if wrong:
+        raise ValueError(f"scenarios out of range: {[r.scenario_id for r in wrong]}")
+    return table.select("scenario_id", *[F.col(c).cast("double").alias(c) for c in ("temp_off", "rain_mult", "humid_off")])
+
+
 def apply_scenarios(features: DataFrame, scen: DataFrame) -> DataFrame:
     """Shift lag1/roll4 weather features by each scenario (trend untouched).
 
@@ -99,7 +109,18 @@ def forecast_batch(model, requests: DataFrame, by_week: DataFrame, glob: DataFra
     return banded_forecast(predict_severity(model, rows), cutoffs)
 
 
-BUNDLE = ("features", "feat_clim", "feat_clim_global", "band_cutoffs", "endemic", "series_list", "active_weeks", "units",
+def feature_cols(panel: DataFrame, feats) -> DataFrame:
+    """(position, column) of the pooled model's inputs: features, week, then one column per crop, location and pest, sorted."""
+    spark = panel.sparkSession
+    first = spark.createDataFrame([(0, i, c) for i, c in enumerate([*feats, "standard_week"])], "part int, place int, column string")
+    levels = F.explode(F.array(*[F.struct(F.lit(k + 1).alias("part"), F.concat(F.lit(f"{c}_"), F.col(c)).alias("column"))
+                                 for k, c in enumerate(("crop", "location", "pest"))]))
+    hot = panel.select(levels.alias("l")).select("l.part", F.lit(0).alias("place"), "l.column").distinct()
+    ranked = rank_within(first.unionByName(hot), [], ["part", "place", "column"], out="position")
+    return ranked.select((F.col("position") - 1).cast("int").alias("position"), "column")
+
+
+BUNDLE = ("feature_cols", "features", "feat_clim", "feat_clim_global", "band_cutoffs", "endemic", "series_list", "active_weeks", "units",
           "obs_series")
 
 
@@ -115,6 +136,7 @@ def build_bundle(panel: DataFrame, clean: DataFrame, endemic_thr: float | None =
     train = panel.filter("is_train")
     names = panel.sparkSession.createDataFrame([(i, c) for i, c in enumerate(P.BASE_FEATS)], "position int, feature string")
     return {
+        "feature_cols": feature_cols(panel, P.BASE_FEATS),
         "features": names,
         "feat_clim": by_week,
         "feat_clim_global": glob,

@@ -123,7 +123,7 @@ def _scen_sql() -> str:
 def scenario_features(spark, sf):
     """Every (location, week) climatology row under every what-if scenario."""
     by_week, _ = B.feature_climatology(panel(spark, sf))
-    scen = FC.scenarios(spark, SCENARIOS)
+    scen = FC.checked_scenarios(FC.scenarios(spark, SCENARIOS))
     out = FC.apply_scenarios(by_week, scen)
     return finish(out.select("location", "standard_week", "scenario_id", *P.BASE_FEATS))
 

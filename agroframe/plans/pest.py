@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agroframe.operators import baseline as B
 from agroframe.operators import forecast as FC
 from agroframe.operators import panel as P
+from agroframe.operators.panel_view import PanelView
 from agroframe.operators.ranking import rank_within
 from agroframe.plans import pest_sql as S
 from agroframe.plans.registry import finish, fx, query
@@ -142,13 +143,25 @@ roll_features = _feature_query("roll4")
 trend_features = _feature_query("trend")
 
 
-@query("feature_panel", "SELECT crop, location, pest, week_id, year, standard_week, "
-       + ", ".join(f"round(round({c}, 9), 6) AS {c}" for c in P.BASE_FEATS)
-       + ", round(round(pest_value, 9), 6) AS pest_value, round(round(y, 9), 6) AS y FROM panel", FX, PANEL)
+PANEL_SQL = ("SELECT crop, location, pest, week_id, year, standard_week, "
+             + ", ".join(f"round(round({c}, 9), 6) AS {c}" for c in P.BASE_FEATS)
+             + ", round(round(pest_value, 9), 6) AS pest_value, round(round(y, 9), 6) AS y FROM panel")
+
+
+@query("feature_panel", PANEL_SQL, FX, PANEL)
 def feature_panel(spark, sf):
     return finish(panel(spark, sf))
 
 
+@query("feature_panel_view", PANEL_SQL, FX, PANEL)
+def feature_panel_view(spark, sf):
+    """W1-W3 + J1 kept up to date: the readings arrive in three batches of mixed weeks."""
+    c, view = materialize(clean(spark, sf)), PanelView()
+    for part in range(3):
+        view = view.apply(c.where(F.col("row_id") % 3 == part))
+    return finish(view.panel(min_obs=S.MIN_OBS_Q))
+
+
 # ---------------------------------------------------------------- series statistics
 STATS_SQL = ("SELECT crop, location, pest, count(*) AS n_obs, "
              "cast(sum(CASE WHEN pest_value > 0 THEN 1 ELSE 0 END) AS bigint) AS n_present, "
@@ -424,7 +437,9 @@ def _count(entry: str, table: str) -> str:
 
 
 @query("bundle_sizes", " UNION ALL ".join([
-    f"SELECT 'features' AS entry, {len(P.BASE_FEATS)} AS n_rows", _count("feat_clim", "fclim"), _count("feat_clim_global", "fglob"),
+    f"SELECT 'features' AS entry, {len(P.BASE_FEATS)} AS n_rows",
+    f"SELECT 'feature_cols' AS entry, {len(P.BASE_FEATS) + 1} + count(DISTINCT crop) + count(DISTINCT location) + count(DISTINCT pest) "
+    "AS n_rows FROM panel", _count("feat_clim", "fclim"), _count("feat_clim_global", "fglob"),
     _count("band_cutoffs", "cuts"), _count("endemic", "endem"),
     _count("series_list", "(SELECT DISTINCT crop, location, pest FROM panel) a"), _count("active_weeks", "aw"),
     _count("units", "(SELECT DISTINCT location, pest FROM clean WHERE pest_value IS NOT NULL) u"),
