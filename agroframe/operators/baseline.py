@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroframe.session import materialize
+from agroframe.operators import quantile_state as QS
 from agroframe.operators.panel import BASE_FEATS, ENDEMIC_THR, SPLIT_YEAR, add_presence
+from agroframe.operators.ranking import join_null_safe
 
 SERIES2 = ["location", "pest"]
 
@@ -110,6 +112,20 @@ def band_cutoffs(panel: DataFrame, min_pos: int = 8, value: str = "pest_value")
         .when(F.col("_npos") > 0, F.col("_m")).otherwise(F.lit(1.0)).alias("q2"))
 
 
+def band_cutoffs_sketched(panel: DataFrame, min_pos: int = 8, value: str = "pest_value", batch: str = "year", k: int = QS.K) -> DataFrame:
+    """``band_cutoffs`` for series of any length: a sketch per series and *batch*, merged, and one counting pass.
+
+    The batches' states can be kept: a new year is sketched alone.
+    """
+    pos = panel.filter(F.col(value) > 0)
+    state = QS.merge(QS.sketch(pos, value, [*SERIES2, batch], k), SERIES2)
+    q = QS.quantiles(pos, state, value, [1 / 3, 0.5, 2 / 3], SERIES2, ["_t1", "_m", "_t2"], k)
+    many = F.col("n") >= min_pos
+    cut = lambda tercile: F.coalesce(F.when(many, F.col(tercile)).otherwise(F.col("_m")), F.lit(1.0))
+    return join_null_safe(panel.select(*SERIES2).distinct(), q, list(SERIES2), "left") \
+        .select(*SERIES2, cut("_t1").alias("q1"), cut("_t2").alias("q2"))
+
+
 def band_cutoffs_all(train: DataFrame, keys=SERIES2, value: str = "pest_value") -> DataFrame:
     """A13(a): terciles of all training readings (zeros included) per key."""
     return (train.groupBy(*keys).agg(F.percentile(value, [1 / 3, 2 / 3]).alias("_t"))

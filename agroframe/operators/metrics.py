@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroframe.operators import quantile_state as QS
 from agroframe.operators.ranking import exact_quantiles
 
 
@@ -91,6 +92,15 @@ def median_abs_error(df: DataFrame, y: str, preds, transform=F.expm1) -> DataFra
     return exact_quantiles(err, "abs_err", [0.5], keys=["model"], names=["median_abs_err"])
 
 
+def median_abs_error_sketched(df: DataFrame, y: str, preds, batch: str, transform=F.expm1, k: int = QS.K) -> DataFrame:
+    """``median_abs_error`` without sorting the errors: sketches per model and *batch*, merged, and one counting pass."""
+    preds = list(preds)
+    long = df.select(batch, F.col(y).alias("_y"), *preds).unpivot([batch, "_y"], preds, "model", "_p")
+    err = long.select(batch, "model", F.abs(transform(F.col("_p")) - transform(F.col("_y"))).alias("abs_err"))
+    state = QS.merge(QS.sketch(err, "abs_err", ["model", batch], k), ["model"])
+    return QS.quantiles(err, state, "abs_err", [0.5], ["model"], ["median_abs_err"], k)
+
+
 def accuracy(df: DataFrame, y: str, p: str, keys=()) -> DataFrame:
     """Share of rows where *y* equals *p*."""
     acc = F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy")

@@ -68,20 +68,28 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), names=None) -> Da
     Rows with NULL *value* are ignored; a null key is a group.  One output row per key with one
     column per probability (``names`` or ``q<i>``) plus ``n``.
     """
+    # equal values are counted before the sort (map-side too), so a value that
+    # holds most rows is a single row of the sorted table
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    return quantiles_of_counts(counted, value, probs, keys, names)
+
+
+def quantiles_of_counts(counted: DataFrame, value: str, probs, keys=(), names=None, known: str | None = None) -> DataFrame:
+    """``exact_quantiles`` of rows (keys, *value*, ``_c``) that stand for ``_c`` equal values each.
+
+    Rows whose column *known* is false stand for values below *value* that are only counted; a quantile that falls on them is null.
+    """
     keys = list(keys)
     probs = list(probs)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    # equal values are counted before the sort (map-side too), so a value that
-    # holds most rows is a single row of the sorted table
-    counted = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-               .orderBy(*keys, value).withColumn("_rk_pid", F.spark_partition_id()))
-    tagged = materialize(counted, "counted")
+    order = [value, known] if known else [value]
+    tagged = materialize(counted.orderBy(*keys, *order).withColumn("_rk_pid", F.spark_partition_id()), "counted")
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = w.orderBy("_rk_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy(*keys, "_rk_pid").agg(F.sum("_c").alias("_s"))
                .withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0)))
                .withColumn("_n", F.sum("_s").over(w)).drop("_s"))
-    run = Window.partitionBy(*keys, "_rk_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy(*keys, "_rk_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (join_null_safe(tagged, offsets, [*keys, "_rk_pid"])
               .withColumn("_r", F.col("_off") + F.sum("_c").over(run)))  # rows up to and with this value
     pos = {}
@@ -93,10 +101,11 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), names=None) -> Da
     for lo, hi, _ in pos.values():
         need = need | holds(lo) | holds(hi)
     picked = ranked.filter(need)
+    shown = F.when(F.col(known), F.col(value)) if known else F.col(value)
     aggs = [F.max("_n").alias("n")]
     for nm, (lo, hi, frac) in pos.items():
-        aggs += [F.max(F.when(holds(lo), F.col(value))).alias(f"_{nm}_lo"),
-                 F.max(F.when(holds(hi), F.col(value))).alias(f"_{nm}_hi"),
+        aggs += [F.max(F.when(holds(lo), shown)).alias(f"_{nm}_lo"),
+                 F.max(F.when(holds(hi), shown)).alias(f"_{nm}_hi"),
                  F.max(frac).alias(f"_{nm}_f")]
     g = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     return g.select(*keys, "n", *[

@@ -17,6 +17,7 @@ from agroframe.operators import panel as P
 from agroframe.plans import pest_sql as S
 from agroframe.plans.pest import AW_CTE, FCLIM_CTES, SPLIT, panel, split_panel
 from agroframe.plans.registry import finish, query
+from agroframe.session import materialize
 
 FX = ("fx_panel",)
 MODELS = ["seas", "flat"]
@@ -76,6 +77,13 @@ def median_abs_error(spark, sf):
     return finish(M.median_abs_error(evaluated(spark, sf), "y", MODELS))
 
 
+@query("median_abs_error_sketched", "SELECT model, count(*) AS n, round(round(quantile_cont(abs((exp(p) - 1) - (exp(y) - 1)), "
+       "0.5), 9), 6) AS median_abs_err FROM lg GROUP BY model", FX, EVAL_CTES)
+def median_abs_error_sketched(spark, sf):
+    """A29 on unbounded models: a sketch per model and year, merged, and one counting pass."""
+    return finish(M.median_abs_error_sketched(materialize(evaluated(spark, sf)), "y", MODELS, batch="year", k=200))
+
+
 @query("band_accuracy", "SELECT model, round(round(avg(CASE WHEN true_band = pred_band THEN 1.0 ELSE 0.0 END), 9), 6) "
        "AS accuracy, count(*) AS n FROM bd GROUP BY model", FX, EVAL_CTES)
 def band_accuracy(spark, sf):

@@ -285,6 +285,12 @@ def band_cutoffs(spark, sf):
     return finish(B.band_cutoffs(panel(spark, sf)))
 
 
+@query("band_cutoffs_sketched", "SELECT location, pest, round(round(q1, 9), 6) AS q1, round(round(q2, 9), 6) AS q2 FROM cuts", FX, SPLIT)
+def band_cutoffs_sketched(spark, sf):
+    """A13 on unbounded series; k of 16, so that the series of the tables are bracketed and not taken whole."""
+    return finish(B.band_cutoffs_sketched(materialize(panel(spark, sf)), k=16))
+
+
 TFS_CTE = ("tfs AS (SELECT *, row_number() OVER (PARTITION BY crop, location, pest ORDER BY week_id) "
            "<= floor(count(*) OVER (PARTITION BY crop, location, pest) * 0.75) AS is_train FROM panel)")
 
