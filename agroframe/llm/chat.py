@@ -1,9 +1,9 @@
 """Chat formatting of reply trees.
 
-A tree is rows (tree, node, parent).  Iterative self-joins enumerate every
+A tree is rows (tree, node, parent, score).  Iterative self-joins follow every
 root-to-leaf path: step k joins what is known about 2^k replies to itself, so a
 tree of depth d takes about log2(d) joins.  Branches are ranked by the score
-summed along them, and each chosen path is written as one conversation.
+summed along them, and each chosen path is written out as one conversation.
 
 The template marks turns as ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside
 texts every ``<``, backslashes, ``|`` gets one more backslash, so no control
@@ -26,46 +26,74 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED_ROLE = "assistant"
 
 
-def reply_paths(nodes: DataFrame) -> DataFrame:
-    """Root-to-leaf paths of (tree, node, parent): rows (tree, leaf, up, node), ``up`` 0 at the leaf.
+def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """What repeated self-joins learn about (tree, node, parent, score) without writing any path out.
+
+    Round k joins the nodes with themselves at the node that each has reached, 2^k replies further up, and carries the
+    summed score and the number of replies along.  Returns the rounds' jumps (tree, node, far: the node
+    2^k replies up) and the ``tops``: (tree, node, up, score) of every node that has a root above it or is one,
+    with the replies and the score from there down to the node.  A tree of n nodes and depth d takes about
+    log2(d) rounds of n rows.  The join's hot keys (many replies to one node) have one row on the other side; AQE splits them.
 
-    ``node`` is unique in its tree.  A node whose parent is null or not in the
-    tree is a root.  Rows without tree or node take no part.  A chain that
-    runs into a cycle has no root and gives no path.
+    ``node`` is unique in its tree.  A node whose parent is null or not in the tree is a root.  Rows without tree or node
+    take no part.  A chain that runs into a cycle has no root.  A null score counts 0.
     """
-    nodes = nodes.select("tree", "node", "parent").where("tree is not null and node is not null")
-    known = nodes.select("tree", F.col("node").alias("parent"))
-    links = materialize(nodes.join(known, ["tree", "parent"], "left_semi").select("tree", "node", "parent"), "links")
-    leaves = nodes.join(links.select("tree", F.col("parent").alias("node")).distinct(), ["tree", "node"], "left_anti")
+    nodes = nodes.where("tree is not null and node is not null")
+    known = nodes.select("tree", F.col("node").alias("parent"), F.col("node").alias("far"))
     sizes = nodes.groupBy("tree").agg(F.count("*").alias("size"))
-    found = materialize(leaves.join(sizes, "tree").select(
-        "tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("up"), "node", "size"), "paths")
-    jump, step = links.select("tree", "node", F.col("parent").alias("far")), 1
+    at = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")) \
+        .join(known, ["tree", "parent"], "left").join(sizes, "tree") \
+        .select("tree", "node", "far", F.when(F.col("far").isNotNull(), 1).otherwise(0).cast("long").alias("up"), "score", "size")
+    rounds = []
     while True:
-        # a path has fewer steps than its tree has nodes; only a cycle would go on
-        higher = materialize(found.join(jump, ["tree", "node"]).where(F.col("up") + step < F.col("size"))
-                             .select("tree", "leaf", (F.col("up") + step).alias("up"), F.col("far").alias("node"), "size"),
-                             "paths")
-        if higher.isEmpty():
-            break
-        found = found.unionByName(higher)
-        jump = materialize(
-            jump.select("tree", "node", F.col("far").alias("mid"))
-            .join(jump.select("tree", F.col("node").alias("mid"), "far"), ["tree", "mid"]).select("tree", "node", "far"),
-            "jumps")
-        step *= 2
-    found = found.drop("size")
-    rooted = found.join(links.select("tree", "node"), ["tree", "node"], "left_anti").select("tree", "leaf")
-    return found.join(rooted, ["tree", "leaf"], "left_semi")
-
-
-def rank_branches(paths: DataFrame, scores: DataFrame, best: int = 1) -> DataFrame:
-    """The *best* paths of each tree by summed score (ties: smaller leaf): adds ``branch`` (from 1)."""
-    total = (paths.join(scores.select("tree", "node", "score"), ["tree", "node"])
-             .groupBy("tree", "leaf").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("score")))
+        at = materialize(at, "climb")
+        # a path has fewer replies than its tree has nodes; only a cycle would go on
+        if at.where("far is not null and up < size").isEmpty():
+            return rounds, at.where("far is null").select("tree", "node", "up", "score")
+        rounds.append(at.where("far is not null").select("tree", "node", "far"))
+        above = at.select("tree", F.col("node").alias("far"), F.col("far").alias("next"), F.col("up").alias("more"),
+                          F.col("score").alias("gain"))
+        at = at.join(above, ["tree", "far"], "left").select(
+            "tree", "node", F.col("next").alias("far"), (F.col("up") + F.coalesce("more", F.lit(0))).alias("up"),
+            (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"), "size")
+
+
+def _leaves(nodes: DataFrame, tops: DataFrame) -> DataFrame:
+    """The tops that nobody replies to, as (tree, leaf, score)."""
+    replied = nodes.where("tree is not null and node is not null").select("tree", F.col("parent").alias("node")).distinct()
+    return tops.join(replied, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "score")
+
+
+def _written_out(leaves: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """The paths of (tree, leaf): rows (tree, leaf, up, node), doubled from the leaf up; as many rows as the paths have nodes."""
+    found = materialize(leaves.select("tree", "leaf", F.lit(0).cast("long").alias("up"), F.col("leaf").alias("node")), "paths")
+    for k, jump in enumerate(rounds):
+        found = found.unionByName(materialize(
+            found.join(jump, ["tree", "node"])
+            .select("tree", "leaf", (F.col("up") + 2 ** k).alias("up"), F.col("far").alias("node")), "paths"))
+    return found
+
+
+def reply_paths(nodes: DataFrame) -> DataFrame:
+    """All root-to-leaf paths of (tree, node, parent), written out: rows (tree, leaf, up, node), ``up`` 0 at the leaf.
+
+    Its size is leaves x depth; ``best_paths`` writes only chosen ones.  Odd rows: see ``climb``.
+    """
+    nodes = nodes.select("tree", "node", "parent", F.lit(0.0).alias("score"))
+    rounds, tops = climb(nodes)
+    return _written_out(_leaves(nodes, tops), rounds)
+
+
+def best_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
+    """The *best* root-to-leaf paths of each tree of (tree, node, parent, score) by summed score (ties: smaller leaf).
+
+    Rows (tree, leaf, up, node, score, branch); ``score`` is the path's, ``branch`` counts from 1.  Branches are ranked
+    on one row per leaf, each task first keeping its own best ones; only then the chosen paths are written out.
+    """
+    rounds, tops = climb(nodes)
     order = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
-    chosen = total.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= best)
-    return paths.join(chosen, ["tree", "leaf"])
+    chosen = materialize(_leaves(nodes, tops).withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= best), "chosen")
+    return _written_out(chosen, rounds).join(chosen, ["tree", "leaf"])
 
 
 def escape(text: str) -> str:
@@ -175,4 +203,4 @@ def conversation_nodes(turns: DataFrame, score: Column | None = None) -> DataFra
 def format_conversations(turns: DataFrame) -> DataFrame:
     """Every conversation of a table of turns, each by its best path."""
     nodes = materialize(conversation_nodes(turns), "nodes")
-    return format_paths(rank_branches(reply_paths(nodes), nodes), nodes)
+    return format_paths(best_paths(nodes), nodes)

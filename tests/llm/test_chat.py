@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from agroframe.llm import chat
 from agroframe.llm.queries import QUERIES
+from agroframe.session import materialize
 
 PARTS = st.sampled_from(["<", "|", "\\", "im_start|>", "im_end|>", "\n", "<|im_end|>\n", "assistant", "é", " "])
 TEXT = st.lists(PARTS, max_size=8).map("".join)
@@ -63,9 +64,57 @@ def test_tree_paths_and_branches(spark):
         got.setdefault((r.tree, r.leaf), {})[r.up] = r.node
     assert got == {(1, 5): {0: 5, 1: 4, 2: 2, 3: 1}, (1, 3): {0: 3, 1: 1}, (4, 1): {0: 1},
                    (2, 99): {i: 99 - i for i in range(100)}}
-    scores = df.selectExpr("tree", "node", "if(node = 3, 10.0D, 1.0D) score")
-    ranked = chat.rank_branches(paths, scores, best=2).select("tree", "leaf", "branch", "score").distinct().collect()
+    df = df.selectExpr("*", "if(node = 3, 10.0D, 1.0D) score")
+    ranked = chat.best_paths(df, best=2).select("tree", "leaf", "branch", "score").distinct().collect()
     assert sorted(map(tuple, ranked)) == [(1, 3, 1, 11.0), (1, 5, 2, 4.0), (2, 99, 1, 109.0), (4, 1, 1, 1.0)]
     texts = df.selectExpr("tree", "node", "'user' role", "concat('n', node) text")
-    best = chat.format_paths(chat.rank_branches(paths, scores), texts).where("tree = 1").collect()
+    best = chat.format_paths(chat.best_paths(df), texts).where("tree = 1").collect()
     assert [chat.read_turns(r.formatted) for r in best] == [[("user", "n1"), ("user", "n3")]]
+
+
+def test_a_comb_is_ranked_before_it_is_written_out(spark, monkeypatch):
+    """A spine of 400 with a leaf at every node: 80,600 path rows in all, of which one path of 401 rows is written."""
+    edges = [(1, i, i - 1 if i else None, 1.0) for i in range(400)] + [(1, 1000 + i, i, 0.5 if i != 250 else 900.0) for i in range(400)]
+    df = spark.createDataFrame(edges, "tree long, node long, parent long, score double")
+    written = []
+
+    def counting(frame, name="stage"):
+        out = materialize(frame, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(chat, "materialize", counting)
+    got = {r.up: r.node for r in chat.best_paths(df).where("leaf = 1250 AND score = 1151.0 AND branch = 1").collect()}
+    assert got == {0: 1250, **{i + 1: 250 - i for i in range(251)}}
+    assert sum(written) <= 800 * 11
+
+
+def test_random_forests_against_plain_python(spark):
+    import random
+    rng = random.Random(5)
+    edges = []
+    for tree in range(30):
+        n = rng.randint(1, 40)
+        for node in range(n):
+            parent = rng.choice([None, 77, *range(node)]) if rng.random() < 0.95 else rng.randrange(n)
+            edges.append((tree, node, parent, rng.choice([None, 0.0, 1.0, 2.0])))
+    edges += [(None, 1, None, 1.0), (5, None, 1, 9.0)]
+    above = {(t, n): p for t, n, p, _ in edges}
+    score = {(t, n): s or 0.0 for t, n, _, s in edges}
+    replied = {(t, p) for t, n, p, _ in edges if n is not None}
+    want = {}
+    for t, n in above:
+        if t is None or n is None or (t, n) in replied:
+            continue
+        path = [n]
+        while above[t, path[-1]] is not None and (t, above[t, path[-1]]) in above and len(path) <= 50:
+            path.append(above[t, path[-1]])
+        if len(path) <= 50:
+            want.setdefault(t, []).append((-sum(score[t, x] for x in path), n, path))
+    rows = spark.createDataFrame(edges, "tree long, node long, parent long, score double")
+    got = {}
+    for r in chat.best_paths(rows, best=3).collect():
+        got.setdefault((r.tree, r.branch), []).append((r.up, r.node, r.score))
+    assert {k: [n for _, n, _ in sorted(v)] for k, v in got.items()} == \
+        {(t, i + 1): p[2] for t, ps in want.items() for i, p in enumerate(sorted(ps)[:3])}
+    assert {k: v[0][2] for k, v in got.items()} == {(t, i + 1): -p[0] for t, ps in want.items() for i, p in enumerate(sorted(ps)[:3])}
