@@ -50,6 +50,55 @@ def test_a_batch_that_broke_off_is_not_counted(spark, tmpdir_path, monkeypatch):
     assert store.apply("load", rows) and totals(store) == {("a", "en", "v1"): (1, 10)}
 
 
+def test_two_writers_of_one_batch_count_once(spark, tmpdir_path, monkeypatch):
+    """The second writer commits between the first one's check and its commit, before and after a compaction."""
+    slow, quick = (Rollup(spark, f"{tmpdir_path}/r") for _ in range(2))
+    rows = feed(spark, [("a", "en", "v1", None, 10)])
+    commit = slow._commit
+
+    def overtaken(wanted, compact=False):
+        assert quick.apply(wanted[0][0], rows)
+        if compact:
+            quick.compact()
+            quick.vacuum()
+        commit(wanted)
+
+    monkeypatch.setattr(slow, "_commit", overtaken)
+    assert slow.apply("load", rows) and totals(slow) == totals(quick) == {("a", "en", "v1"): (1, 10)}
+    monkeypatch.setattr(slow, "_commit", lambda wanted: overtaken(wanted, compact=True))
+    assert slow.apply("more", rows) and totals(slow) == totals(quick) == {("a", "en", "v1"): (2, 20)}
+    assert not quick.apply("more", rows) and quick.committed() == {"load", "more"}
+
+
+def test_a_batch_committed_during_compaction_counts_once(spark, tmpdir_path, monkeypatch):
+    store, other = (Rollup(spark, f"{tmpdir_path}/r") for _ in range(2))
+    store.apply("one", feed(spark, [("a", "en", "v1", None, 10)]))
+    sums = store._totals
+
+    def meanwhile(now):
+        other.apply("two", feed(spark, [("a", "en", "v1", None, 5)]))
+        return sums(now)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_totals", meanwhile)
+        store.compact()
+    assert totals(store) == {("a", "en", "v1"): (2, 15)}
+
+
+def test_the_log_shrinks(spark, tmpdir_path):
+    store = Rollup(spark, f"{tmpdir_path}/r")
+    assert store.vacuum() == 0
+    for i in range(4):
+        store.apply(f"b{i}", feed(spark, [("a", "en", "v1", None, 1)]))
+    assert store.vacuum() == 0
+    store.compact()
+    store.apply("late", feed(spark, [("a", "en", "v1", None, 1)]))
+    assert store.vacuum() == 4 and len(store._snapshot().files) == 1
+    store.compact()
+    assert store.vacuum() == 1 and store.vacuum() == 0
+    assert totals(store) == {("a", "en", "v1"): (5, 5)} and not any(store.apply(b, None) for b in ["b0", "b3", "late"])
+
+
 def test_query_matches_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_CHECK}/documents.parquet'")
