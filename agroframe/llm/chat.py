@@ -12,6 +12,7 @@ string can appear there, and taking one away restores the text.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     Round k joins the nodes with themselves at the node that each has reached, 2^k replies further up, and carries the
     summed score and the number of replies along.  Returns the rounds' jumps (tree, node, far: the node
     2^k replies up) and the ``tops``: (tree, node, up, score) of every node that has a root above it or is one,
-    with the replies and the score from there down to the node.  A tree of n nodes and depth d takes about
-    log2(d) rounds of n rows.  The join's hot keys (many replies to one node) have one row on the other side; AQE splits them.
+    with the replies and the score from there down to the node.  A node leaves the rounds once it has met its root,
+    so round k handles the nodes at least 2^k replies deep.  The join's hot keys (many replies to one node) have one row on the other side; AQE splits them.
 
     ``node`` is unique in its tree.  A node whose parent is null or not in the tree is a root.  Rows without tree or node
     take no part.  A chain that runs into a cycle has no root.  A null score counts 0.
@@ -44,18 +45,24 @@ def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     at = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")) \
         .join(known, ["tree", "parent"], "left").join(sizes, "tree") \
         .select("tree", "node", "far", F.when(F.col("far").isNotNull(), 1).otherwise(0).cast("long").alias("up"), "score", "size")
-    rounds = []
+    rounds, tops = [], []
     while True:
         at = materialize(at, "climb")
+        tops.append(at.where("far is null"))
         # a path has fewer replies than its tree has nodes; only a cycle would go on
-        if at.where("far is not null and up < size").isEmpty():
-            return rounds, at.where("far is null").select("tree", "node", "up", "score")
-        rounds.append(at.where("far is not null").select("tree", "node", "far"))
-        above = at.select("tree", F.col("node").alias("far"), F.col("far").alias("next"), F.col("up").alias("more"),
-                          F.col("score").alias("gain"))
-        at = at.join(above, ["tree", "far"], "left").select(
-            "tree", "node", F.col("next").alias("far"), (F.col("up") + F.coalesce("more", F.lit(0))).alias("up"),
-            (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"), "size")
+        open_ = at.where("far is not null and up < size")
+        if open_.isEmpty():
+            return rounds, _union(tops).select("tree", "node", "up", "score")
+        rounds.append(open_.select("tree", "node", "far"))
+        above = _union([*tops, open_]).select("tree", F.col("node").alias("far"), F.col("far").alias("next"),
+                                              F.col("up").alias("more"), F.col("score").alias("gain"))
+        at = open_.join(above, ["tree", "far"]).select(
+            "tree", "node", F.col("next").alias("far"), (F.col("up") + F.col("more")).alias("up"),
+            (F.col("score") + F.col("gain")).alias("score"), "size")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _leaves(nodes: DataFrame, tops: DataFrame) -> DataFrame:
