@@ -146,9 +146,13 @@ def feature_panel(clean: DataFrame, min_obs: int = MIN_OBS, gate: str = "maxt_c_
     of the three branches scans only its own columns of the raw panel and sends
     only partial aggregates over the network; nothing is written in between.
     """
-    feats = weather_features(weekly_weather(clean))
-    tgt = weekly_target(clean, by_crop)
     viable = viable_series(clean, min_obs).select(*SERIES)
+    return pooled(viable, weekly_target(clean, by_crop), weekly_weather(clean), gate, by_crop)
+
+
+def pooled(viable: DataFrame, tgt: DataFrame, wx: DataFrame, gate: str = "maxt_c_roll4", by_crop: bool = False) -> DataFrame:
+    """The feature panel of viable series, weekly target and weekly weather, computed or stored (``panel_store``)."""
+    feats = weather_features(wx)
     on = ["crop", "location", "pest"] if by_crop else ["location", "pest"]
     panel = (viable.join(tgt, on=on, how="inner")
              .join(feats, on=["location", "week_id"], how="inner")

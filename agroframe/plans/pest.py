@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from agroframe.plans import pest_sql as S
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
 from agroframe.sources import files as FS
+from agroframe.sources import panel_store as PS
 from agroframe.streaming.live import scratch_path
 
 FX = ("fx_panel",)
@@ -162,6 +165,14 @@ def feature_panel_view(spark, sf):
     return finish(view.panel(min_obs=S.MIN_OBS_Q))
 
 
+@query("feature_panel_stored", PANEL_SQL, FX, PANEL)
+def feature_panel_stored(spark, sf):
+    """S4 + J1: the weekly tables stored by location, the panel read from them without an Exchange."""
+    name = f"weekly_{uuid.uuid4().hex}"
+    PS.write(materialize(clean(spark, sf)), name, scratch_path(spark, name), buckets=16)
+    return finish(PS.feature_panel(spark, name, S.MIN_OBS_Q))
+
+
 # ---------------------------------------------------------------- series statistics
 STATS_SQL = ("SELECT crop, location, pest, count(*) AS n_obs, "
              "cast(sum(CASE WHEN pest_value > 0 THEN 1 ELSE 0 END) AS bigint) AS n_present, "
