@@ -20,6 +20,28 @@ def few_or_shuffled(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+HOT_ROWS = 2048  # rows of one key from which on a key is dealt over several tasks
+SALTS = 32
+
+
+def hot_keys(sizes: DataFrame, key: str, size: str = "size") -> DataFrame:
+    """The keys (``hot``) of *sizes* (written, one row a key) with so many rows that one task should not take them all.
+
+    Fewer than ``BROADCAST_ROWS`` keys, whatever the input: the limit is at least that part of all rows.
+    """
+    rows = sizes.agg(F.sum(size)).first()[0] or 0
+    return sizes.where(F.col(size) > max(HOT_ROWS, rows // max(BROADCAST_ROWS, 1))).select(key, F.lit(True).alias("hot"))
+
+
+def join_dealt(rows: DataFrame, other: DataFrame, key: str, hot: DataFrame, by: str) -> DataFrame:
+    """*rows* joined with *other* (one row a key) on *key*; the rows of *hot* keys are dealt by *by* over ``SALTS`` tasks."""
+    marked = lambda df: df.join(F.broadcast(hot), key, "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return (marked(rows).withColumn("salt", salt).drop("hot")
+            .join(marked(other).withColumn("salt", F.explode(every)).drop("hot"), [key, "salt"]).drop("salt"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

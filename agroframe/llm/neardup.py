@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.llm.common import few_or_shuffled, mix64, shingle_set, small_batches, worker_cache
+from agroframe.llm.common import few_or_shuffled, hot_keys, join_dealt, mix64, shingle_set, small_batches, worker_cache
 from agroframe.llm.graph import connected_components
 from agroframe.operators.ranking import rank_within
 from agroframe.session import materialize
@@ -139,13 +139,16 @@ def _bucket_rows(classes: DataFrame, n_bands: int, width: int) -> DataFrame:
     return classes.select("id", "regs").mapInArrow(rows, "bucket long, band int, id long")
 
 
+def _hot_hubs(pairs: DataFrame) -> DataFrame:
+    """The ids ``a`` that stand in very many of *pairs* (a, b); every b stands in few."""
+    return hot_keys(materialize(pairs.groupBy("a").agg(F.count("*").alias("size")), "hub-sizes"), "a")
+
+
 def _promising(pairs: DataFrame, classes: DataFrame, threshold: float, m: int) -> DataFrame:
     """Pairs (a, b) whose estimate allows the threshold."""
     floor = floor_of(threshold, m)
-    sides = pairs
-    for side in ("a", "b"):
-        sides = sides.join(classes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"),
-                                          F.col("regs").alias(f"regs_{side}")), side)
+    side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
+    sides = join_dealt(pairs, side("a"), "a", _hot_hubs(pairs), by="b").join(side("b"), "b")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,8 +170,8 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
                       .distinct(), "pair-ids")
     texts = materialize(docs.select("doc_id", "text").join(few_or_shuffled(ids), "doc_id", "left_semi")
                         .dropDuplicates(["doc_id", "text"]), "pair-texts")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
+    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
+    both = join_dealt(pairs.join(side("b"), "b"), side("a"), "a", _hot_hubs(pairs), by="b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None  # after the join, rows of one document follow each other
@@ -211,9 +214,9 @@ def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Dat
     floor = floor_of(threshold, m)
     rest = (members.where("size > 2 and id <> hub").join(labels.withColumnRenamed("component", "c"), "id", "left")
             .withColumn("component", F.coalesce("c", "id")).drop("c", "hub"))
-    mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo < hi").select("bucket")
-    rest = materialize(rest.join(mixed, "bucket"), "mixed")
+    mixed = materialize(rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                   F.count("*").alias("rows")).where("lo < hi"), "mixed-buckets")
+    rest = materialize(join_dealt(rest, mixed.select("bucket"), "bucket", hot_keys(mixed, "bucket", "rows"), by="id"), "mixed")
     ids = materialize(rest.select(F.col("id").alias("doc_id")).distinct(), "mixed-ids")
     held = classes.select("id", "digest", "n", "regs").join(_full_sets(ids, docs, k), ["id", "digest"]).drop("digest")
     held = materialize(held, "mixed-sets")
@@ -288,9 +291,9 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, m: int = REGISTERS) -
                           .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")),
                           "classes")
     rows = _bucket_rows(classes, n_bands, width)
-    shared = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = materialize(rows.join(shared, "bucket"), "members")
-    stars = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    shared = materialize(rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1"), "buckets")
+    members = materialize(join_dealt(rows, shared, "bucket", hot_keys(shared, "bucket"), by="id"), "members")
+    stars = materialize(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "stars")
     stars = materialize(_promising(stars, classes, threshold, m), "pairs")
     links = materialize(verified(stars, docs, k, percent), "links")
     labels = materialize(connected_components(links), "labels")

@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pytest
 from conftest import SF_CHECK
+from pyspark.sql import functions as F
 
 from agroframe.llm import neardup as N
-from agroframe.llm.common import shingle_set
+from agroframe.llm.common import hot_keys, join_dealt, shingle_set
 from agroframe.llm.graph import connected_components
 from agroframe.llm.queries import QUERIES
 
@@ -81,10 +82,26 @@ def test_hot_group(spark, monkeypatch, k, percent):
     rng.shuffle(rows)
     monkeypatch.setattr(N, "BLOCK", 64)
     monkeypatch.setattr("agroframe.llm.common.BROADCAST_ROWS", 0 if k == 5 else 10**6)  # joined by a shuffle, by broadcast
+    if k == 3:
+        monkeypatch.setattr("agroframe.llm.common.HOT_ROWS", 20)  # hot buckets and hubs are dealt over tasks
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, digest string, size int")
     assert got(N.groups(df, k, percent)) == brute(rows, k, percent)
 
 
+def test_rows_of_a_hot_key_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr("agroframe.llm.common.HOT_ROWS", 100)
+    rows = spark.range(5000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("key"), "id").repartition(16, "key")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"))
+    hot = hot_keys(sizes, "key")
+    assert [r.key for r in hot.collect()] == [7]
+    out = join_dealt(rows, sizes.select("key", F.col("size").alias("n")), "key", hot, by="id")
+    assert out.columns == ["key", "id", "n"]
+    assert sorted((r.key, r.id, r.n) for r in out.collect()) == sorted(
+        [(7, i, 3000) for i in range(3000)] + [(i, i, 1) for i in range(3000, 5000)])
+    assert "salt" in out._jdf.queryExecution().toString()
+    assert hot_keys(sizes.limit(0), "key").isEmpty()
+
+
 def test_odd_rows(spark):
     rows = [(None, "q w e r t y"), (None, None), (3, "q w e r t y"), (3, "q w e r t y"), (1, None), (2, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
