@@ -15,12 +15,17 @@ holds as a table); rows of those ids no longer count, and ``vacuum`` deletes the
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from agroframe.llm.common import small_batches
+from agroframe.llm.tokens import TokenizerFile, encode_in_chunks
+
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 COMMIT, BASE = "batch string, folder string", "generation long, folder string"
@@ -144,6 +149,41 @@ def change(rows: DataFrame, tokenizer: str, old, new) -> DataFrame:
                        count(new).alias("new_tokens"))
 
 
+def revisions(before: DataFrame | None, after: DataFrame | None) -> DataFrame:
+    """Changes that turn the documents of *before* into those of *after* (each: source, lang, tokenizer, tokens).
+
+    What *before* counted is taken back and what *after* counts is added; documents in both cancel out in the sums,
+    those whose text, source, lang or tokenizer changed move, so no document needs to meet its other state.  None is
+    an empty state; null tokens are absent.
+    """
+    if before is None and after is None:
+        raise ValueError("one state is needed")
+    none = F.lit(None).cast("long")
+    sides = [df.select("source", "lang", "tokenizer", old.alias("old_tokens"), new.alias("new_tokens"))
+             for df, old, new in ((before, F.col("tokens"), none), (after, none, F.col("tokens"))) if df is not None]
+    return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+
+
+def tokenizer_counts(docs: DataFrame, files: dict[str, TokenizerFile], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, source, lang, tokenizer and tokens: the number of ids of every whole text by each of *files* (name: file).
+
+    A null or empty text has 0 tokens; every row counts, also where ids repeat or are null; null source and lang stay
+    null; an empty table gives no rows; other columns are ignored.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in small_batches([batch]):
+                texts = part.column(3).to_pylist()
+                for name, file in files.items():
+                    n = pa.array([len(ids) // 4 for ids in encode_in_chunks(file, texts)], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([name] * len(texts), pa.string()), n],
+                                                     names=["doc_id", "source", "lang", "tokenizer", "tokens"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                       F.col("lang").cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, source string, lang string, tokenizer string, tokens long")
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """doc_id, source, lang, a text digest, and three counts of the whole text.
 

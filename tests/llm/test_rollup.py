@@ -1,9 +1,13 @@
 import duckdb
+import public_tokenizers
 import pytest
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMALL
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from agroframe.llm.queries import ORACLES, QUERIES
-from agroframe.llm.rollup import Rollup
+from agroframe.llm.rollup import Rollup, revisions, tokenizer_counts
+from agroframe.llm.tokens import byte_bpe, word_bpe
 
 FEED = "source string, lang string, tokenizer string, old_tokens long, new_tokens long"
 
@@ -105,3 +109,31 @@ def test_query_matches_sql(spark):
     order = "source, lang, tokenizer, docs, tokens"
     want = con.sql(f"SELECT {order} FROM ({ORACLES['op5_token_rollup']}) ORDER BY ALL").fetchall()
     assert sorted(map(tuple, QUERIES["op5_token_rollup"](spark, SF_CHECK).select(*order.split(", ")).collect())) == want
+
+
+def test_counts_of_tokenizer_files_and_revised_documents(spark, tmpdir_path):
+    """Totals of two tokenizers after edits, moves, deletes and inserts equal SQL over the stored counts."""
+    files = {"byte": byte_bpe(50_000), "word": word_bpe(50_000)}
+    odd = spark.createDataFrame([(None, None, "en", None), (-1, "x", None, ""), (-1, "x", None, "a <|endoftext|> b")],
+                                "doc_id long, source string, lang string, text string")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "source", "lang", "text").unionByName(odd)
+    edited = (docs.where("doc_id is null or doc_id % 7 <> 3")
+              .withColumn("text", F.when(F.col("doc_id") % 5 == 1, F.concat("text", F.lit(" and more"))).otherwise(F.col("text")))
+              .withColumn("lang", F.when(F.col("doc_id") % 11 == 2, "xx").otherwise(F.col("lang"))))
+    for name, df in (("before", docs), ("after", edited)):
+        tokenizer_counts(df.withColumn("tokens", F.lit("x")), files).write.parquet(f"{tmpdir_path}/{name}")
+    before, after = (spark.read.parquet(f"{tmpdir_path}/{n}") for n in ("before", "after"))
+    plain = {"byte": Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")),
+             "word": Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))}
+    want = sorted((str(r.doc_id), name, len(t.encode(r.text or "", add_special_tokens=False).ids))
+                  for r in docs.collect() for name, t in plain.items())
+    assert sorted((str(r.doc_id), r.tokenizer, r.tokens) for r in before.collect()) == want
+    store = Rollup(spark, f"{tmpdir_path}/store")
+    for batch, changes, state in (("load", revisions(None, before), "before"), ("edit", revisions(before, after), "after"),
+                                  ("edit", revisions(before, after), "after")):
+        store.apply(batch, changes)
+        sql = f"SELECT source, lang, tokenizer, count(*), sum(tokens) FROM '{tmpdir_path}/{state}/*.parquet' GROUP BY ALL"
+        assert totals(store) == {r[:3]: r[3:] for r in duckdb.sql(sql).fetchall()}
+    store.apply("clear", revisions(after, None))
+    assert totals(store) == {}
+    assert tokenizer_counts(docs.limit(0), files).isEmpty()
