@@ -178,10 +178,14 @@ def image_manifest(spark, sf):
     return manifest(spark, sf)
 
 
+ARCHIVE_IMAGES = 25_000  # images (and label files) of one written archive, which one task packs
+
+
 def written_archives(spark, sf, parts: int = 16) -> str:
-    """The images and label files of the fixtures as zip archives in the shared folder; returns their glob."""
+    """The images and label files of the fixtures as zip archives, at least *parts*, in the shared folder; returns their glob."""
     stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
     images = fx(spark, sf, "fx_images")
+    parts = max(parts, -(-images.count() // ARCHIVE_IMAGES))
     text = (fx(spark, sf, "fx_box_lines").groupBy("image_id")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda r: r["line"]), "\n").alias("text")))
     labels = images.join(text, "image_id").select("image_id", F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt"))).alias("name"),

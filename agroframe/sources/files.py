@@ -110,7 +110,8 @@ def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
     """One row per file inside each zip archive (directories skipped), with its place there.
 
     Only an archive's directory is read, by byte ranges and piece by piece, so archives and
-    their directories may be of any size; archives are dealt over tasks one by one.
+    their directories may be of any size; archives are dealt over tasks one by one.  The rows
+    are written once: a plan sees how many they are, not how few archives they come from.
     """
     files = spark.read.format("binaryFile").load(glob).select("path", "length")  # the content is not read
 
@@ -124,7 +125,7 @@ def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
                         yield pd.DataFrame(rows, columns=names)
 
     names = [c.split()[0] for c in ENTRY_SCHEMA.split(", ")]
-    return files.repartition(_tasks(spark), "path").mapInPandas(entries, ENTRY_SCHEMA)
+    return materialize(files.repartition(_tasks(spark), "path").mapInPandas(entries, ENTRY_SCHEMA), "entries")
 
 
 def _tasks(spark: SparkSession) -> int:
@@ -132,11 +133,7 @@ def _tasks(spark: SparkSession) -> int:
 
 
 def _packed(entries: DataFrame) -> DataFrame:
-    """*entries* dealt over tasks by the bytes to unpack: those of one stretch of an archive lie together, in order.
-
-    The rows are written first, as their bytes are counted before they are dealt.
-    """
-    entries = materialize(entries, "entries")
+    """*entries* (of ``archive_entries``) dealt over tasks by the bytes to unpack: those of one stretch of an archive lie together, in order."""
     total = entries.agg(F.sum("compressed").alias("b"), F.count("*").alias("n")).first()
     tasks = max(1, -(-(total.b or 0) // PACK_BYTES), min(_tasks(entries.sparkSession), total.n))
     stretch = F.floor(F.col("offset") / min(PACK_BYTES, max(1, (total.b or 0) // tasks)))
@@ -174,8 +171,11 @@ def archive_contents(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
     return _packed(wanted).mapInPandas(contents, "archive string, name string, content binary")
 
 
-def archive_lines(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
-    """(archive, path, line_no, line) of every text entry that matches *pattern*, streamed: no entry is held whole."""
+def archive_lines(spark: SparkSession, glob: str, pattern: str, entries: DataFrame | None = None) -> DataFrame:
+    """(archive, path, line_no, line) of every text entry that matches *pattern*, streamed: no entry is held whole.
+
+    *entries* are the archives' ``archive_entries`` where they are known already.
+    """
     def lines(batches):
         held = []
         for r, f in _opened(batches):
@@ -187,7 +187,8 @@ def archive_lines(spark: SparkSession, glob: str, pattern: str) -> DataFrame:
         yield pd.DataFrame(held, columns=names)
 
     names = ["archive", "path", "line_no", "line"]
-    wanted = archive_entries(spark, glob).where(F.col("name").rlike(pattern))
+    found = archive_entries(spark, glob) if entries is None else entries
+    wanted = found.where(F.col("name").rlike(pattern))
     return _packed(wanted).mapInPandas(lines, "archive string, path string, line_no int, line string")
 
 
@@ -208,9 +209,9 @@ def _labelled(lines: DataFrame) -> DataFrame:
 LABEL_ENTRY = r"(^|/)labels/[^/]*\.txt$"
 
 
-def archive_label_lines(spark: SparkSession, glob: str) -> DataFrame:
+def archive_label_lines(spark: SparkSession, glob: str, entries: DataFrame | None = None) -> DataFrame:
     """S6 on archives: the lines of every ``labels/*.txt`` entry, as ``label_lines`` gives them."""
-    return _labelled(archive_lines(spark, glob, LABEL_ENTRY))
+    return _labelled(archive_lines(spark, glob, LABEL_ENTRY, entries))
 
 
 def label_lines(spark: SparkSession, glob: str) -> DataFrame:
@@ -246,9 +247,9 @@ def manifest_from_archives(spark: SparkSession, glob: str, classes: DataFrame) -
     from agroframe.operators.catalogue import build_manifest, majority_class
 
     key = F.concat_ws("/", "split", "stem")
-    images = archive_entries(spark, glob).select(F.col("name").alias("path"))
-    images = _image_paths(images).select(key.alias("image_id"), "split", "file_name")
-    lines = archive_label_lines(spark, glob).select(key.alias("image_id"), "line_no", "line")
+    entries = archive_entries(spark, glob)
+    images = _image_paths(entries.select(F.col("name").alias("path"))).select(key.alias("image_id"), "split", "file_name")
+    lines = archive_label_lines(spark, glob, entries).select(key.alias("image_id"), "line_no", "line")
     return build_manifest(images, majority_class(lines), classes)
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import random
 import struct
@@ -133,3 +134,36 @@ def test_jpeg_headers(tmpdir_path):
             assert R.image_header(f, len(data)) == (640, 480, 3)
     with R.open_file(f"{tmpdir_path}/x.jpg") as f:
         assert R.image_header(f, 40_000) is None  # cut short
+
+
+def test_few_archives_of_many_entries_are_not_broadcast(spark, tmpdir_path):
+    """A plan must not take the entries for as few as the archives that they come from."""
+    with zipfile.ZipFile(f"{tmpdir_path}/a.zip", "w") as z:
+        for k in range(3000):
+            name = hashlib.sha512(str(k).encode()).hexdigest()
+            z.writestr(f"train/images/{name}.jpg", b"")
+            z.writestr(f"train/labels/{name}.txt", b"1 0.5 0.5 0.1 0.1\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50k")  # far less than the 3000 paths, more than one row a file
+    try:
+        classes = spark.createDataFrame([(1, "crop_rust")], "class_id int, class_name string")
+        found = FS.manifest_from_archives(spark, f"{tmpdir_path}/*.zip", classes)
+        assert len(found.collect()) == 3000
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin [image_id" in x]
+
+
+def test_archives_grow_in_number_with_the_images(spark, tmpdir_path, monkeypatch):
+    from agroframe.plans import catalogue as PC
+
+    for name, schema, rows in (
+            ("orders", "o_orderkey long, o_custkey long", [(k, k) for k in range(400)]),
+            ("lineitem", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date",
+             [(k, 1, 1, 1, 1.0, 1.0, None) for k in range(400)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    monkeypatch.setattr(PC, "ARCHIVE_IMAGES", 10, raising=False)
+    entries = FS.archive_entries(spark, PC.written_archives(spark, tmpdir_path))
+    sizes = [r["count"] for r in entries.groupBy("archive").count().collect()]
+    assert sum(sizes) == 800 and len(sizes) > 30 and max(sizes) < 80
