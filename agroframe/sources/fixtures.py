@@ -193,6 +193,29 @@ def spark_table_ref(sf_dir: str):
     return lambda t: f"parquet.`{os.path.join(root, t + '.parquet')}`"
 
 
+TASK_ROWS = 250_000  # of order lines in one task of a join and window by order
+# fixture -> tables that it joins by one key, and this key
+BY_KEY = {"fx_box_lines": {"orders": "o_orderkey", "lineitem": "l_orderkey"}}
+
+
+def line_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Number of tasks for the order lines by their count; None if one task's share holds them several times over.
+
+    Adaptive execution sizes tasks by compressed bytes, and a line is few of them: 64 MB are two million
+    lines, which take a gigabyte in the sorts and maps of one task.
+    """
+    rows = spark.read.parquet(os.path.join(sf_dir.rstrip("/"), "lineitem.parquet")).count()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)) if rows > 4 * TASK_ROWS else None
+
+
+def dealt_table_ref(spark: SparkSession, sf_dir: str, names):
+    """``spark_table_ref``, with the tables of ``BY_KEY`` fixtures dealt by their key to ``line_tasks`` tasks."""
+    plain = spark_table_ref(sf_dir)
+    keys = {t: k for n in _closure(names) for t, k in BY_KEY.get(n, {}).items()}
+    n = line_tasks(spark, sf_dir) if keys else None
+    return lambda t: f"(SELECT /*+ REPARTITION({n}, {keys[t]}) */ * FROM {plain(t)})" if n and t in keys else plain(t)
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of fixture *name* over the tables in *sf_dir*."""
-    return spark.sql(with_clause([name], spark_table_ref(sf_dir)) + f"SELECT * FROM {name}")
+    return spark.sql(with_clause([name], dealt_table_ref(spark, sf_dir, [name])) + f"SELECT * FROM {name}")

@@ -82,3 +82,24 @@ def test_drop_materialized(spark, monkeypatch):
     assert t.count() == 5 and session.drop_materialized(spark) == 1 and session.drop_materialized(spark) == 0
     with pytest.raises(Exception):
         spark.read.parquet(t.inputFiles()[0]).count()
+
+
+def test_order_lines_are_dealt_by_rows_not_by_compressed_bytes(spark, tmpdir_path, monkeypatch):
+    """Thousands of lines are few bytes: adaptive execution would give them to one task."""
+    from agroframe.plans import catalogue as PC
+    from agroframe.sources import fixtures as FX
+
+    spark.range(2000).selectExpr("id AS o_orderkey", "id % 90 AS o_custkey").write.parquet(f"{tmpdir_path}/orders.parquet")
+    (spark.range(6000).selectExpr("id % 2001 AS l_orderkey", "cast(id AS int) AS l_linenumber", "id AS l_partkey", "id % 70 AS l_suppkey",
+                                  "1.0D AS l_extendedprice", "1.0D AS l_quantity", "cast(NULL AS date) AS l_shipdate")
+     .unionByName(spark.range(1).selectExpr("cast(NULL AS long) AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id AS l_suppkey",
+                                            "1.0D AS l_extendedprice", "1.0D AS l_quantity", "cast(NULL AS date) AS l_shipdate"))
+     .write.parquet(f"{tmpdir_path}/lineitem.parquet"))
+    plain = FX.fixture(spark, tmpdir_path, "fx_box_lines").collect()
+    few = PC.majority_class(spark, tmpdir_path).collect()
+    monkeypatch.setattr(FX, "TASK_ROWS", 100, raising=False)
+    lines, most = FX.fixture(spark, tmpdir_path, "fx_box_lines"), PC.majority_class(spark, tmpdir_path)
+    assert sorted(lines.collect()) == sorted(plain) and sorted(most.collect()) == sorted(few)
+    for df in (lines, most):
+        sizes = [len(part) for part in df.rdd.glom().collect()]
+        assert len(sizes) >= 60 and max(sizes) < 400
