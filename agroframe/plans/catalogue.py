@@ -15,6 +15,7 @@ from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
 from agroframe.session import materialize
 from agroframe.sources import files as FS
+from agroframe.sources.fixtures import line_tasks
 from agroframe.sources.ranges import write_file
 from agroframe.streaming.live import scratch_path
 
@@ -221,7 +222,8 @@ def label_file_lines(spark, sf):
     rows = fx(spark, sf, "fx_images").select("image_id", "split", source_key("file_name").alias("source")) \
         .join(fx(spark, sf, "fx_box_lines"), "image_id")
     root = scratch_path(spark, "label-files")
-    (rows.repartition("split", "source").sortWithinPartitions("split", "source", "image_id", "line_no")
+    tasks = line_tasks(spark, sf)
+    (rows.repartition(*([tasks] if tasks else []), "split", "source").sortWithinPartitions("split", "source", "image_id", "line_no")
      .select("split", "source", "line").write.partitionBy("split", "source").text(root))
     lines = FS.label_lines(spark, f"{root}/*/*/*.txt")
     part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)

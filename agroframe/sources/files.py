@@ -214,6 +214,9 @@ def archive_label_lines(spark: SparkSession, glob: str, entries: DataFrame | Non
     return _labelled(archive_lines(spark, glob, LABEL_ENTRY, entries))
 
 
+SORT_BYTES = 4 << 20  # of label text that one task sorts
+
+
 def label_lines(spark: SparkSession, glob: str) -> DataFrame:
     """One row per non-blank line of every label text file.
 
@@ -223,11 +226,13 @@ def label_lines(spark: SparkSession, glob: str) -> DataFrame:
     (split start in the file, position in the split), ranked per file with
     the skew-safe ``rank_within``.
     """
+    size = spark.read.format("binaryFile").load(glob).agg(F.sum("length")).first()[0] or 0  # the listing; no content is read
+    tasks = max(_tasks(spark), -(-size // SORT_BYTES)) if size > 4 * SORT_BYTES else None
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))  # a plus is no blank in a path
     raw = spark.read.text(glob).select(
         F.url_decode(encoded).alias("path"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_pos"), F.col("value").alias("line"))
-    lines = rank_within(raw, ["path"], ["_start", "_pos"], out="line_no").withColumn(
+    lines = rank_within(raw, ["path"], ["_start", "_pos"], out="line_no", tasks=tasks).withColumn(
         "line_no", F.col("line_no").cast("int"))
     return _labelled(lines)
 

@@ -1,5 +1,7 @@
 """Hot keys: one group of copies holds a third of all rows, one class most groups."""
 
+import os
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -103,3 +105,36 @@ def test_order_lines_are_dealt_by_rows_not_by_compressed_bytes(spark, tmpdir_pat
     for df in (lines, most):
         sizes = [len(part) for part in df.rdd.glom().collect()]
         assert len(sizes) >= 60 and max(sizes) < 400
+
+
+def test_label_lines_are_sorted_by_many_tasks(spark, tmpdir_path, monkeypatch):
+    """Short lines compress to next to nothing, and still no task sorts them all."""
+    from agroframe.operators import ranking as RK
+    from agroframe.sources import files as FS
+
+    os.makedirs(f"{tmpdir_path}/train/labels")
+    for name, n in (("a", 9000), ("b", 3), ("c", 1000)):
+        with open(f"{tmpdir_path}/train/labels/{name}.txt", "w") as f:
+            f.writelines(f"{i % 7} 0.5 0.5\n" for i in range(n))
+    monkeypatch.setattr(FS, "SORT_BYTES", 2000, raising=False)
+    sorts, keep = [], RK.materialize
+    monkeypatch.setattr(RK, "materialize", lambda df, name="stage": sorts.append(keep(df, name)) or sorts[-1])
+    got = sorted((r.stem, r.line_no, r.line) for r in FS.label_lines(spark, f"{tmpdir_path}/*/labels/*.txt").collect())
+    assert got == sorted((name, i + 1, f"{i % 7} 0.5 0.5") for name, n in (("a", 9000), ("b", 3), ("c", 1000)) for i in range(n))
+    most = sorts[0].groupBy("_rk_pid").count().agg({"count": "max"}).first()[0]
+    assert most < 1000
+
+
+def test_written_label_files_are_dealt_by_rows(spark, tmpdir_path, monkeypatch):
+    from agroframe.plans import catalogue as PC
+    from agroframe.sources import fixtures as FX
+
+    (spark.range(60).selectExpr("id AS o_orderkey", "id % 9 AS o_custkey").unionByName(spark.range(1).selectExpr("id AS o_orderkey", "id AS o_custkey"))
+     .write.parquet(f"{tmpdir_path}/orders.parquet"))
+    (spark.range(500).selectExpr("id % 61 AS l_orderkey", "cast(id AS int) AS l_linenumber", "id AS l_partkey", "id % 70 AS l_suppkey",
+                                 "1.0D AS l_extendedprice", "1.0D AS l_quantity", "cast(NULL AS date) AS l_shipdate")
+     .write.parquet(f"{tmpdir_path}/lineitem.parquet"))
+    rows = lambda: sorted(map(tuple, PC.label_file_lines(spark, tmpdir_path).collect()))
+    want = rows()
+    monkeypatch.setattr(FX, "TASK_ROWS", 10, raising=False)
+    assert rows() == want and len(want) > 500
