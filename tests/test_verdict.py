@@ -4,9 +4,10 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 
 from agroframe.streaming.live import run_available_now
-from agroframe.streaming.verdict import device_verdicts, latest_verdicts, rocksdb_state
+from agroframe.streaming.verdict import DeviceVerdict, device_verdicts, latest_verdicts, rocksdb_state
 
 RULES = {"t": (10.0, 20.0), "h": (30.0, 60.0)}
 SCHEMA = "device_id long, ts timestamp, event_id long, variable string, value double"
@@ -79,3 +80,28 @@ def test_a_silent_device_is_reported_and_forgotten(spark, tmpdir_path):
         assert (3, 1, "At risk") in wait("At risk")  # the humidity before the silence is forgotten
     finally:
         q.stop()
+
+
+def test_one_read_and_one_write_of_state_for_a_device_and_batch():
+    """Calls to the state store are round trips to another process: they must not grow with the variables."""
+    class Handle:
+        calls, held = 0, None
+
+        def getValueState(self, *_, **__):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def update(self, value):
+            self.calls, self.held = self.calls + 1, value
+
+    handle, device = Handle(), DeviceVerdict(RULES)
+    device.init(handle)
+    rows = [Row(variable=v, ts=t, reading=t, value=x) for v, t, x in (("t", 2, 15.0), ("t", 1, 99.0), ("h", 3, 40.0), ("h", 3, 41.0))]
+    (first,) = device.handleInputRows((7,), iter(rows), None)
+    (again,) = device.handleInputRows((7,), iter(rows[1:2]), None)
+    assert handle.calls == 4
+    assert first == Row(device_id=7, revision=1, seen=2, out_of_range=0, status="Healthy", as_of=3) and again == first.__class__(
+        device_id=7, revision=2, seen=2, out_of_range=0, status="Healthy", as_of=3)
