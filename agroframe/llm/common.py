@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -72,6 +73,28 @@ def small_batches(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
+TEXT_ROWS = 256  # rows with whole texts or sets that go to a Python worker at a time
+
+
+@contextmanager
+def text_batches(spark: SparkSession, rows: int | None = None):
+    """Jobs run within it send Python workers at most *rows* (``TEXT_ROWS``) rows at a time.
+
+    A batch stands in the executor's memory beyond the heap several times over (Arrow vectors, the buffer of the
+    worker's socket, the worker), so rows that hold texts go in small ones.  A smaller setting of the session stays.
+    """
+    key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", rows or TEXT_ROWS
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash (bijective), vectorised."""
     x = x ^ (x >> np.uint64(33))

@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroframe.llm.common import few_or_shuffled, hot_keys, join_dealt, mix64, shingle_set, small_batches, worker_cache
+from agroframe.llm.common import (TEXT_ROWS, few_or_shuffled, hot_keys, join_dealt, mix64, shingle_set, small_batches, text_batches,
+                                  worker_cache)
 from agroframe.llm.graph import connected_components
 from agroframe.operators.ranking import rank_within
 from agroframe.session import materialize
@@ -103,7 +104,7 @@ def floor_of(threshold: float, m: int = REGISTERS) -> float:
 def signatures(docs: DataFrame, k: int, m: int = REGISTERS) -> DataFrame:
     """doc_id, n_shingles, digest and registers (null for empty sets) of (doc_id, text)."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, TEXT_ROWS):
             n, digest, regs = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, k)
@@ -175,7 +176,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None  # after the join, rows of one document follow each other
-        for batch in batches:
+        for batch in small_batches(batches, TEXT_ROWS):
             ok = []
             for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
                 if a != last:
@@ -191,7 +192,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 def _full_sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(id, digest, hashes) of the documents named in *ids* (doc_id)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, TEXT_ROWS):
             got = [shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([xxhash.xxh3_128_digest(g) for g in got], pa.binary()), pa.array(got, pa.binary())],
@@ -219,7 +220,8 @@ def _across(members: DataFrame, classes: DataFrame, labels: DataFrame, docs: Dat
     rest = materialize(join_dealt(rest, mixed.select("bucket"), "bucket", hot_keys(mixed, "bucket", "rows"), by="id"), "mixed")
     ids = materialize(rest.select(F.col("id").alias("doc_id")).distinct(), "mixed-ids")
     held = classes.select("id", "digest", "n", "regs").join(_full_sets(ids, docs, k), ["id", "digest"]).drop("digest")
-    held = materialize(held, "mixed-sets")
+    with text_batches(docs.sparkSession):
+        held = materialize(held, "mixed-sets")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     met = (rest.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
            .withColumn("met", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -286,7 +288,9 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, m: int = REGISTERS) -
     threshold = percent / 100
     n_bands, width = bands(threshold, m)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(signatures(docs, k, m), "signatures")
+    spark = docs.sparkSession
+    with text_batches(spark):
+        signed = materialize(signatures(docs, k, m), "signatures")
     classes = materialize(signed.where("digest is not null and doc_id is not null").groupBy("digest")
                           .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")),
                           "classes")
@@ -295,9 +299,13 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, m: int = REGISTERS) -
     members = materialize(join_dealt(rows, shared, "bucket", hot_keys(shared, "bucket"), by="id"), "members")
     stars = materialize(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "stars")
     stars = materialize(_promising(stars, classes, threshold, m), "pairs")
-    links = materialize(verified(stars, docs, k, percent), "links")
+    checked = verified(stars, docs, k, percent)
+    with text_batches(spark):
+        links = materialize(checked, "links")
     labels = materialize(connected_components(links), "labels")
-    more = materialize(_across(members, classes, labels, docs, k, percent, n_bands, width, m), "links")
+    across = _across(members, classes, labels, docs, k, percent, n_bands, width, m)
+    with text_batches(spark):
+        more = materialize(across, "links")
     if not more.isEmpty():
         labels = materialize(connected_components(links.unionByName(more)), "labels")
     by_class = classes.select("digest", "id").join(labels, "id", "left") \

@@ -1,4 +1,6 @@
+import glob
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -88,6 +90,26 @@ def test_hot_group(spark, monkeypatch, k, percent):
     assert got(N.groups(df, k, percent)) == brute(rows, k, percent)
 
 
+def test_texts_reach_workers_in_small_batches(spark, monkeypatch, tmpdir_path):
+    def counted(batches, rows=0):
+        for batch in batches:
+            with open(f"{tmpdir_path}/{uuid.uuid4().hex}", "w") as f:
+                f.write(f"{batch.num_rows} {batch.schema.names}")
+            yield batch
+
+    monkeypatch.setattr("agroframe.llm.common.TEXT_ROWS", 16)
+    monkeypatch.setattr(N, "small_batches", counted)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = list(enumerate(_variants(random.Random(8), 150)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert got(N.groups(df, 3, 85)) == brute(rows, 3, 85)
+    seen = [open(f).read().split(" ", 1) for f in glob.glob(f"{tmpdir_path}/*")]
+    assert {names.count("text") for _, names in seen} == {1, 2}  # signatures or full sets, pairs
+    assert max(int(n) for n, _ in seen) <= 16 and sum(int(n) for n, names in seen if "text_a" not in names) >= len(rows)
+    assert spark.conf.get(key) == before
+
+
 def test_rows_of_a_hot_key_are_dealt(spark, monkeypatch):
     monkeypatch.setattr("agroframe.llm.common.HOT_ROWS", 100)
     rows = spark.range(5000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("key"), "id").repartition(16, "key")
