@@ -62,32 +62,32 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
     """*cells* with ``weight`` (sum 1) whose marginals meet *targets* {dimension: (category, share)}.
 
     Shares are taken relative to those of the categories that occur; an occurring
-    category without target gets weight 0.  Each sweep is written once (a few
-    rows per cell) and so is its own recovery point.  Sweeps end when no weight moves by more than
+    category without target gets weight 0.  A step scales one dimension and is written (a few
+    rows per cell), so it is its own recovery point and its plan reads the cells twice, whatever the
+    number of steps before it.  Sweeps end when no weight moves by more than
     *tolerance*, or after *max_sweeps*; if a marginal is off by more than *max_residual* then,
     the targets contradict each other and ``Unreachable`` is raised with that residual.
     """
-    shares = {}
+    shares, state = {}, cells.withColumn("weight", F.col("tokens"))
     for d, target in targets.items():
         there = target.where("share > 0").join(cells.select(d).distinct(), d, "left_semi")
         total = there.agg(F.sum("share").alias("all"))  # one row
         shares[d] = materialize(there.join(F.broadcast(total)).select(d, (F.col("share") / F.col("all")).alias("share")), "share")
-    state = materialize(cells.withColumn("weight", F.col("tokens")), "rake")
+        state = state.join(shares[d].withColumnRenamed("share", f"_share_{d}"), d, "left")
+    state, moved = materialize(state, "rake"), None
     for _ in range(max_sweeps):
-        swept = state
-        for d, share in shares.items():
-            now = swept.groupBy(d).agg(F.sum("weight").alias("now"))
-            factor = now.join(share, d, "left").select(d, F.coalesce(F.try_divide("share", "now"), F.lit(0.0)).alias("factor"))
-            swept = swept.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        swept = materialize(swept.select(*state.columns), "rake")
-        moved = swept.join(state.withColumnRenamed("weight", "before"), [*DIMENSIONS, "tokens"]) \
-            .agg(F.max(F.abs(F.col("weight") - F.col("before"))).alias("moved")).first().moved
-        state = swept
+        state = state.withColumn("_before", F.col("weight"))
+        for d in shares:
+            now = state.groupBy(d).agg(F.sum("weight").alias("_now"))
+            factor = F.coalesce(F.try_divide(f"_share_{d}", "_now"), F.lit(0.0))
+            state = materialize(state.join(now, d).withColumn("weight", F.col("weight") * factor).drop("_now"), "rake")
+        moved = state.agg(F.max(F.abs(F.col("weight") - F.col("_before")))).first()[0]
         if moved is None or moved <= tolerance:
             break
-    if moved is not None and (off := residual(state, shares)) > max_residual:
+    raked = state.select(*[c for c in cells.columns if c != "weight"], "weight")
+    if moved is not None and (off := residual(raked, shares)) > max_residual:
         raise Unreachable(off)
-    return state
+    return raked
 
 
 class Unreachable(ValueError):

@@ -66,3 +66,20 @@ def test_contradicting_targets_are_an_error(spark):
     with pytest.raises(M.Unreachable) as e:
         M.rake(cells, targets, max_sweeps=4)
     assert abs(e.value.residual - 0.8) < 1e-6
+
+
+def test_plan_of_a_step_does_not_grow_with_dimensions(spark, monkeypatch):
+    steps, write = [], M.materialize
+
+    def spy(df, name="stage"):
+        if name == "rake":
+            steps.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(M, "materialize", spy)
+    cells = spark.createDataFrame([(s, l, t, float(3 + len(s + l) * (t == "p"))) for s in ("a", "bb") for l in ("x", "yyy") for t in "pq"],
+                                  "source string, lang string, topic string, tokens double")
+    even = lambda d, names: spark.createDataFrame([(n, 0.5) for n in names], f"{d} string, share double")
+    raked = M.rake(write(cells, "cells"), {"source": even("source", ["a", "bb"]), "lang": even("lang", ["x", "yyy"]), "topic": even("topic", "pq")})
+    assert raked.columns == [*cells.columns, "weight"] and raked.count() == 8
+    assert len(steps) > 3 and all(p.count("Relation [") <= 2 and p.count("Join") == 1 for p in steps[1:])
