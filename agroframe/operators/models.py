@@ -1,7 +1,8 @@
 """Spark ML pipelines for the health classifier and the severity regressors.
 
-Boosted trees train with Spark's distributed GBT (each iteration is a
-distributed pass over cached, binned features).  Categorical levels are
+The severity trees train with Spark's distributed GBT (each iteration is a
+distributed pass over cached, binned features), the health classifier's with the same
+rounds over rows kept as bytes (``histogram_boosting``).  Categorical levels are
 indexed inside the fitted ``PipelineModel``, so scoring new rows reuses the
 exact training columns (unknown levels map to an extra "keep" slot).
 Missing features are mean-imputed with an extra missing-indicator column:
@@ -19,6 +20,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agroframe.operators import histogram_boosting as HB
 from agroframe.operators.panel import BASE_FEATS
 from agroframe.operators.sensor import GROWTH_STAGES
 from agroframe.session import materialize
@@ -87,11 +89,14 @@ def fit_compact(pipeline: Pipeline, train: DataFrame, label: str) -> PipelineMod
     """Fit the preparing stages, write their vectors once into few partitions, and fit the trees on that table.
 
     A boosting round is several passes over its rows: they read compact cached vectors in
-    partitions sized by bytes, not the frame that made them.
+    partitions sized by bytes, not the frame that made them.  The classifier's rounds read
+    them as bytes (``histogram_boosting``).
     """
     *prepare, trees = pipeline.getStages()
     prepared = Pipeline(stages=prepare).fit(train)
     ready = materialize(prepared.transform(train).select("features", label), "vectors")
+    if HB.covers(trees):
+        return PipelineModel([*prepared.stages, HB.fit_trees(trees, ready)])
     width = ready.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 100)
     size = ready.count() * 8 * width
     rows = ready.coalesce(max(2, -(-size // PARTITION_BYTES))).persist()

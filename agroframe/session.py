@@ -98,12 +98,18 @@ def materialize(df, name: str = "stage"):
     pruning and size statistics (so small sides can still be broadcast).
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder that nothing else uses."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def kept(spark: SparkSession, name: str, write) -> str:
     """Path of the artefact *name* of this session in the shared folder; ``write(path)`` makes it if it is not there.
 
