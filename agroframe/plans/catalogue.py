@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,9 @@ from agroframe.functions.columns import pretty_label, source_key
 from agroframe.operators import catalogue as C
 from agroframe.operators import splits as SP
 from agroframe.plans.registry import finish, fx, query
-from agroframe.session import materialize
+from agroframe.session import drop_path, materialize, shared_path, shuffles_dropped
 from agroframe.sources import files as FS
-from agroframe.sources.fixtures import line_tasks
+from agroframe.sources.fixtures import images_and_lines, line_tasks
 from agroframe.sources.ranges import write_file
 from agroframe.streaming.live import scratch_path
 
@@ -179,39 +181,64 @@ def image_manifest(spark, sf):
     return manifest(spark, sf)
 
 
-ARCHIVE_IMAGES = 25_000  # images (and label files) of one written archive, which one task packs
+ARCHIVE_IMAGES = 25_000  # images (and label files) of one written archive, which one task packs; twice as many at most
 
 
 def written_archives(spark, sf, parts: int = 16) -> str:
-    """The images and label files of the fixtures as zip archives, at least *parts*, in the shared folder; returns their glob."""
-    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
-    images = fx(spark, sf, "fx_images")
-    parts = max(parts, -(-images.count() // ARCHIVE_IMAGES))
-    text = (fx(spark, sf, "fx_box_lines").groupBy("image_id")
+    """The images and label files of the fixtures as zip archives, at least *parts*, in the shared folder; returns their glob.
+
+    Images and label texts are joined where their rows were dealt by key and written small; archives are packed
+    from these rows as they lie, so that names and texts pass no shuffle and none is on disk beside the archives.
+    """
+    parts = max(parts, -(-fx(spark, sf, "fx_images").count() // ARCHIVE_IMAGES))
+    images, lines = images_and_lines(spark, sf, max(parts, line_tasks(spark, sf) or 0))
+    text = (lines.groupBy("image_id")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda r: r["line"]), "\n").alias("text")))
-    labels = images.join(text, "image_id").select("image_id", F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt"))).alias("name"),
-                                                  F.encode(F.concat("text", F.lit("\n")), "UTF-8").alias("content"))
-    pictures = images.select("image_id", F.concat_ws("/", "split", F.lit("images"), "file_name").alias("name"), F.lit(b"").alias("content"))
-    root = scratch_path(spark, "archives")
-
-    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        data = io.BytesIO()
-        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, content in zip(pdf["name"], pdf["content"]):
-                z.writestr(name, bytes(content))
-        write_file(f"{root}/set{key[0]}.zip", data.getvalue())
-        return pd.DataFrame({"entries": [len(pdf)]})
-
-    rows = pictures.unionByName(labels).withColumn("archive", F.pmod(F.xxhash64("image_id"), F.lit(parts)).cast("int"))
-    rows.groupBy("archive").applyInPandas(pack, "entries long").agg(F.sum("entries")).collect()
+    rows = shared_path(spark, "archive-rows")
+    with shuffles_dropped(spark):
+        (images.join(text, "image_id", "left").select(F.spark_partition_id().alias("archive"), "split", "file_name", "text")
+         .write.option("compression", "zstd").parquet(rows))
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    files = spark.read.parquet(rows).select(
+        "archive", F.concat_ws("/", "split", F.lit("images"), "file_name").alias("picture"),
+        F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt"))).alias("label"),
+        F.encode(F.concat("text", F.lit("\n")), "UTF-8").alias("content"))
+    root, most = scratch_path(spark, "archives"), 2 * ARCHIVE_IMAGES
+
+    def pack(batches):
+        task, made = TaskContext.get().partitionId(), 0
+        found = (r for pdf in batches for r in pdf.itertuples(index=False))
+        for archive, own in itertools.groupby(found, lambda r: r.archive):
+            while some := list(itertools.islice(own, most)):
+                data = io.BytesIO()
+                with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+                    for r in some:
+                        z.writestr(r.picture, b"")
+                        if r.content is not None:  # an image without lines has no label file
+                            z.writestr(r.label, bytes(r.content))
+                write_file(f"{root}/set{archive}-{task}-{made}.zip", data.getvalue())
+                made += 1
+                yield pd.DataFrame({"entries": [len(some)]})
+
+    files.mapInPandas(pack, "entries long").agg(F.sum("entries")).collect()
+    drop_path(spark, rows)
     return f"{root}/*.zip"
 
 
 @query("archive_manifest", r"SELECT split, concat_ws('/', split, regexp_replace(split_part(path, '/', 3), '\.[^.]*$', '')) AS image_id, "
        "path, class_id, class_name, crop, source, mixed FROM man", IMGS, MANIFEST_CTES)
 def archive_manifest(spark, sf):
-    """S5 + S6 + J7: the manifest from zip archives, read by byte ranges."""
-    return FS.manifest_from_archives(spark, written_archives(spark, sf), fx(spark, sf, "fx_classes"))
+    """S5 + S6 + J7: the manifest from zip archives, read by byte ranges.
+
+    The class list is written first: it comes from all order lines, whose shuffle would stay beside the archives,
+    which go when they are read.
+    """
+    with shuffles_dropped(spark):
+        classes = materialize(fx(spark, sf, "fx_classes"), "classes")
+    glob = written_archives(spark, sf)
+    found = FS.manifest_from_archives(spark, glob, classes)
+    drop_path(spark, glob.rsplit("/", 1)[0])
+    return found
 
 
 @query("label_file_lines", "SELECT split, source, row_number() OVER (PARTITION BY split, source ORDER BY image_id, line_no)::INT AS line_no, line "

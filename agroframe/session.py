@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -87,7 +88,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", **options):
     """Write *df* once as a Parquet table in the shared checkpoint folder and read it back.
 
     Used where one compact intermediate (e.g. the weekly grain of the raw
@@ -96,13 +97,29 @@ def materialize(df, name: str = "stage"):
     lost executor recomputes nothing upstream of it.  Unlike an RDD
     checkpoint this is a single job, and the read-back scan keeps column
     pruning and size statistics (so small sides can still be broadcast).
+    *options* are the writer's (e.g. ``compression="zstd"``).
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it, a query's shuffle files go when the query ends, not when the driver happens to collect its garbage.
+
+    For queries that write what is read later: their shuffles would stay on disk beside those of the next ones.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path in the shared checkpoint folder that nothing else uses."""
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
@@ -138,6 +155,11 @@ def drop_materialized(spark) -> int:
     """
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        drop_path(spark, path)
     return len(paths)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete the folder *path*, which this session wrote and nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -19,7 +19,7 @@ from agroframe.functions.columns import clean_number
 from agroframe.operators.panel import WEATHER
 from agroframe.operators.ranking import rank_within
 from agroframe.operators.sensor import RENAME, drop_present, rename_sensor, trim_headers
-from agroframe.session import materialize
+from agroframe.session import materialize, shuffles_dropped
 from agroframe.sources.ranges import image_header, open_file, text_lines, zip_directory, zip_entry
 
 PANEL_SCHEMA = T.StructType(
@@ -125,7 +125,7 @@ def archive_entries(spark: SparkSession, glob: str) -> DataFrame:
                         yield pd.DataFrame(rows, columns=names)
 
     names = [c.split()[0] for c in ENTRY_SCHEMA.split(", ")]
-    return materialize(files.repartition(_tasks(spark), "path").mapInPandas(entries, ENTRY_SCHEMA), "entries")
+    return materialize(files.repartition(_tasks(spark), "path").mapInPandas(entries, ENTRY_SCHEMA), "entries", compression="zstd")
 
 
 def _tasks(spark: SparkSession) -> int:
@@ -248,14 +248,20 @@ def manifest_from_files(spark: SparkSession, root: str, yaml_path: str) -> DataF
 
 
 def manifest_from_archives(spark: SparkSession, glob: str, classes: DataFrame) -> DataFrame:
-    """J7 from archives: image and label entries joined on (split, stem); nothing is extracted."""
+    """J7 from archives: image and label entries joined on (split, stem); nothing is extracted.
+
+    The archives are read here: entries and majority classes are written, so that the shuffles of the
+    label lines are not on disk beside those of the join.
+    """
     from agroframe.operators.catalogue import build_manifest, majority_class
 
     key = F.concat_ws("/", "split", "stem")
-    entries = archive_entries(spark, glob)
+    with shuffles_dropped(spark):
+        entries = archive_entries(spark, glob)
+        lines = archive_label_lines(spark, glob, entries).select(key.alias("image_id"), "line_no", "line")
+        majority = materialize(majority_class(lines, by_image=True), "majority", compression="zstd")
     images = _image_paths(entries.select(F.col("name").alias("path"))).select(key.alias("image_id"), "split", "file_name")
-    lines = archive_label_lines(spark, glob, entries).select(key.alias("image_id"), "line_no", "line")
-    return build_manifest(images, majority_class(lines), classes)
+    return build_manifest(images, majority, classes)
 
 
 def read_yaml_text(spark: SparkSession, path: str) -> DataFrame:

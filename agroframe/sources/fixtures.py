@@ -208,14 +208,21 @@ def line_tasks(spark: SparkSession, sf_dir: str) -> int | None:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)) if rows > 4 * TASK_ROWS else None
 
 
-def dealt_table_ref(spark: SparkSession, sf_dir: str, names):
-    """``spark_table_ref``, with the tables of ``BY_KEY`` fixtures dealt by their key to ``line_tasks`` tasks."""
+def dealt_table_ref(spark: SparkSession, sf_dir: str, names, tasks: int | None = None):
+    """``spark_table_ref``, with the tables of ``BY_KEY`` fixtures dealt by their key to ``line_tasks`` tasks (*tasks* if given)."""
     plain = spark_table_ref(sf_dir)
     keys = {t: k for n in _closure(names) for t, k in BY_KEY.get(n, {}).items()}
-    n = line_tasks(spark, sf_dir) if keys else None
+    n = tasks or (line_tasks(spark, sf_dir) if keys else None)
     return lambda t: f"(SELECT /*+ REPARTITION({n}, {keys[t]}) */ * FROM {plain(t)})" if n and t in keys else plain(t)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of fixture *name* over the tables in *sf_dir*."""
     return spark.sql(with_clause([name], dealt_table_ref(spark, sf_dir, [name])) + f"SELECT * FROM {name}")
+
+
+def images_and_lines(spark: SparkSession, sf_dir: str, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """``fx_images`` and ``fx_box_lines``, both over tables dealt by the image's key to *tasks* tasks: their join moves no row."""
+    ref = dealt_table_ref(spark, sf_dir, ["fx_box_lines"], tasks)
+    images, lines = (spark.sql(with_clause([n], ref) + f"SELECT * FROM {n}") for n in ("fx_images", "fx_box_lines"))
+    return images, lines

@@ -2,6 +2,7 @@ import hashlib
 import os
 import random
 import struct
+import time
 import zipfile
 import zlib
 
@@ -167,3 +168,76 @@ def test_archives_grow_in_number_with_the_images(spark, tmpdir_path, monkeypatch
     entries = FS.archive_entries(spark, PC.written_archives(spark, tmpdir_path))
     sizes = [r["count"] for r in entries.groupBy("archive").count().collect()]
     assert sum(sizes) == 800 and len(sizes) > 30 and max(sizes) < 80
+
+
+def _orders(spark, path, n=2000):
+    """Order tables of which every fifth order has no lines, one key comes twice and one is null."""
+    orders = [(k, k * 7) for k in range(n)] + [(3, 8), (None, 1)]
+    lines = [(k, j, k + j, k * j, 1.0, 1.0, None) for k in range(n) if k % 5 for j in range(1 + k % 4)]
+    for name, schema, rows in (
+            ("orders", "o_orderkey long, o_custkey long", orders),
+            ("lineitem", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date", lines)):
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+
+def _shuffled(spark):
+    """Names and bytes of the shuffle files on disk."""
+    it = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    files = [it.next() for _ in iter(it.hasNext, False)]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_archive_manifest_keeps_no_shuffles_and_no_archives_of_its_steps(spark, tmpdir_path):
+    """When the last join begins, only the written tables are on disk: no names in shuffles, no archives."""
+    from agroframe.plans import catalogue as PC
+    from agroframe.session import ensure_checkpoint_dir
+
+    _orders(spark, tmpdir_path)
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    archives = [x for x in os.listdir(root) if x.startswith("archives-")]
+    before, was = set(_shuffled(spark)), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = PC.archive_manifest(spark, tmpdir_path)
+    until = time.time() + 20
+    while (left := sum(n for k, n in _shuffled(spark).items() if k not in before)) > 20_000 and time.time() < until:
+        time.sleep(0.2)  # they go in the background
+    assert left <= 20_000  # counts; 2000 names alone are more than 100,000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == was
+    assert [x for x in os.listdir(root) if x.startswith("archives-")] == archives
+    cols = ["split", "path", "class_id", "class_name", "crop", "source", "mixed"]
+    want = PC.image_manifest(spark, tmpdir_path).select(*cols).where("class_id IS NOT NULL")
+    got = sorted(map(tuple, found.select(*cols).distinct().collect()), key=str)
+    assert got == sorted(map(tuple, want.distinct().collect()), key=str) and len(got) > 1000
+    assert found.count() >= len(got)  # read again, without the archives
+
+
+def test_written_archives_hold_an_entry_for_each_image_and_each_label_file(spark, tmpdir_path):
+    from agroframe.plans import catalogue as PC
+
+    _orders(spark, tmpdir_path)
+    entries = FS.archive_entries(spark, PC.written_archives(spark, tmpdir_path))
+    names = [r.name for r in entries.collect()]
+    images = [r for r in PC.fx(spark, tmpdir_path, "fx_images").collect()]
+    assert sorted(x for x in names if "labels" not in x) == sorted("/".join(x for x in (r.split, "images", r.file_name) if x) for r in images)
+    with_lines = [r for r in images if r.image_id is not None and r.image_id % 5]
+    assert sorted(x for x in names if "labels" in x) == sorted(f"{r.split}/labels/{os.path.splitext(r.file_name)[0]}.txt" for r in with_lines)
+    assert entries.select("archive").distinct().count() >= 16
+
+
+def test_majority_by_image_equals_the_plain_one_and_has_one_shuffle(spark):
+    from agroframe.operators.catalogue import majority_class
+
+    rnd = random.Random(11)
+    rows = [(None if k % 50 == 0 else f"train/img{rnd.randint(0, 60)}", None if k % 31 == 0 else k, rnd.choice(["1 a", "2 b", "3", "x", " ", None, "+2"]))
+            for k in range(3000)]
+    lines = spark.createDataFrame(rows, "image_id string, line_no int, line string").repartition(7)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20")  # lines of an image in many batches
+    try:
+        found = majority_class(lines, by_image=True)
+        assert sorted(map(str, found.collect())) == sorted(map(str, majority_class(lines).collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+    assert plan.count("Exchange hashpartitioning(") == 1
+    assert sum(r.mixed for r in found.collect()) > 10
